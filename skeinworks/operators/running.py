@@ -13,8 +13,14 @@ _MERGE = {"sum": lambda a, b: F.coalesce(a, F.lit(0)) + F.coalesce(b, F.lit(0)),
 _AGG = {"sum": F.sum, "max": F.max, "min": F.min}
 
 
-def with_range(df: DataFrame, on: Column, *, ranges: int = 64, name: str = "_range") -> DataFrame:
+def range_count(df: DataFrame) -> int:
+    """As many ranges as shuffle partitions, within what a per-row bound search can bear."""
+    return max(16, min(512, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))))
+
+
+def with_range(df: DataFrame, on: Column, *, ranges: int | None = None, name: str = "_range") -> DataFrame:
     """Add the number of the equal-count range that `on` (numeric) falls into."""
+    ranges = ranges or range_count(df)
     steps = [i / ranges for i in range(1, ranges)]
     bounds = df.agg(F.percentile_approx(on.cast("double"), steps, 10_000)).scalar()
     inside = F.size(F.filter("_bounds", lambda b: b < on.cast("double")))
@@ -28,7 +34,7 @@ def running(
     aggs: dict[str, tuple[str, Column]],
     *,
     range_on: Column,
-    ranges: int = 64,
+    ranges: int | None = None,
 ) -> DataFrame:
     """Add inclusive running sum/min/max columns per key in the given order.
 
@@ -59,7 +65,7 @@ def _all(conds: list[Column]) -> Column:
     return out
 
 
-def counted_values(df: DataFrame, keys: list[str], value: str, *, ranges: int = 64) -> DataFrame:
+def counted_values(df: DataFrame, keys: list[str], value: str, *, ranges: int | None = None) -> DataFrame:
     """Distinct values per key with their count `n` and running count `upto`."""
     counts = df.where(F.col(value).isNotNull()).groupBy(*keys, value).agg(F.count(F.lit(1)).alias("n"))
     return running(
@@ -67,7 +73,7 @@ def counted_values(df: DataFrame, keys: list[str], value: str, *, ranges: int =
     )
 
 
-def values_at(df: DataFrame, keys: list[str], value: str, picks: dict, *, ranges: int = 64) -> DataFrame:
+def values_at(df: DataFrame, keys: list[str], value: str, picks: dict, *, ranges: int | None = None) -> DataFrame:
     """Exact sorted-order picks: for each name, the value at 0-based index picks[name](n).
 
     `n` is the column with the number of non-null values of the key. The result has
@@ -114,7 +120,7 @@ def exclusive_quantile_of(
     return got.select(*keys, "n", F.when(n >= 2, mixed).alias(name))
 
 
-def global_rank(df: DataFrame, order: str, name: str = "rank0", *, ranges: int = 64) -> DataFrame:
+def global_rank(df: DataFrame, order: str, name: str = "rank0", *, ranges: int | None = None) -> DataFrame:
     """Dense 0-based position of each row in the order of a unique numeric column."""
     out = running(df, [], [F.col(order)], {name: ("sum", F.lit(1))}, range_on=F.col(order), ranges=ranges)
     return out.withColumn(name, F.col(name) - 1)

@@ -1,0 +1,30 @@
+"""Summaries, selection scores and reports."""
+
+from pyspark.sql import DataFrame, functions as F
+
+
+def survey_statistics(df: DataFrame, *, rating: str, issue: str, top: int = 3) -> DataFrame:
+    """Number, mean rating, distribution and most frequent issues as (item, key, value)."""
+    n = df.agg(F.count(F.lit(1)).cast("double").alias("value"))
+    mean = df.agg(F.round(F.avg(rating), 9).alias("value"))
+    spread = df.groupBy(F.col(rating).cast("int").cast("string").alias("key")).agg(
+        F.count(F.lit(1)).cast("double").alias("value")
+    )
+    issues = (
+        df.where(F.col(issue).isNotNull())
+        .groupBy(F.col(issue).alias("key"))
+        .agg(F.count(F.lit(1)).cast("double").alias("value"))
+        .orderBy(F.desc("value"), "key")
+        .limit(top)
+    )
+
+    def tag(d, item):
+        key = F.col("key") if "key" in d.columns else F.lit("")
+        return d.select(F.lit(item).alias("item"), key.alias("key"), "value")
+
+    return (
+        tag(n, "total_surveys")
+        .unionByName(tag(mean, "avg_satisfaction"))
+        .unionByName(tag(spread, "satisfaction"))
+        .unionByName(tag(issues, "top_issue"))
+    )
