@@ -46,7 +46,7 @@ def clean_text(c) -> Column:
 
 
 def word_count(c) -> Column:
-    return F.size(words(c))
+    return F.regexp_count(_c(c), F.lit(f"[^{fv.SPACE[1:]}+"))
 
 
 def token_estimate(c) -> Column:
@@ -55,7 +55,7 @@ def token_estimate(c) -> Column:
 
 
 def avg_word_length(c) -> Column:
-    letters = F.length(F.regexp_replace(_c(c), fv.SPACE, ""))
+    letters = F.length(F.regexp_replace(_c(c), fv.SPACE + "+", ""))
     return letters / F.greatest(word_count(c), F.lit(1))
 
 
