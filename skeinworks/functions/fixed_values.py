@@ -1,9 +1,7 @@
 """Word lists, patterns, thresholds and texts the results depend on."""
 
 # --- fixed values: character classes (the same spelling works in Java and RE2) ---
-SPACE = (
-    r"[\s\x{0B}\x{1C}-\x{1F}\x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]"
-)
+SPACE = r"[\s\p{Z}\x{0B}\x{1C}-\x{1F}\x{85}]"
 WORD = r"[\p{L}\p{N}_]"
 
 # --- fixed values: redaction patterns and marks ---

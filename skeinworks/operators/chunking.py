@@ -9,6 +9,9 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions import fixed_values as fv, text as T
 
+# Explode calls are the outer kind followed by a null test: for the inner kind the optimiser adds
+# a size(...) > 0 filter below, which would run the splitting expression a second time.
+
 SPAN = "array<struct<text string, start_pos int, end_pos int>>"
 
 
@@ -35,7 +38,9 @@ def word_windows(
     if keep_short_text:
         cut = F.when(n <= max_words, F.array(F.col(text))).otherwise(cut)
     kept = [c for c in df.columns if c != text]
-    return d.select(*kept, F.posexplode(cut).alias("chunk_index", "chunk_text"))
+    return d.select(*kept, F.posexplode_outer(cut).alias("chunk_index", "chunk_text")).where(
+        F.col("chunk_index").isNotNull()
+    )
 
 
 def _snap_spans(text: str, size: int, overlap: int) -> list[tuple[str, int, int]]:
@@ -74,7 +79,9 @@ def _spans_udf(split):
 
 def _explode_spans(df: DataFrame, text: str, spans: Column, strategy: str) -> DataFrame:
     kept = [c for c in df.columns if c != text]
-    out = df.select(*kept, F.posexplode(spans).alias("chunk_index", "_s"))
+    out = df.select(*kept, F.posexplode_outer(spans).alias("chunk_index", "_s")).where(
+        F.col("chunk_index").isNotNull()
+    )
     return out.select(
         *kept,
         "chunk_index",
@@ -169,7 +176,7 @@ def sections(df: DataFrame, text: str = "text", *, subsections: bool = True) ->
     def title_of(c):
         return T.strip(F.regexp_replace(F.split(c, "\n").getItem(0), "^#+|#+$", ""))
 
-    secs = df.select(*kept, F.posexplode(F.split(F.col(text), "\n## ")).alias("_s", "_section")).where(
+    secs = df.select(*kept, F.posexplode_outer(F.split(F.col(text), "\n## ")).alias("_s", "_section")).where(
         F.length(T.strip("_section")) > 0
     )
     parts = F.split("_section", "\n### ")
@@ -186,7 +193,9 @@ def sections(df: DataFrame, text: str = "text", *, subsections: bool = True) ->
         rows = F.slice(rows, 1, 1)
     # one document's sections stay in its row until here, so numbering needs no shuffle
     per_section = secs.select(*kept, "_s", "_section", rows.alias("_rows"))
-    flat = per_section.select(*kept, "_s", "_section", F.explode("_rows").alias("_r"))
+    flat = per_section.select(*kept, "_s", "_section", F.explode_outer("_rows").alias("_r")).where(
+        F.col("_r").isNotNull()
+    )
     number = Window.partitionBy(*kept).orderBy("_s", "_sub")
     return flat.select(
         *kept,
@@ -219,7 +228,9 @@ def coarse_sections(
         ),
     ).otherwise(F.array(F.col(text)))
     kept = [c for c in df.columns if c != text]
-    return df.select(*kept, F.posexplode(cut).alias("section_index", "section_text"))
+    return df.select(*kept, F.posexplode_outer(cut).alias("section_index", "section_text")).where(
+        F.col("section_index").isNotNull()
+    )
 
 
 def marked_chunks(
@@ -234,9 +245,8 @@ def marked_chunks(
     )
     chosen = F.when(F.coalesce(F.size(parts), F.lit(0)) > 0, parts).otherwise(plain)
     kept = [c for c in df.columns if c not in (generated, section)]
-    return df.select(*kept, F.posexplode(chosen).alias("chunk_index", "chunk_text")).withColumn(
-        "strategy", F.lit("semantic")
-    )
+    out = df.select(*kept, F.posexplode_outer(chosen).alias("chunk_index", "chunk_text"))
+    return out.where(F.col("chunk_index").isNotNull()).withColumn("strategy", F.lit("semantic"))
 
 
 def semantic_fallback(df: DataFrame, text: str = "text", *, max_size: int = 2000, overlap: int = 100) -> DataFrame:

@@ -112,23 +112,21 @@ def best_per_use_case(df: DataFrame, *, model: str = "model_id", use_case: str =
 def speed_up(df: DataFrame, *, model: str, slow: str, fast: str, times: list[str]) -> DataFrame:
     """Mean times of two models side by side: saved percent and ratio, one row per time column."""
     done = df.where(F.col(times[0]).isNotNull() & F.col(model).isin(slow, fast))
-    means = done.groupBy(F.lit(0)).pivot(model, [slow, fast]).agg(*[F.avg(t).alias(t) for t in times])
-    rows = F.array(
-        *[
-            F.struct(
-                F.lit(t).alias("time"),
-                F.col(f"`{slow}_{t}`" if len(times) > 1 else f"`{slow}`").alias("slow_mean"),
-                F.col(f"`{fast}_{t}`" if len(times) > 1 else f"`{fast}`").alias("fast_mean"),
-            )
-            for t in times
-        ]
+
+    def mean(which, t):
+        return F.avg(F.when(F.col(model) == which, F.col(t)))
+
+    means = done.agg(
+        *[F.struct(mean(slow, t).alias("s"), mean(fast, t).alias("f")).alias(f"_{t}") for t in times]
     )
+    rows = F.array(*[F.struct(F.lit(t).alias("time"), F.col(f"_{t}").alias("m")) for t in times])
+    s, f = F.col("m.s"), F.col("m.f")
     return means.select(F.inline(rows)).select(
         "time",
-        "slow_mean",
-        "fast_mean",
-        ((F.col("slow_mean") - F.col("fast_mean")) / F.col("slow_mean") * 100).alias("saved_percent"),
-        (F.col("slow_mean") / F.col("fast_mean")).alias("ratio"),
+        s.alias("slow_mean"),
+        f.alias("fast_mean"),
+        ((s - f) / s * 100).alias("saved_percent"),
+        (s / f).alias("ratio"),
     )
 
 
@@ -167,7 +165,8 @@ def top_nested(df: DataFrame, items: str, field: str, *, top: int, first: int |
     arr = F.slice(items, 1, first) if first else F.col(items)
     value = F.col(f"_i.{field}")
     counts = (
-        df.select(F.explode(arr).alias("_i"))
+        df.select(F.explode_outer(arr).alias("_i"))
+        .where(F.col("_i").isNotNull())
         .groupBy((F.lower(value) if lower else value).alias(field))
         .agg(F.count(F.lit(1)).alias("n"))
     )
@@ -178,7 +177,7 @@ def term_counts_over(df: DataFrame, text: str, *, min_length: int = 4, top: int
     """Most frequent lower-cased words of at least `min_length` characters."""
     from ..functions.text import words
 
-    w = df.select(F.explode(words(F.lower(F.col(text)))).alias("term")).where(F.length("term") >= min_length)
+    w = df.select(F.explode_outer(words(F.lower(F.col(text)))).alias("term")).where(F.length("term") >= min_length)
     counts = w.groupBy("term").agg(F.count(F.lit(1)).alias("n"))
     return counts.orderBy(F.desc("n"), "term").limit(top)
 
