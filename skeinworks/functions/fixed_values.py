@@ -188,3 +188,17 @@ ALARM_PERIOD_SECONDS = 300
 
 # --- fixed values: two-sided 95 % normal quantile ---
 Z95 = 1.959963984540054
+
+# --- fixed values: texts around the sources and the question in a prompt ---
+PROMPT_HEAD = (
+    "You are a helpful AI assistant that answers questions based on provided context from Reddit posts."
+    "\n\nContext Information:\n"
+)
+PROMPT_RULES = (
+    "\n\nInstructions:\n"
+    "- Answer the question using ONLY the information from the provided context\n"
+    "- If the context doesn't contain enough information, say so\n"
+    "- Cite your sources by referencing [Source N] numbers\n"
+    "- Be concise and accurate\n"
+    "- If you see conflicting information, acknowledge it\n\n"
+)
