@@ -253,7 +253,7 @@ def margin_uplift(df: DataFrame, query: str, *, before: str, after: str, margin:
         F.sum(F.when(F.col(before) <= k, F.col(margin)).otherwise(0.0)).alias("margin_before"),
         F.sum(F.when(F.col(after) <= k, F.col(margin)).otherwise(0.0)).alias("margin_after"),
     )
-    gain = F.try_divide(F.col("margin_after") - F.col("margin_before"), F.abs("margin_before")) * 100
+    gain = F.try_divide(F.col("margin_after") - F.col("margin_before"), F.col("margin_before")) * 100
     return sums.withColumn("uplift_percent", gain)
 
 

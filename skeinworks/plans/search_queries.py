@@ -205,14 +205,17 @@ def _(spark, sf):
     return X.keyword_search(q, chunks, 5).withColumn("score", F.round("score", 6))
 
 
-def _bm25_cte(docs: str, queries: str, text: str = "text", q: str = "query", idf: str = "1.0", avg: str = "100") -> str:
-    return f"""bw AS (SELECT doc_id, {sql_words(f"lower({text})")} AS ws FROM {docs}),
-     bt AS (SELECT doc_id, unnest(ws) AS term, len(ws) AS n FROM bw), bf AS (SELECT doc_id, term, n, count(*) AS tf FROM bt GROUP BY ALL),
-     bq AS (SELECT DISTINCT query_id, unnest({sql_words(f"lower({q})")}) AS term FROM {queries}),
-     bs AS (SELECT (SELECT count(*) FROM bw) AS nd, (SELECT avg(len(ws)) FROM bw) AS al),
-     bd AS (SELECT term, count(*) AS df FROM bf GROUP BY 1),
-     kw AS (SELECT query_id, doc_id, sum(({idf}) * tf * 2.5::DOUBLE / (tf + 1.5::DOUBLE * (0.25::DOUBLE + 0.75::DOUBLE * n / {avg}))) AS kw
-        FROM bq JOIN bf USING (term) JOIN bd USING (term), bs GROUP BY ALL)"""
+def _bm25_cte(
+    docs: str, queries: str, text: str = "text", q: str = "query", idf: str = "1.0", avg: str = "100", out: str = "kw"
+) -> str:
+    return f"""{out}_w AS (SELECT doc_id, {sql_words(f"lower({text})")} AS ws FROM {docs}),
+     {out}_t AS (SELECT doc_id, unnest(ws) AS term, len(ws) AS n FROM {out}_w),
+     {out}_f AS (SELECT doc_id, term, n, count(*) AS tf FROM {out}_t GROUP BY ALL),
+     {out}_q AS (SELECT DISTINCT query_id, unnest({sql_words(f"lower({q})")}) AS term FROM {queries}),
+     {out}_s AS (SELECT (SELECT count(*) FROM {out}_w) AS nd, (SELECT avg(len(ws)) FROM {out}_w) AS al),
+     {out}_d AS (SELECT term, count(*) AS df FROM {out}_f GROUP BY 1),
+     {out} AS (SELECT query_id, doc_id, sum(({idf}) * tf * 2.5::DOUBLE / (tf + 1.5::DOUBLE * (0.25::DOUBLE + 0.75::DOUBLE * n / {avg}))) AS kw
+        FROM {out}_q JOIN {out}_f USING (term) JOIN {out}_d USING (term), {out}_s GROUP BY ALL)"""
 
 
 def _bm25_sql(idf: str, avg: str) -> str:
@@ -263,7 +266,7 @@ def _(spark, sf):
 
 
 def _fielded_sql(alpha: float, k: int, qs: str = "text_queries", extra: str = "") -> str:
-    t = _bm25_cte("dt", qs, text="title").replace("kw AS", "kwt AS").replace("bw", "tw").replace("bt", "tt").replace("bf", "tff").replace("bq", "tq").replace("bs ", "ts ").replace(", bs", ", ts").replace("bd", "td")
+    t = _bm25_cte("dt", qs, text="title", out="kwt")
     return (
         _DV
         + extra
