@@ -1,8 +1,8 @@
 """Forecasts, anomalies and explanations for many series in one table.
 
 The model is a line, a mean per phase of the period and a first-order autoregression of what
-is left. Every part is a grouped aggregate, so all series are fitted in the same jobs. Windows
-run over one row per series and day.
+is left. All series are fitted in the same jobs. Values are summed per series and day first, so
+a window sees at most one row per day of the calendar, however many rows a series has.
 """
 
 from __future__ import annotations
@@ -12,46 +12,70 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from ..functions.fixed_values import Z95
 
 
+def _daily(df: DataFrame, item: str, day: str, value: str) -> DataFrame:
+    """Day totals with the series' first day and its step: the most frequent gap in days, the
+    shorter one on ties."""
+    daily = df.groupBy(item, day).agg(F.sum(value).alias("y"))
+    whole = Window.partitionBy(item)
+    d = daily.withColumn("_gap", F.datediff(F.col(day), F.lag(day).over(whole.orderBy(day))))
+    often = F.count(F.lit(1)).over(Window.partitionBy(item, "_gap"))
+    d = d.withColumn("_best", F.when(F.col("_gap").isNotNull(), F.struct(often.alias("c"), (-F.col("_gap")).alias("g"))))
+    return d.select(
+        item,
+        day,
+        "y",
+        F.min(day).over(whole).alias("first_day"),
+        F.coalesce(-F.max("_best").over(whole)["g"], F.lit(1)).alias("step"),
+    )
+
+
 def series_step(df: DataFrame, item: str, day: str) -> DataFrame:
     """The most frequent gap in days between a series' dates, the shorter one on ties."""
-    days = df.select(item, day).distinct()
-    w = Window.partitionBy(item).orderBy(day)
-    gaps = days.withColumn("step", F.datediff(F.col(day), F.lag(day).over(w))).where(F.col("step").isNotNull())
-    counts = gaps.groupBy(item, "step").agg(F.count(F.lit(1)).alias("c"))
-    return counts.groupBy(item).agg(F.max_by("step", F.struct("c", -F.col("step"))).alias("step"))
+    return _daily(df.withColumn("_one", F.lit(1)), item, day, "_one").groupBy(item).agg(F.first("step").alias("step"))
 
 
 def regular_series(df: DataFrame, item: str, day: str, value: str, *, fill: float = 0.0) -> DataFrame:
-    """One row per step from a series' first to its last date: item, day, t (from 0) and y."""
-    daily = df.groupBy(item, day).agg(F.sum(value).alias("y"))
-    span = daily.groupBy(item).agg(F.min(day).alias("_from"), F.max(day).alias("_to"))
-    steps = span.join(series_step(daily, item, day), item, "left").na.fill(1, ["step"])
-    grid = steps.select(
-        item, "step", F.posexplode(F.sequence("_from", "_to", F.make_interval(days=F.col("step")))).alias("t", day)
+    """One row per step from a series' first to its last date: item, day, t (from 0), step and y.
+
+    Dates between two steps count for the earlier one; steps without data get `fill`.
+    """
+    d = _daily(df, item, day, value)
+    t = F.floor(F.datediff(F.col(day), F.col("first_day")) / F.col("step")).cast("int")
+    steps = d.groupBy(item, t.alias("t"), "first_day", "step").agg(F.sum("y").alias("y"))
+    following = F.lead("t").over(Window.partitionBy(item).orderBy("t"))
+    spread = steps.withColumn("_to", F.coalesce(following - 1, F.col("t"))).select(
+        item, "first_day", "step", "y", F.col("t").alias("_from"), F.explode(F.sequence("t", "_to")).alias("t")
     )
-    return grid.join(daily, [item, day], "left").select(
-        item, day, "t", "step", F.coalesce("y", F.lit(fill)).alias("y")
+    return spread.select(
+        item,
+        F.date_add("first_day", F.col("t") * F.col("step")).alias(day),
+        "t",
+        "step",
+        F.when(F.col("t") == F.col("_from"), F.col("y")).otherwise(F.lit(fill)).alias("y"),
     )
 
 
 def decomposed(series: DataFrame, item: str, *, period: int = 7) -> DataFrame:
-    """Trend, seasonal part, fitted value and error of every point of regular series."""
-    line = series.groupBy(item).agg(
-        F.coalesce(F.regr_slope("y", "t"), F.lit(0.0)).alias("slope"),
-        F.coalesce(F.regr_intercept("y", "t"), F.avg("y")).alias("intercept"),
-        F.count(F.lit(1)).alias("n"),
-    )
-    d = series.join(line, item).withColumn("trend", F.col("intercept") + F.col("slope") * F.col("t"))
-    d = d.withColumn("phase", F.col("t") % period)
-    phase = d.groupBy(item, "phase").agg(F.avg(F.col("y") - F.col("trend")).alias("seasonal"))
-    d = d.join(phase, [item, "phase"]).withColumn("rest", F.col("y") - F.col("trend") - F.col("seasonal"))
-    d = d.withColumn("_prev", F.lag("rest").over(Window.partitionBy(item).orderBy("t")))
-    auto = d.groupBy(item).agg(
-        F.coalesce(
-            F.try_divide(F.sum(F.col("rest") * F.col("_prev")), F.sum(F.col("_prev") * F.col("_prev"))), F.lit(0.0)
-        ).alias("phi")
+    """Trend, seasonal part, fitted value and error of every point of regular series.
+
+    All windows are partitioned by the series, so they share one shuffle.
+    """
+    whole, per_phase = Window.partitionBy(item), Window.partitionBy(item, "phase")
+    d = series.select(
+        "*",
+        F.coalesce(F.regr_slope("y", "t").over(whole), F.lit(0.0)).alias("slope"),
+        F.coalesce(F.regr_intercept("y", "t").over(whole), F.avg("y").over(whole)).alias("intercept"),
+        F.count(F.lit(1)).over(whole).alias("n"),
+        (F.col("t") % period).alias("phase"),
     )
-    d = d.join(auto, item).withColumn(
+    d = d.withColumn("trend", F.col("intercept") + F.col("slope") * F.col("t"))
+    d = d.withColumn("seasonal", F.avg(F.col("y") - F.col("trend")).over(per_phase))
+    d = d.withColumn("rest", F.col("y") - F.col("trend") - F.col("seasonal"))
+    d = d.withColumn("_prev", F.lag("rest").over(whole.orderBy("t")))
+    both, square = F.col("rest") * F.col("_prev"), F.col("_prev") * F.col("_prev")
+    phi = F.coalesce(F.try_divide(F.sum(both).over(whole), F.sum(square).over(whole)), F.lit(0.0))
+    d = d.withColumn("phi", phi)
+    d = d.withColumn(
         "fitted", F.col("trend") + F.col("seasonal") + F.col("phi") * F.coalesce("_prev", F.lit(0.0))
     )
     return d.withColumn("error", F.col("y") - F.col("fitted")).drop("_prev")
@@ -84,8 +108,7 @@ def normal_probability(z: Column) -> Column:
 
 def anomalies(parts: DataFrame, item: str, *, threshold: float = 0.95, only_flagged: bool = True) -> DataFrame:
     """Points whose error is improbable for their series."""
-    sigma = parts.groupBy(item).agg(F.stddev_pop("error").alias("sigma"))
-    d = parts.join(sigma, item)
+    d = parts.withColumn("sigma", F.stddev_pop("error").over(Window.partitionBy(item)))
     z = F.when(F.col("sigma") > 0, F.col("error") / F.col("sigma")).otherwise(0.0)
     d = d.withColumn("anomaly_probability", normal_probability(z))
     d = d.withColumn("is_anomaly", F.col("anomaly_probability") > threshold)

@@ -83,13 +83,13 @@ _PAIRS = f"""{_ALL}, pr AS (SELECT a.query_group_id, a.retail_price - b.retail_p
 
 @query(
     "ltr_preference_pairs",
-    f"""{_PAIRS} SELECT query_group_id, count(*)::DOUBLE AS pairs, round(sum(d0), 3) AS d0, round(sum(d1), 3) AS d1, round(sum(d0 * d0), 1) AS m0_0,
-      round(sum(d0 * d1), 1) AS m0_1, round(sum(d1 * d1), 1) AS m1_1 FROM pr GROUP BY 1""",
+    f"""{_PAIRS} SELECT query_group_id, count(*)::DOUBLE AS pairs, round(sum(d0), 3) AS d0, round(sum(d1), 3) AS d1, round(sum(d0 * d0), 6) AS m0_0,
+      round(sum(d0 * d1), 6) AS m0_1, round(sum(d1 * d1), 6) AS m1_1 FROM pr GROUP BY 1""",
 )
 def _(spark, sf):
     d = R.training_set(positives(spark, sf), negatives(spark, sf))
     p = R.preference_sums(d, "query_group_id", "label", ["retail_price", "cost"])
-    return _r(_r(p, 3, "d0", "d1"), 1, "m0_0", "m0_1", "m1_1")
+    return _r(_r(p, 3, "d0", "d1"), 6, "m0_0", "m0_1", "m1_1")
 
 
 _WEIGHTS = f"""{_PAIRS}, s AS (SELECT sum(d0) AS d0, sum(d1) AS d1, sum(d0 * d0) + 1 AS a, sum(d0 * d1) AS b, sum(d1 * d1) + 1 AS c FROM pr),
@@ -352,7 +352,7 @@ def _(spark, sf):
 # ---- series ---------------------------------------------------------------------------
 
 V.SQL["demand"] = """
-  SELECT p_brand AS item_id, CAST(date_trunc('month', l_shipdate) AS DATE) + CAST(7 * ((day(l_shipdate) - 1) // 7) AS INT) AS d7, CAST(l_shipdate AS DATE) AS day, l_quantity AS quantity
+  SELECT p_brand AS item_id, CAST(l_shipdate AS DATE) AS day, l_quantity AS quantity
   FROM lineitem JOIN part ON l_partkey = p_partkey"""
 
 
@@ -371,8 +371,9 @@ _SER = (
    st AS (SELECT item_id, step FROM (SELECT item_id, step, count(*) AS c FROM gp WHERE step IS NOT NULL GROUP BY ALL)
        QUALIFY row_number() OVER (PARTITION BY item_id ORDER BY c DESC, step) = 1),
    sp AS (SELECT item_id, min(day) AS a, max(day) AS b, any_value(step) AS step FROM dd JOIN st USING (item_id) GROUP BY 1),
+   bk AS (SELECT dd.item_id, date_diff('day', a, day) // step AS t, sum(y) AS y FROM dd JOIN sp USING (item_id) GROUP BY ALL),
    gr AS (SELECT item_id, step, unnest(range(0, date_diff('day', a, b) // step + 1)) AS t, a FROM sp),
-   rg AS (SELECT gr.item_id, gr.step, gr.t, gr.a + CAST(gr.t * gr.step AS INT) AS day, coalesce(dd.y, 0) AS y FROM gr LEFT JOIN dd ON dd.item_id = gr.item_id AND dd.day = gr.a + CAST(gr.t * gr.step AS INT)),
+   rg AS (SELECT gr.item_id, gr.step, gr.t, gr.a + CAST(gr.t * gr.step AS INT) AS day, coalesce(bk.y, 0) AS y FROM gr LEFT JOIN bk ON bk.item_id = gr.item_id AND bk.t = gr.t),
    ln AS (SELECT item_id, regr_slope(y, t) AS slope, regr_intercept(y, t) AS intercept, count(*) AS n FROM rg GROUP BY 1),
    tr AS (SELECT rg.*, slope, intercept, n, intercept + slope * t AS trend, t % 7 AS phase FROM rg JOIN ln USING (item_id)),
    ph AS (SELECT item_id, phase, avg(y - trend) AS seasonal FROM tr GROUP BY ALL),
