@@ -5,7 +5,15 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions import fixed_values as fv
-from .running import exclusive_quantile_of, median_of, running, values_at
+from .running import (
+    before_range,
+    exclusive_quantile_of,
+    median_of,
+    placed_by_range,
+    totals_per_range,
+    values_at,
+    with_carried,
+)
 
 
 def search_statistics(df: DataFrame, *, by: list[str], latency: str = "latency_ms", results: str = "result_count") -> DataFrame:
@@ -89,20 +97,41 @@ def store_benchmark(df: DataFrame, store: str, query: str, latency: str, results
 
 
 def failure_state(
-    df: DataFrame, key: str, ts: str, tie: str, ok: str, *, opens_above: int = 5
+    df: DataFrame, key: str, ts: str, tie: str, ok: str, *, opens_above: int = 5, carried: DataFrame | None = None
 ) -> DataFrame:
     """Consecutive failures after each attempt, and whether the circuit is open then.
 
-    Failures so far minus failures at the last success: two running aggregates that
-    split a busy key over many tasks.
+    A busy key is cut into time ranges that run in tasks of their own. Within a range the count
+    is failures so far minus failures at the last success; what a range hands to the next is its
+    failures and the failures after its last success. `carried` (key, failures) is where the
+    keys start from.
     """
     at = F.unix_micros(F.col(ts).cast("timestamp"))
-    order = [F.col(ts), F.col(tie)]
-    fails = (~F.col(ok)).cast("int")
-    a = running(df, [key], order, {"_f": ("sum", fails)}, range_on=at)
-    b = running(a, [key], order, {"_base": ("max", F.when(F.col(ok), F.col("_f")))}, range_on=at)
-    count = F.col("_f") - F.coalesce(F.col("_base"), F.lit(0))
-    return b.withColumn("failure_count", count).withColumn("is_open", F.col("failure_count") > opens_above).drop("_f", "_base")
+    part = [key, "_range"]
+    placed = placed_by_range(df, [key], at)
+    local = Window.partitionBy(*part).orderBy(ts, tie).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    scanned = placed.withColumn("_f", F.sum((~F.col(ok)).cast("int")).over(local))
+    scanned = scanned.withColumn("_base", F.max(F.when(F.col(ok), F.col("_f"))).over(local))
+    sums = totals_per_range(scanned, [key], [F.max("_f").alias("_t"), F.max("_base").alias("_b")])
+    # failures of all earlier ranges, and how many of them lie before the last success seen there
+    sums = sums.withColumn("_sofar", F.coalesce(F.sum("_t").over(before_range([key])), F.lit(0)))
+    settled = F.max(F.col("_sofar") + F.col("_b")).over(before_range([key]))
+    handed = sums.withColumn("_settled", settled).select(
+        *[F.col(c).alias(f"_k_{c}") for c in part],
+        F.when(F.col("_settled").isNull(), F.col("_sofar")).otherwise(F.col("_sofar") - F.col("_settled")).alias("_open"),
+        F.col("_settled").isNull().alias("_never"),
+    )
+    d = with_carried(scanned, handed, part)
+    if carried is not None:
+        start = carried.select(F.col(key).alias("_s_key"), F.col("failures").alias("_start"))
+        d = d.join(start, F.col(key) == F.col("_s_key"), "left")
+        opening = F.col("_open") + F.when(F.col("_never"), F.coalesce("_start", F.lit(0))).otherwise(0)
+    else:
+        opening = F.col("_open")
+    count = F.when(F.col("_base").isNull(), F.col("_f") + opening).otherwise(F.col("_f") - F.col("_base"))
+    return d.select(
+        *df.columns, count.cast("long").alias("failure_count"), (count > opens_above).alias("is_open")
+    )
 
 
 def routed_outcome(df: DataFrame, request: str, attempt: str, tier: str, ok: str, *, retries: int = 3) -> DataFrame:

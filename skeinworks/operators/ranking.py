@@ -203,11 +203,9 @@ def percentile_of(df: DataFrame, value: str, out: str) -> DataFrame:
     """Share of rows with a smaller value, from 0 to 1."""
     from .running import counted_values
 
-    steps = counted_values(df, [], value).select(value, (F.col("upto") - F.col("n")).alias("_below"))
-    total = df.agg(F.count(value)).scalar()
-    at = steps.withColumn("_n", total).select(
-        value, F.coalesce(F.try_divide(F.col("_below"), F.col("_n") - 1), F.lit(0.0)).alias(out)
-    )
+    steps = counted_values(df, [], value, totals={"_size": "upto"})
+    share = F.try_divide(F.col("upto") - F.col("n"), F.col("_size") - 1)
+    at = steps.select(value, F.coalesce(share, F.lit(0.0)).alias(out))
     return df.join(at, value, "left")
 
 

@@ -105,7 +105,7 @@ def freshness(df: DataFrame, source: str, ts: str, ok: Column, *, as_of: Column,
     d = df.groupBy(source).agg(
         F.max(ts).alias("last_seen"), F.avg(ok.cast("double")).alias("success_rate"), F.count(F.lit(1)).alias("records")
     )
-    age = F.timestamp_diff("SECOND", F.col("last_seen"), as_of) / 60
+    age = F.timestamp_diff("MICROSECOND", F.col("last_seen"), as_of) / 60_000_000
     return d.withColumn("age_minutes", age).select(
         "*", (1 - F.col("success_rate")).alias("error_rate"), (F.col("age_minutes") > limit_minutes).alias("stale")
     )

@@ -66,22 +66,20 @@ def d2_absolute_error(df: DataFrame, y_true: str = "y_true", y_pred: str = "y_pr
 
 def ks_two_sample(df: DataFrame, a: str, b: str, *, alpha: float = 0.05) -> DataFrame:
     """Two-sample Kolmogorov-Smirnov: statistic, asymptotic p-value and whether it is below alpha."""
-    both = df.select(F.col(a).alias("v"), F.lit(1).alias("ina"), F.lit(0).alias("inb")).unionByName(
-        df.select(F.col(b).alias("v"), F.lit(0).alias("ina"), F.lit(1).alias("inb"))
+    sides = F.array(
+        F.struct(F.col(a).alias("v"), F.lit(1).alias("ina"), F.lit(0).alias("inb")),
+        F.struct(F.col(b).alias("v"), F.lit(0).alias("ina"), F.lit(1).alias("inb")),
     )
+    both = df.select(F.inline_outer(sides))
     per_value = both.where("v is not null").groupBy("v").agg(F.sum("ina").alias("ca"), F.sum("inb").alias("cb"))
     upto = running(
-        per_value,
-        [],
-        [F.col("v")],
-        {"ua": ("sum", F.col("ca")), "ub": ("sum", F.col("cb"))},
-        range_on=F.col("v"),
-    )
-    size = per_value.agg(F.struct(F.sum("ca").alias("na"), F.sum("cb").alias("nb"))).scalar()
-    gaps = upto.withColumn("_n", size).agg(
-        F.max(F.abs(F.col("ua") / F.col("_n.na") - F.col("ub") / F.col("_n.nb"))).alias("statistic"),
-        F.max("_n.na").alias("n_a"),
-        F.max("_n.nb").alias("n_b"),
+        per_value, [], [F.col("v")], {"ua": ("sum", F.col("ca")), "ub": ("sum", F.col("cb"))},
+        range_on=F.col("v"), bounds_from=both.select("v"), totals={"n_a": "ua", "n_b": "ub"},
+    )
+    gaps = upto.agg(
+        F.max(F.abs(F.col("ua") / F.col("n_a") - F.col("ub") / F.col("n_b"))).alias("statistic"),
+        F.max("n_a").alias("n_a"),
+        F.max("n_b").alias("n_b"),
     )
     en = F.sqrt(F.col("n_a") * F.col("n_b") / (F.col("n_a") + F.col("n_b")))
     lam = en * F.col("statistic")

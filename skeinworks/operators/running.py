@@ -18,15 +18,42 @@ def range_count(df: DataFrame) -> int:
     return max(16, min(512, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))))
 
 
-def with_range(df: DataFrame, on: Column, *, ranges: int | None = None, name: str = "_range") -> DataFrame:
-    """Add the number of the equal-count range that `on` (numeric) falls into."""
+def with_range(
+    df: DataFrame, on: Column, *, ranges: int | None = None, name: str = "_range", bounds_from: DataFrame | None = None
+) -> DataFrame:
+    """Add the number of the equal-count range that `on` (numeric) falls into.
+
+    The bounds come from one pass over that single column, of `bounds_from` when given.
+    """
     ranges = ranges or range_count(df)
     steps = [i / ranges for i in range(1, ranges)]
-    bounds = df.agg(F.percentile_approx(on.cast("double"), steps, 10_000)).scalar()
+    source = bounds_from if bounds_from is not None else df
+    bounds = source.agg(F.percentile_approx(on.cast("double"), steps, 10_000)).scalar()
     inside = F.size(F.filter("_bounds", lambda b: b < on.cast("double")))
     return df.withColumn("_bounds", bounds).withColumn(name, F.coalesce(inside, F.lit(0))).drop("_bounds")
 
 
+def placed_by_range(df: DataFrame, keys: list[str], on: Column, **options) -> DataFrame:
+    """Rows shuffled once by (key, range); windows and sums per (key, range) need no other shuffle."""
+    ranged = with_range(df, on, **options)
+    return ranged.repartition(*[F.col(c) for c in (*keys, "_range")])
+
+
+def totals_per_range(placed: DataFrame, keys: list[str], aggs: list[Column]) -> DataFrame:
+    """One row per (key, range).
+
+    It reads every column of `placed`, like the windows do: with fewer columns it would be
+    planned on a shuffle of its own, and the input would be computed twice.
+    """
+    per = placed.groupBy(*keys, "_range").agg(*aggs, F.max(F.xxhash64(*placed.columns)).alias("_read"))
+    return per.where(F.col("_read").isNotNull()).drop("_read")
+
+
+def before_range(keys: list[str]):
+    """The ranges of a key ahead of the present one: at most as many rows as there are ranges."""
+    return Window.partitionBy(*(keys or [F.lit(0)])).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+
+
 def running(
     df: DataFrame,
     keys: list[str],
@@ -35,27 +62,32 @@ def running(
     *,
     range_on: Column,
     ranges: int | None = None,
+    bounds_from: DataFrame | None = None,
+    totals: dict[str, str] | None = None,
 ) -> DataFrame:
     """Add inclusive running sum/min/max columns per key in the given order.
 
-    `aggs` maps an output name to (kind, column). `range_on` must be numeric and
-    must sort like the first order column.
+    `aggs` maps an output name to (kind, column). `range_on` must be numeric and must sort like
+    the first order column. `totals` adds, per key, the overall value of a running column.
     """
-    ranged = with_range(df, range_on, ranges=ranges)
     part = [*keys, "_range"]
-    totals = ranged.groupBy(*part).agg(*[_AGG[k](c).alias(f"_t_{n}") for n, (k, c) in aggs.items()])
-    # one row per (key, range): at most `ranges` rows in a partition of this window
-    before = Window.partitionBy(*(keys or [F.lit(0)])).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
-    carried = totals.select(
+    placed = placed_by_range(df, keys, range_on, ranges=ranges, bounds_from=bounds_from)
+    sums = totals_per_range(placed, keys, [_AGG[k](c).alias(f"_t_{n}") for n, (k, c) in aggs.items()])
+    whole = Window.partitionBy(*(keys or [F.lit(0)]))
+    carried = sums.select(
         *[F.col(c).alias(f"_k_{c}") for c in part],
-        *[_AGG[k](f"_t_{n}").over(before).alias(f"_c_{n}") for n, (k, _) in aggs.items()],
+        *[_AGG[k](f"_t_{n}").over(before_range(keys)).alias(f"_c_{n}") for n, (k, _) in aggs.items()],
+        *[_AGG[aggs[n][0]](f"_t_{n}").over(whole).alias(out) for out, n in (totals or {}).items()],
     )
     local = Window.partitionBy(*part).orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    scanned = ranged.select("*", *[_AGG[k](c).over(local).alias(f"_l_{n}") for n, (k, c) in aggs.items()])
-    same = [F.col(c).eqNullSafe(F.col(f"_k_{c}")) for c in part]
-    joined = scanned.join(carried, _all(same), "left")
+    scanned = placed.select("*", *[_AGG[k](c).over(local).alias(f"_l_{n}") for n, (k, c) in aggs.items()])
+    joined = with_carried(scanned, carried, part)
     merged = [_MERGE[k](F.col(f"_l_{n}"), F.col(f"_c_{n}")).alias(n) for n, (k, _) in aggs.items()]
-    return joined.select(*df.columns, *merged)
+    return joined.select(*df.columns, *merged, *(totals or {}))
+
+
+def with_carried(scanned: DataFrame, carried: DataFrame, part: list[str]) -> DataFrame:
+    return scanned.join(carried, _all([F.col(c).eqNullSafe(F.col(f"_k_{c}")) for c in part]), "left")
 
 
 def _all(conds: list[Column]) -> Column:
@@ -65,27 +97,24 @@ def _all(conds: list[Column]) -> Column:
     return out
 
 
-def counted_values(df: DataFrame, keys: list[str], value: str, *, ranges: int | None = None) -> DataFrame:
+def counted_values(
+    df: DataFrame, keys: list[str], value: str, *, ranges: int | None = None, totals: dict[str, str] | None = None
+) -> DataFrame:
     """Distinct values per key with their count `n` and running count `upto`."""
     counts = df.where(F.col(value).isNotNull()).groupBy(*keys, value).agg(F.count(F.lit(1)).alias("n"))
     return running(
-        counts, keys, [F.col(value)], {"upto": ("sum", F.col("n"))}, range_on=F.col(value), ranges=ranges
-    )
+        counts, keys, [F.col(value)], {"upto": ("sum", F.col("n"))},
+        range_on=F.col(value), ranges=ranges, bounds_from=df.select(value), totals=totals,
+    )
 
 
 def values_at(df: DataFrame, keys: list[str], value: str, picks: dict, *, ranges: int | None = None) -> DataFrame:
     """Exact sorted-order picks: for each name, the value at 0-based index picks[name](n).
 
-    `n` is the column with the number of non-null values of the key. The result has
-    the keys, `n` and one column per pick.
+    `n` is the column with the number of non-null values of the key. The result has the keys,
+    `n` and one column per pick. Only distinct values and their counts are shuffled.
     """
-    steps = counted_values(df, keys, value, ranges=ranges)
-    sizes = steps.groupBy(*keys).agg(F.sum("n").alias("_size"))
-    if keys:
-        named = sizes.select(*[F.col(k).alias(f"_s_{k}") for k in keys], "_size")
-        sized = steps.join(named, _all([F.col(k).eqNullSafe(F.col(f"_s_{k}")) for k in keys]))
-    else:
-        sized = steps.withColumn("_size", sizes.select("_size").scalar())
+    sized = counted_values(df, keys, value, ranges=ranges, totals={"_size": "upto"})
     first = F.col("upto") - F.col("n")
     chosen = []
     for name, index in picks.items():

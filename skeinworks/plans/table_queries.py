@@ -355,13 +355,13 @@ def _(spark, sf):
 @query(
     "freshness_by_source",
     """SELECT event_type, strftime(max(ts), '%Y-%m-%d %H:%M:%S') AS last_seen, round(avg((value < 45)::INT), 6) AS success_rate, count(*) AS records,
-      round(date_diff('second', max(ts), TIMESTAMP '2024-01-31 00:00:00') / 60, 1) AS age_minutes, round(1 - avg((value < 45)::INT), 6) AS error_rate,
-      date_diff('second', max(ts), TIMESTAMP '2024-01-31 00:00:00') / 60 > 30 AS stale FROM events GROUP BY 1""",
+      round(date_diff('microsecond', max(ts), TIMESTAMP '2024-01-31 00:00:00') / 60000000, 6) AS age_minutes, round(1 - avg((value < 45)::INT), 6) AS error_rate,
+      date_diff('microsecond', max(ts), TIMESTAMP '2024-01-31 00:00:00') / 60000000 > 30 AS stale FROM events GROUP BY 1""",
 )
 def _(spark, sf):
     d = H.freshness(table(spark, sf, "events"), "event_type", "ts", F.col("value") < 45, as_of=as_of(), limit_minutes=30)
     d = d.withColumn("last_seen", F.date_format("last_seen", "yyyy-MM-dd HH:mm:ss"))
-    return _r(_r(d, 6, "success_rate", "error_rate"), 1, "age_minutes")
+    return _r(d, 6, "success_rate", "error_rate", "age_minutes")
 
 
 _DUE = """s AS (SELECT user_id, CASE user_id % 3 WHEN 0 THEN 'high' WHEN 1 THEN 'medium' ELSE 'low' END AS priority, max(ts) AS last FROM events GROUP BY 1)"""
@@ -429,10 +429,11 @@ def _(spark, sf):
 def _(spark, sf):
     out = fresh_folder(spark, "json")
     c = table(spark, sf, "conversations").select("conv_id", "turn", "role")
-    c.groupBy("role").agg(F.lit(1)).select("role").write.mode("overwrite").json(out + "/roles")
-    lines = c.select(F.concat(F.lit("["), F.to_json(F.struct("conv_id", "turn", "role")), F.lit("]")).alias("value"))
-    lines.write.option("maxRecordsPerFile", 1).text(out + "/records")
-    return RD.read_json_records(spark, out + "/records", "conv_id long, turn long, role string")
+    files = -(-c.count() // 500)
+    spread = F.pmod(F.xxhash64("conv_id", "turn"), F.lit(files))
+    arrays = c.groupBy(spread.alias("file")).agg(F.to_json(F.collect_list(F.struct("conv_id", "turn", "role"))).alias("value"))
+    arrays.select("value").write.option("maxRecordsPerFile", 1).text(out)
+    return RD.read_json_records(spark, out, "conv_id long, turn long, role string")
 
 
 @query("source_bulk_ndjson", "SELECT vec_id, label, len(embedding) AS dims FROM embeddings")
@@ -566,7 +567,8 @@ def _(spark, sf):
 
 
 def _stream(spark, sf, name):
-    return X.arriving(spark, f"{sf}/{name}.parquet", table(spark, sf, name).schema)
+    # a pattern, so that the table may be a single file as well as a folder
+    return X.arriving(spark, f"{sf}/{name}.parque?", table(spark, sf, name).schema)
 
 
 _QC = f"""SELECT doc_id, (length(text) >= 10)::INT + regexp_matches(text, '(?i){fv.PRODUCT_PATTERN}')::INT + regexp_matches(text, '(?i){fv.OPINION_PATTERN}')::INT

@@ -14,7 +14,7 @@ from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from ..functions import text as T
 from ..operators import chunking as C
-from ..operators.running import running
+from ..operators.logs import failure_state
 from ..sources.writers import upsert
 
 
@@ -102,11 +102,6 @@ def circuit_states(
 
     def step(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        order = [F.col(ts), F.col(tie)]
-        at = F.unix_micros(F.col(ts).cast("timestamp"))
-        fails = (~F.col(ok)).cast("int")
-        a = running(batch, [key], order, {"_f": ("sum", fails)}, range_on=at)
-        b = running(a, [key], order, {"_base": ("max", F.when(F.col(ok), F.col("_f")))}, range_on=at)
         if batch_id > 0:
             known = spark.read.parquet(f"{folder}/states/batch={batch_id - 1}")
         else:
@@ -114,12 +109,7 @@ def circuit_states(
             known = spark.createDataFrame(
                 [], f"{key} {kinds[key]}, failures long, last_failure {kinds[ts]}, last_success {kinds[ts]}"
             )
-        before = known.select(key, F.col("failures").alias("_carried"))
-        count = F.when(F.col("_base").isNull(), F.col("_f") + F.coalesce("_carried", F.lit(0))).otherwise(
-            F.col("_f") - F.col("_base")
-        )
-        counted = b.join(before, key, "left").withColumn("failure_count", count.cast("long"))
-        rows = counted.select(*batch.columns, "failure_count", (F.col("failure_count") > opens_above).alias("is_open"))
+        rows = failure_state(batch, key, ts, tie, ok, opens_above=opens_above, carried=known)
         rows.write.mode("overwrite").parquet(f"{folder}/attempts/batch={batch_id}")
         done = spark.read.parquet(f"{folder}/attempts/batch={batch_id}")
         news = done.groupBy(key).agg(
