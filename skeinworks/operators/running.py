@@ -43,7 +43,8 @@ def totals_per_range(placed: DataFrame, keys: list[str], aggs: list[Column]) ->
     """One row per (key, range).
 
     It reads every column of `placed`, like the windows do: with fewer columns it would be
-    planned on a shuffle of its own, and the input would be computed twice.
+    planned on a shuffle of its own, and the input would be computed twice. So select the
+    columns that are wanted before calling these operators, not after.
     """
     per = placed.groupBy(*keys, "_range").agg(*aggs, F.max(F.xxhash64(*placed.columns)).alias("_read"))
     return per.where(F.col("_read").isNotNull()).drop("_read")

@@ -517,8 +517,8 @@ def _(spark, sf):
     SELECT user_id, event_id, success, fc::BIGINT AS failure_count, fc > 5 AS is_open FROM c""",
 )
 def _(spark, sf):
-    d = L.failure_state(V.search_log(spark, sf), "user_id", "ts", "event_id", "success")
-    return d.select("user_id", "event_id", "success", "failure_count", "is_open")
+    log = V.search_log(spark, sf).select("user_id", "event_id", "ts", "success")
+    return L.failure_state(log, "user_id", "ts", "event_id", "success").drop("ts")
 
 
 _ATT = """att AS (SELECT l_orderkey AS request, l_linenumber AS attempt,
