@@ -28,8 +28,13 @@ def strip(c) -> Column:
     return F.regexp_replace(_c(c), f"^{fv.SPACE}+|{fv.SPACE}+$", "")
 
 
+def single_spaced(c) -> Column:
+    """Every run of white space as one blank. Blanks that stand alone are not even matched."""
+    return F.regexp_replace(_c(c), fv.SPACE + "{2,}|(?! )" + fv.SPACE, " ")
+
+
 def collapse_space(c) -> Column:
-    return strip(F.regexp_replace(_c(c), fv.SPACE + "+", " "))
+    return F.trim(single_spaced(c))
 
 
 def redact_pii(c) -> Column:
@@ -41,12 +46,13 @@ def redact_pii(c) -> Column:
 
 def clean_text(c) -> Column:
     """Collapse white space and keep only word characters, spaces and .,!?;:-'\""""
-    x = F.regexp_replace(_c(c), fv.SPACE + "+", " ")
-    return strip(F.regexp_replace(x, r"""[^\p{L}\p{N}_ .,!?;:\-'"]""", ""))
+    return F.trim(F.regexp_replace(single_spaced(c), r"""[^\p{L}\p{N}_ .,!?;:\-'"]""", ""))
 
 
 def word_count(c) -> Column:
-    return F.regexp_count(_c(c), F.lit(f"[^{fv.SPACE[1:]}+"))
+    """Blanks between words plus one."""
+    x = collapse_space(c)
+    return F.when(x == "", 0).otherwise(F.length(x) - F.length(F.replace(x, F.lit(" "), F.lit(""))) + 1)
 
 
 def token_estimate(c) -> Column:
@@ -55,7 +61,7 @@ def token_estimate(c) -> Column:
 
 
 def avg_word_length(c) -> Column:
-    letters = F.length(F.regexp_replace(_c(c), fv.SPACE + "+", ""))
+    letters = F.length(F.replace(collapse_space(c), F.lit(" "), F.lit("")))
     return letters / F.greatest(word_count(c), F.lit(1))
 
 
@@ -274,7 +280,7 @@ def term_counts(df, text_tokens: str, out: str = "term_counts"):
     The tokens are sorted and the run lengths read off, so the work is n log n in the
     length of one text and needs no shuffle.
     """
-    d = df.withColumn("_sorted", F.array_sort(text_tokens))
+    d = df.withColumn("_sorted", F.sort_array(text_tokens))
     d = d.withColumn(
         "_starts",
         F.when(F.size("_sorted") == 0, F.array().cast("array<int>")).otherwise(

@@ -59,14 +59,13 @@ def term_join_top_k(
 ) -> DataFrame:
     """The k documents with the largest summed weights of the query's terms.
 
-    Documents are partitioned by id once, before their terms fan out; the broadcast join, the
-    sum per (query, document) and the cut to k rows all stay in that partition, however common
-    a term is. Only k rows per query and task are shuffled.
+    `docs` must be partitioned by doc_id, best while they are still plain text. The broadcast
+    join, the sum per (query, document) and the cut to k rows then all stay in that partition,
+    however common a term is, and only k rows per query and task are shuffled.
 
     With `keep_zero`, documents without any query term stay eligible, lowest id first.
     """
-    placed = docs.select("doc_id", terms).repartition("doc_id")
-    postings = fan_out(placed, "doc_id", terms)
+    postings = fan_out(docs, "doc_id", terms)
     asked = fan_out(queries, "query_id", "q_terms").withColumnRenamed("weight", "asked")
     if fits(queries, F.coalesce(F.size("q_terms"), F.lit(0)) * 96):
         asked = F.broadcast(asked)
@@ -84,10 +83,14 @@ def term_join_top_k(
     return rank_top(both, "query_id", "score", "doc_id", k)
 
 
+def _placed(docs: DataFrame, text: str) -> DataFrame:
+    return docs.select("doc_id", text).repartition("doc_id")
+
+
 def keyword_search(queries: DataFrame, docs: DataFrame, k: int = 5, *, query: str = "query", text: str = "text") -> DataFrame:
     """Best k documents by query-term occurrences per 1000 tokens."""
     q = queries.select("query_id", query_terms(T.tokens(query)).alias("q_terms"))
-    return term_join_top_k(q, keyword_weights(docs.select("doc_id", text), text), k)
+    return term_join_top_k(q, keyword_weights(_placed(docs, text), text), k)
 
 
 def bm25_search(
@@ -96,7 +99,7 @@ def bm25_search(
 ) -> DataFrame:
     """Best k documents by BM25; plain statistics (idf 1, length 100) or those of the corpus."""
     q = queries.select("query_id", query_terms(T.words(F.lower(F.col(query)))).alias("q_terms"))
-    d = docs.select("doc_id", text)
+    d = _placed(docs, text)
     if not corpus_statistics:
         return term_join_top_k(q, bm25_weights(d, text, k1=k1, b=b), k)
     avg = d.agg(F.avg(T.word_count(text))).scalar()

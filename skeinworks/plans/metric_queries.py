@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from ..functions import fixed_values as fv, text as T
 from ..operators import logs as L, regression as R, scoring as S
 from . import views as V
-from .registry import query, table
+from .registry import documents, query, table
 from .text_queries import sql_words
 
 _REG = """count(*) AS n, avg(abs((t - p) / t)) * 100 AS mape, avg(abs(t - p)) AS mae,
@@ -192,7 +192,7 @@ _REV = f"""reviews AS (SELECT doc_id, source, text,
 
 
 def reviews(spark, sf):
-    d = table(spark, sf, "documents")
+    d = documents(spark, sf)
     w = T.words("text")
     return d.select(
         "doc_id",
@@ -493,7 +493,7 @@ def _(spark, sf):
     SELECT doc_id, n_chars, text_md5 FROM r WHERE r = 1""",
 )
 def _(spark, sf):
-    d = S.first_of_prefix(table(spark, sf, "documents"), [], "text", ["doc_id"])
+    d = S.first_of_prefix(documents(spark, sf), [], "text", ["doc_id"])
     return d.select("doc_id", "n_chars", F.md5("text").alias("text_md5"))
 
 
@@ -503,7 +503,7 @@ def _(spark, sf):
       round(1 - count(DISTINCT md5(text)) / count(*), 9) AS saved_share FROM documents""",
 )
 def _(spark, sf):
-    return _round(S.distinct_share(table(spark, sf, "documents"), "text"), ["saved_share"], 9)
+    return _round(S.distinct_share(documents(spark, sf), "text"), ["saved_share"], 9)
 
 
 # ---- window-shaped --------------------------------------------------------------------

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from ..functions import text as T
 from ..operators import classify as K, ranking as R, scoring as S, series as N
 from . import views as V
-from .registry import query, table
+from .registry import documents, query, table
 
 
 def _r(df, digits=6, *names):
@@ -248,7 +248,7 @@ V.SQL["credit"] = """
 
 
 def credit(spark, sf):
-    d = table(spark, sf, "documents").select("doc_id", "text", "lang")
+    d = documents(spark, sf).select("doc_id", "text", "lang")
     n = F.length("text")
     return table(spark, sf, "labels").join(d, "doc_id").select(
         "doc_id",

@@ -6,6 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from ..sources.readers import spread_out
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
@@ -26,3 +28,8 @@ def query(name: str, sql: str | None = None):
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
+
+
+def documents(spark: SparkSession, folder: str) -> DataFrame:
+    """The documents for costly text work: spread over the cores when they come in too few splits."""
+    return spread_out(table(spark, folder, "documents"), "doc_id")

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from ..functions import fixed_values as fv, queries as Q, text as T
 from ..operators import chunking as C, evaluate as M, lexical as X, retrieval as R, vector as VV
 from . import views as V
-from .registry import query, table
+from .registry import documents, query, table
 from .text_queries import SP, SQL_CLEAN, sql_hits, sql_strip, sql_words
 
 COS = "round(list_cosine_similarity({a}.embedding::DOUBLE[], {b}.embedding::DOUBLE[]), 10)"
@@ -145,7 +145,7 @@ def _(spark, sf):
 @query("embedding_hashed_text")
 def _(spark, sf):
     """Stand-in encoder over all documents: vector length and non-zero share per document."""
-    enc, _ = VV.hashing_encoder(table(spark, sf, "documents").select("doc_id", "text"), "text")
+    enc, _ = VV.hashing_encoder(documents(spark, sf).select("doc_id", "text"), "text")
     return enc.select("doc_id", F.round(VV.norm("embedding"), 5).alias("norm"), F.size("embedding").alias("dims"))
 
 
@@ -196,7 +196,7 @@ def _kw_sql(k: int) -> str:
 @query("keyword_search", _kw_sql(5))
 def _(spark, sf):
     """Clean and chunk all documents, then the best chunks for every benchmark text."""
-    clean = table(spark, sf, "documents").select("doc_id", T.clean_text("text").alias("text"))
+    clean = documents(spark, sf).select("doc_id", T.clean_text("text").alias("text"))
     chunks = C.word_windows(clean).select(
         F.concat_ws("_chunk_", F.col("doc_id").cast("string"), F.col("chunk_index").cast("string")).alias("doc_id"),
         F.col("chunk_text").alias("text"),
@@ -226,7 +226,7 @@ def _bm25_sql(idf: str, avg: str) -> str:
 
 def _bm(spark, sf, **o):
     q = table(spark, sf, "benchmark").select(F.col("item_id").alias("query_id"), F.col("text").alias("query"))
-    return X.bm25_search(q, table(spark, sf, "documents"), 5, **o).withColumn("score", F.round("score", 6))
+    return X.bm25_search(q, documents(spark, sf), 5, **o).withColumn("score", F.round("score", 6))
 
 
 @query("bm25_search", _bm25_sql("1.0::DOUBLE", "100"))
@@ -817,7 +817,7 @@ def _topics(spark, sf):
 )
 def _(spark, sf):
     q, t = _topics(spark, sf)
-    docs = table(spark, sf, "documents").select("doc_id", "text")
+    docs = documents(spark, sf).select("doc_id", "text")
     m = M.topic_metrics(X.bm25_search(q, docs, 5), docs, t)
     return m.select("query_id", "total_relevant", "relevant_retrieved", *[F.round(c, 6).alias(c) for c in ("precision", "recall", "f1_score")])
 
@@ -835,7 +835,7 @@ def _(spark, sf):
 )
 def _(spark, sf):
     q, t = _topics(spark, sf)
-    docs = table(spark, sf, "documents").select("doc_id", "text")
+    docs = documents(spark, sf).select("doc_id", "text")
     m = M.topic_coverage(X.bm25_search(q, docs, 5), docs, t)
     return m.select(
         "query_id", "expected_count", "true_positives", "retrieved_count", *[F.round(c, 6).alias(c) for c in ("precision", "recall", "f1_score")]

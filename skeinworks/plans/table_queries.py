@@ -10,7 +10,7 @@ from ..session import fresh_folder
 from ..sources import readers as RD, writers as W
 from ..streaming import jobs as X
 from . import views as V
-from .registry import query, table
+from .registry import documents, query, table
 from .text_queries import SP, SQL_CLEAN, SQL_REDACT, sql_collapse, sql_strip, sql_words
 
 AS_OF = "TIMESTAMP_NTZ '2024-01-31 00:00:00'"
@@ -44,7 +44,7 @@ def _(spark, sf):
 
 @query("filter_min_length_raw", "SELECT doc_id, n_chars FROM documents WHERE length(text) >= 10")
 def _(spark, sf):
-    return P.min_length(table(spark, sf, "documents"), "text", stripped=False).select("doc_id", "n_chars")
+    return P.min_length(documents(spark, sf), "text", stripped=False).select("doc_id", "n_chars")
 
 
 @query("filter_metadata", "SELECT doc_id, lang, source FROM documents WHERE lang = 'fr' AND source IN ('src1', 'src2', 'src3')")
@@ -158,7 +158,7 @@ def _(spark, sf):
 )
 def _(spark, sf):
     hits = table(spark, sf, "embeddings").select(F.col("vec_id").alias("id"))
-    store = table(spark, sf, "documents").where("lang <> 'es'").select(F.col("doc_id").alias("id"), "text")
+    store = documents(spark, sf).where("lang <> 'es'").select(F.col("doc_id").alias("id"), "text")
     return J.resolved_ids(hits, store).select("id", F.length("text").alias("chars"), "resolved")
 
 
@@ -168,7 +168,7 @@ def _(spark, sf):
 )
 def _(spark, sf):
     hits = table(spark, sf, "embeddings").select(F.col("vec_id").alias("id"))
-    store = table(spark, sf, "documents").where("lang <> 'es'").select(F.col("doc_id").alias("id"), "text")
+    store = documents(spark, sf).where("lang <> 'es'").select(F.col("doc_id").alias("id"), "text")
     return J.unresolved_count(hits, store)
 
 
@@ -199,12 +199,12 @@ _CH = f"""w AS (SELECT doc_id, {sql_words("text")} AS ws FROM documents), c AS (
 
 
 def _chunks(spark, sf):
-    return C.word_windows(table(spark, sf, "documents").select("doc_id", "text"), keep_short_text=False)
+    return C.word_windows(documents(spark, sf).select("doc_id", "text"), keep_short_text=False)
 
 
 @query("join_parent_metadata", f"WITH {_CH} SELECT doc_id, chunk_index, lang, source FROM c JOIN documents USING (doc_id)")
 def _(spark, sf):
-    return J.with_parent(_chunks(spark, sf), table(spark, sf, "documents"), "doc_id", ["lang", "source"]).drop("chunk_text")
+    return J.with_parent(_chunks(spark, sf), documents(spark, sf), "doc_id", ["lang", "source"]).drop("chunk_text")
 
 
 @query("join_zipped", f"WITH {_CH} SELECT c.doc_id, chunk_index, label FROM c JOIN embeddings e ON e.vec_id = c.doc_id AND chunk_index = 0")
@@ -236,7 +236,7 @@ def _(spark, sf):
     "SELECT doc_id AS id, text, lang FROM documents UNION ALL SELECT item_id, text, NULL FROM benchmark",
 )
 def _(spark, sf):
-    d = table(spark, sf, "documents").select(F.col("doc_id").alias("id"), "text", "lang")
+    d = documents(spark, sf).select(F.col("doc_id").alias("id"), "text", "lang")
     b = table(spark, sf, "benchmark").select(F.col("item_id").alias("id"), "text")
     return d.unionByName(b, allowMissingColumns=True)
 
@@ -322,7 +322,7 @@ _VERS = f"""old AS (SELECT d.doc_id AS id, d.text FROM documents d LEFT JOIN lab
 
 def _versions(spark, sf):
     """Two states of the documents: before and after moderation (toxic out, low quality in, English cleaned)."""
-    d = table(spark, sf, "documents").join(table(spark, sf, "labels"), "doc_id", "left").withColumnRenamed("doc_id", "id")
+    d = documents(spark, sf).join(table(spark, sf, "labels"), "doc_id", "left").withColumnRenamed("doc_id", "id")
     old = d.where(~F.col("quality").eqNullSafe(0)).select("id", "text")
     new = d.where(~F.col("toxic").eqNullSafe(1)).select(
         "id", F.when(F.col("lang") == "en", T.clean_text("text")).otherwise(F.col("text")).alias("text")
@@ -498,7 +498,7 @@ def _(spark, sf):
 @query("sink_reports_by_source", "SELECT source, count(*) AS n, sum(n_chars)::BIGINT AS chars FROM documents GROUP BY 1")
 def _(spark, sf):
     out = fresh_folder(spark, "reports")
-    d = table(spark, sf, "documents").select("source", F.struct("doc_id", "n_chars", T.quality_checks("text").alias("checks")).alias("report"))
+    d = documents(spark, sf).select("source", F.struct("doc_id", "n_chars", T.quality_checks("text").alias("checks")).alias("report"))
     W.write_reports(d, out)
     back = spark.read.schema("report struct<doc_id: long, n_chars: long>, source string").json(out)
     return back.groupBy("source").agg(F.count(F.lit(1)).alias("n"), F.sum("report.n_chars").alias("chars"))
@@ -525,7 +525,7 @@ def _(spark, sf):
     SELECT coalesce(u.id, o.id) AS id, coalesce(u.status, o.status) AS status, o.size, u.error FROM o FULL JOIN u ON o.id = u.id""",
 )
 def _(spark, sf):
-    old = table(spark, sf, "documents").select(F.col("doc_id").alias("id"), F.lit("pending").alias("status"), F.col("n_chars").alias("size"))
+    old = documents(spark, sf).select(F.col("doc_id").alias("id"), F.lit("pending").alias("status"), F.col("n_chars").alias("size"))
     upd = table(spark, sf, "labels").select(
         F.col("doc_id").alias("id"),
         F.when(F.col("quality") == 1, "completed").otherwise("failed").alias("status"),
@@ -552,7 +552,7 @@ def _(spark, sf):
 def _(spark, sf):
     """Metadata, chunks, links, vectors and a merged store, then one result row per document."""
     out = fresh_folder(spark, "build")
-    docs = table(spark, sf, "documents").select("doc_id", "text")
+    docs = documents(spark, sf).select("doc_id", "text")
     chunks = C.linked_chunks(C.word_windows(docs, keep_short_text=False))
     encoded, _ = VV.hashing_encoder(chunks, "chunk_text", dims=64)
     W.upsert(encoded.withColumn("stamp", as_of()), out, "chunk_id", [F.col("stamp")], buckets=16)

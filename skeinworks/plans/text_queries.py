@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from ..functions import fixed_values as fv, text as T
 from ..operators import chunking as C
 from . import views as V
-from .registry import query, table
+from .registry import documents, query, table
 
 SP = fv.SPACE.replace("'", "''")
 
@@ -44,7 +44,7 @@ def _(spark, sf):
 @query("text_clean", f"SELECT doc_id, md5({SQL_CLEAN}) AS cleaned_md5, length({SQL_CLEAN}) AS n FROM documents")
 def _(spark, sf):
     c = T.clean_text("text")
-    return table(spark, sf, "documents").select("doc_id", F.md5(c).alias("cleaned_md5"), F.length(c).alias("n"))
+    return documents(spark, sf).select("doc_id", F.md5(c).alias("cleaned_md5"), F.length(c).alias("n"))
 
 
 @query(
@@ -60,7 +60,7 @@ def _(spark, sf):
     FROM m""",
 )
 def _(spark, sf):
-    d = table(spark, sf, "documents").withColumn("_a", T.avg_word_length("text"))
+    d = documents(spark, sf).withColumn("_a", T.avg_word_length("text"))
     return d.select(
         "doc_id",
         F.length("text").alias("character_count"),
@@ -85,7 +85,7 @@ def _topic_sql() -> str:
 
 @query("text_topic_labels", _topic_sql())
 def _(spark, sf):
-    return table(spark, sf, "documents").select("doc_id", F.array_join(T.topic_labels("text"), ",").alias("topics"))
+    return documents(spark, sf).select("doc_id", F.array_join(T.topic_labels("text"), ",").alias("topics"))
 
 
 @query(
@@ -119,7 +119,7 @@ _QC = f"""length(text) >= 10 AS min_length, regexp_matches(text, '(?i){fv.PRODUC
       + has_structure::INT) / 5::DOUBLE AS quality_score FROM q""",
 )
 def _(spark, sf):
-    return table(spark, sf, "documents").select("doc_id", T.quality_checks("text").alias("q")).select("doc_id", "q.*")
+    return documents(spark, sf).select("doc_id", T.quality_checks("text").alias("q")).select("doc_id", "q.*")
 
 
 _SURVEY_SQL = """survey AS (SELECT c_custkey AS customer_id,
@@ -223,7 +223,7 @@ def _(spark, sf):
 
 @query("text_content_key", "SELECT doc_id, md5(text) AS content_key FROM documents")
 def _(spark, sf):
-    return table(spark, sf, "documents").select("doc_id", F.md5("text").alias("content_key"))
+    return documents(spark, sf).select("doc_id", F.md5("text").alias("content_key"))
 
 
 @query(
@@ -233,7 +233,7 @@ def _(spark, sf):
       length(CASE WHEN length(text) > 2000 THEN substr(text, 1, 2000) ELSE text END) AS n2000 FROM documents""",
 )
 def _(spark, sf):
-    return table(spark, sf, "documents").select(
+    return documents(spark, sf).select(
         "doc_id",
         T.truncate("text", 200, "...").alias("preview"),
         F.length(T.truncate("text", 500)).alias("n500"),
@@ -326,7 +326,7 @@ def _(spark, sf):
     + " FROM x",
 )
 def _(spark, sf):
-    d = table(spark, sf, "documents")
+    d = documents(spark, sf)
     cols = []
     for k in fv.ENTITY_PATTERNS:
         e = T.entities("text", k)
@@ -348,7 +348,7 @@ _WW = f"""w AS (SELECT doc_id, text, {sql_words("text")} AS ws FROM documents),
     UNION ALL SELECT doc_id, 0, md5(text), length(text) FROM w WHERE len(ws) = 0""",
 )
 def _(spark, sf):
-    d = C.word_windows(table(spark, sf, "documents").select("doc_id", "text"))
+    d = C.word_windows(documents(spark, sf).select("doc_id", "text"))
     return d.select("doc_id", "chunk_index", F.md5("chunk_text").alias("chunk_md5"), F.length("chunk_text").alias("chunk_length"))
 
 
@@ -357,7 +357,7 @@ def _(spark, sf):
     f"""WITH {_WW} SELECT doc_id, s // 351 AS chunk_index, md5(array_to_string(ws[s + 1 : s + 390], ' ')) AS chunk_md5 FROM c""",
 )
 def _(spark, sf):
-    d = C.word_windows(table(spark, sf, "documents").select("doc_id", "text"), keep_short_text=False)
+    d = C.word_windows(documents(spark, sf).select("doc_id", "text"), keep_short_text=False)
     return d.select("doc_id", "chunk_index", F.md5("chunk_text").alias("chunk_md5"))
 
 
@@ -379,7 +379,7 @@ def _snap_end(s: str, size: int = 1000) -> str:
 
 @query("chunk_sentence_windows", _SNAP.replace("@end0@", _snap_end("0")).replace("@end1@", _snap_end("s2")))
 def _(spark, sf):
-    d = C.sentence_windows(table(spark, sf, "documents").select("doc_id", "text"))
+    d = C.sentence_windows(documents(spark, sf).select("doc_id", "text"))
     return d.select("doc_id", "chunk_index", "start_pos", "end_pos", F.md5("chunk_text").alias("chunk_md5"))
 
 
@@ -422,7 +422,7 @@ def _(spark, sf):
 
 @query("chunk_recursive")
 def _(spark, sf):
-    return C.recursive_windows(table(spark, sf, "documents").select("doc_id", "text"), size=1000, overlap=150)
+    return C.recursive_windows(documents(spark, sf).select("doc_id", "text"), size=1000, overlap=150)
 
 
 @query(
@@ -433,7 +433,7 @@ def _(spark, sf):
       AS section_md5 FROM c""",
 )
 def _(spark, sf):
-    d = C.coarse_sections(table(spark, sf, "documents").select("doc_id", "text"))
+    d = C.coarse_sections(documents(spark, sf).select("doc_id", "text"))
     return d.select("doc_id", "section_index", F.md5("section_text").alias("section_md5"))
 
 
@@ -448,7 +448,7 @@ def _(spark, sf):
     SELECT doc_id, unnest(range(0, len(parts))) AS chunk_index, md5(unnest(parts)) AS chunk_md5 FROM q""",
 )
 def _(spark, sf):
-    d = table(spark, sf, "documents")
+    d = documents(spark, sf)
     g = F.when(F.col("n_chars") % 7 == 0, "---CHUNK---").otherwise(
         F.replace("text", F.lit("\n"), F.lit("\n---CHUNK---"))
     )
@@ -458,7 +458,7 @@ def _(spark, sf):
 
 @query("chunk_semantic_fallback")
 def _(spark, sf):
-    return C.semantic_fallback(table(spark, sf, "documents").select("doc_id", "text"))
+    return C.semantic_fallback(documents(spark, sf).select("doc_id", "text"))
 
 
 @query(
@@ -483,7 +483,7 @@ def _(spark, sf):
     FROM k WINDOW w AS (PARTITION BY doc_id)""",
 )
 def _(spark, sf):
-    d = C.word_windows(table(spark, sf, "documents").select("doc_id", "text"), keep_short_text=False)
+    d = C.word_windows(documents(spark, sf).select("doc_id", "text"), keep_short_text=False)
     return C.linked_chunks(d).drop("chunk_text")
 
 
@@ -504,7 +504,7 @@ def _(spark, sf):
        '2024-01-31 00:00:00' AS created_at FROM c""",
 )
 def _(spark, sf):
-    d = C.word_windows(table(spark, sf, "documents").select("doc_id", "text"), keep_short_text=False)
+    d = C.word_windows(documents(spark, sf).select("doc_id", "text"), keep_short_text=False)
     r = C.store_records(d, "word", created_at=F.lit("2024-01-31 00:00:00"))
     return r.select(
         "chunk_id", "document_id", "strategy", F.md5("text").alias("text_md5"), "metadata.chunk_index", "created_at"

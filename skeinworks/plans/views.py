@@ -7,7 +7,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from .registry import table
+from .registry import documents, table
 
 SQL: dict[str, str] = {}
 
@@ -115,7 +115,7 @@ SQL["md_docs"] = """
 def md_docs(spark: SparkSession, folder: str) -> DataFrame:
     """Every document with its paragraphs as sections and its sentences as subsections."""
     t = F.replace(F.col("text"), F.lit(".\n"), F.lit(".\n## "))
-    return table(spark, folder, "documents").select(
+    return documents(spark, folder).select(
         "doc_id", F.replace(t, F.lit(". "), F.lit(".\n### ")).alias("text")
     )
 
@@ -163,7 +163,7 @@ SQL["doc_vec"] = """
 
 
 def doc_vec(spark: SparkSession, folder: str) -> DataFrame:
-    d = table(spark, folder, "documents").select("doc_id", "text", "lang", "source")
+    d = documents(spark, folder).select("doc_id", "text", "lang", "source")
     e = table(spark, folder, "embeddings").withColumnRenamed("vec_id", "doc_id")
     return d.join(e, "doc_id")
 

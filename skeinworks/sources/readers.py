@@ -78,3 +78,14 @@ def catalogued(spark: SparkSession, path: str, name: str, *, kind: str = "csv")
     d = spark.read.option("header", True).option("inferSchema", True).format(kind).load(path)
     d.createOrReplaceTempView(name)
     return d.schema
+
+
+def spread_out(df: DataFrame, key: str) -> DataFrame:
+    """Shuffle by key only when the input comes in fewer splits than there are cores.
+
+    A few files that cannot be split would keep costly text work on a few tasks; a table of
+    many files is left as it is.
+    """
+    if df.rdd.getNumPartitions() < df.sparkSession.sparkContext.defaultParallelism:
+        return df.repartition(df.sparkSession.sparkContext.defaultParallelism, key)
+    return df
