@@ -87,6 +87,26 @@ def keyword_hits(low: Column, keywords: list[str]) -> Column:
     return total
 
 
+def document_metrics(df, text: str = "text"):
+    """Characters, words, estimated tokens, mean word length, digits, links and reading level.
+
+    The white space is collapsed once, in a column of its own, and all counts are read off that.
+    """
+    d = df.withColumn("_flat", collapse_space(text)).withColumn("_letters", F.length(F.replace("_flat", F.lit(" "), F.lit(""))))
+    d = d.withColumn("word_count", F.when(F.col("_flat") == "", 0).otherwise(F.length("_flat") - F.col("_letters") + 1))
+    d = d.withColumn("avg_word_length", F.col("_letters") / F.greatest("word_count", F.lit(1)))
+    return d.select(
+        *df.columns,
+        F.length(text).alias("character_count"),
+        "word_count",
+        F.floor(F.col("word_count") / F.lit(0.75)).cast("long").alias("estimated_tokens"),
+        "avg_word_length",
+        has_number(text).alias("has_numbers"),
+        has_url(text).alias("has_urls"),
+        reading_level("avg_word_length").alias("reading_level"),
+    )
+
+
 def topic_labels(c, top_n: int = 3) -> Column:
     """The topics with most keyword hits, ties in list order, at most `top_n`."""
     low = F.lower(_c(c))

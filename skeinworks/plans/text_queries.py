@@ -60,17 +60,8 @@ def _(spark, sf):
     FROM m""",
 )
 def _(spark, sf):
-    d = documents(spark, sf).withColumn("_a", T.avg_word_length("text"))
-    return d.select(
-        "doc_id",
-        F.length("text").alias("character_count"),
-        T.word_count("text").alias("word_count"),
-        T.token_estimate("text").alias("estimated_tokens"),
-        F.round("_a", 9).alias("avg_word_length"),
-        T.has_number("text").alias("has_numbers"),
-        T.has_url("text").alias("has_urls"),
-        T.reading_level("_a").alias("reading_level"),
-    )
+    d = T.document_metrics(documents(spark, sf).select("doc_id", "text")).drop("text")
+    return d.withColumn("avg_word_length", F.round("avg_word_length", 9))
 
 
 def _topic_sql() -> str:
