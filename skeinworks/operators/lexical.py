@@ -37,12 +37,17 @@ def query_terms(tokens: Column) -> Column:
     )
 
 
-def corpus_idf(docs: DataFrame, terms: str = "terms") -> DataFrame:
-    """(term, idf) over the documents, log form, never negative."""
+def corpus_idf(docs: DataFrame, text: str, wanted: DataFrame) -> DataFrame:
+    """(term, idf) of the wanted terms over the documents, log form, never negative.
+
+    Only postings of wanted terms are counted and shuffled.
+    """
     n = docs.agg(F.count(F.lit(1))).scalar()
-    df = fan_out(docs, "doc_id", terms).groupBy("term").agg(
-        F.count(F.lit(1)).alias("df")
-    )
+    terms = docs.select(F.explode_outer(F.array_distinct(T.words(F.lower(F.col(text))))).alias("term"))
+    asked = wanted.select("term").distinct()
+    if fits(asked, F.octet_length("term")):
+        asked = F.broadcast(asked)
+    df = terms.join(asked, "term", "left_semi").groupBy("term").agg(F.count(F.lit(1)).alias("df"))
     return df.withColumn("_n", n).select(
         "term", F.log(1 + (F.col("_n") - F.col("df") + 0.5) / (F.col("df") + 0.5)).alias("idf")
     )
@@ -104,7 +109,8 @@ def bm25_search(
         return term_join_top_k(q, bm25_weights(d, text, k1=k1, b=b), k)
     avg = d.agg(F.avg(T.word_count(text))).scalar()
     weighted = bm25_weights(d.withColumn("_avg", avg), text, k1=k1, b=b, avg_len=F.col("_avg")).drop("_avg")
-    rare = fan_out(q, "query_id", "q_terms").join(corpus_idf(weighted), "term")
+    wanted = fan_out(q, "query_id", "q_terms")
+    rare = wanted.join(corpus_idf(docs, text, wanted), "term")
     q = rare.groupBy("query_id").agg(
         F.collect_list(F.struct("term", F.col("idf").alias("weight"))).alias("q_terms")
     )

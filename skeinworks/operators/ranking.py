@@ -71,7 +71,13 @@ def preference_sums(df: DataFrame, group: str, label: str, features: list[str])
 
     A pair is a better- and a worse-labelled row of one group. Its sums follow from the count,
     sum and product sums of each label, so no pair is ever built, however large a group is.
+    Differences do not change when a feature is shifted, so the means are taken off first to keep
+    the sums small.
     """
+    means = df.agg(F.struct(*[F.avg(f).alias(f"c{i}") for i, f in enumerate(features)])).scalar()
+    df = df.select(group, label, *features, means.alias("_mean")).select(
+        group, label, *[(F.col(f).cast("double") - F.col(f"_mean.c{i}")).alias(f) for i, f in enumerate(features)]
+    )
     aggs = [F.count(F.lit(1)).cast("double").alias("n")]
     aggs += [F.sum(F.col(f).cast("double")).alias(f"s{i}") for i, f in enumerate(features)]
     aggs += [

@@ -83,8 +83,8 @@ _PAIRS = f"""{_ALL}, pr AS (SELECT a.query_group_id, a.retail_price - b.retail_p
 
 @query(
     "ltr_preference_pairs",
-    f"""{_PAIRS} SELECT query_group_id, count(*)::DOUBLE AS pairs, round(sum(d0), 3) AS d0, round(sum(d1), 3) AS d1, round(sum(d0 * d0), 6) AS m0_0,
-      round(sum(d0 * d1), 6) AS m0_1, round(sum(d1 * d1), 6) AS m1_1 FROM pr GROUP BY 1""",
+    f"""{_PAIRS} SELECT query_group_id, count(*)::DOUBLE AS pairs, round(sum(d0), 3) + 0.0 AS d0, round(sum(d1), 3) + 0.0 AS d1, round(sum(d0 * d0), 6) AS m0_0,
+      round(sum(d0 * d1), 6) + 0.0 AS m0_1, round(sum(d1 * d1), 6) AS m1_1 FROM pr GROUP BY 1""",
 )
 def _(spark, sf):
     d = R.training_set(positives(spark, sf), negatives(spark, sf))
