@@ -114,14 +114,14 @@ def _(spark, sf):
     "ltr_ranked_candidates",
     f"""{_WEIGHTS}, sc AS (SELECT DISTINCT query_group_id, product_id, retail_price, cost, round(w0 * retail_price + w1 * cost, 7) AS s FROM ltr, w),
      r AS (SELECT query_group_id, product_id, s, row_number() OVER (PARTITION BY query_group_id ORDER BY s DESC, product_id) AS rank FROM sc)
-    SELECT query_group_id, product_id, round(s, 5) AS ranking_score, rank FROM r""",
+    SELECT query_group_id, product_id, s AS ranking_score, rank FROM r""",
 )
 def _(spark, sf):
     d, w = _ranker(spark, sf)
     items = d.select("query_group_id", "product_id", "retail_price", "cost").distinct()
     score = R.scored_candidates(items, w).withColumn("s", F.round("ranking_score", 7))
     out = R.ranked_candidates(score.drop("ranking_score"), {"s": 1.0}, "query_group_id", "product_id")
-    return out.select("query_group_id", "product_id", F.round("s", 5).alias("ranking_score"), "rank")
+    return out.select("query_group_id", "product_id", F.col("s").alias("ranking_score"), "rank")
 
 
 _NDCG = f"""{_ALL}, j AS (SELECT query_group_id, product_id, max(label) AS label, max(retail_price) AS s FROM ltr GROUP BY ALL)"""
