@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-MODULES = ["decontaminate", "mix"]
+MODULES = ["decontaminate", "mix", "substrings"]
 
 
 def _all(kind: str) -> dict:
