@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-MODULES = ["decontaminate", "mix", "substrings", "near_dedup", "toxicity"]
+MODULES = ["decontaminate", "mix", "substrings", "near_dedup", "toxicity", "fingerprint"]
 
 
 def _all(kind: str) -> dict:
