@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-MODULES = ["decontaminate", "mix", "substrings", "near_dedup", "toxicity", "fingerprint", "licenses"]
+MODULES = ["decontaminate", "mix", "substrings", "near_dedup", "toxicity", "fingerprint", "licenses", "secrets_scan"]
 
 
 def _all(kind: str) -> dict:
