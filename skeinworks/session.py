@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import shutil
 import tempfile
 import uuid
+from pathlib import Path
 
 from pyspark.sql import SparkSession
 
@@ -26,6 +28,17 @@ def local_session(app: str = "skeinworks", cores: str = "*", shuffle_partitions:
     return spark
 
 
+def ship(spark: SparkSession, package: str = "skeinworks") -> None:
+    """Send a package of this repository to the executors, once in a session, for their Python workers."""
+    context = spark.sparkContext
+    sent = context.__dict__.setdefault("_skeinworks_sent", set())
+    if package not in sent:
+        sent.add(package)
+        root = Path(__file__).resolve().parents[1]
+        name = f"{tempfile.mkdtemp(prefix='skeinworks-code-')}/{package}"
+        context.addPyFile(shutil.make_archive(name, "zip", root, package))
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder every executor can see, as the cluster names it in spark.checkpoint.dir.
 
