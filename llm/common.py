@@ -10,7 +10,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skeinworks.session import fresh_folder
+from skeinworks.session import fresh_folder, ship
 
 #: Words of the plain kind: anything between the six ASCII spaces.
 SPACED = r"[^\x20\x09-\x0D]+"
@@ -44,6 +44,13 @@ def map_batches(df: DataFrame, fn: Callable[[pa.RecordBatch], pa.RecordBatch | N
             if out is not None:
                 yield out
 
+    return in_arrow(df, run, schema)
+
+
+def in_arrow(df: DataFrame, run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema) -> DataFrame:
+    """mapInArrow with this code sent along."""
+    ship(df.sparkSession)
+    ship(df.sparkSession, "llm")
     return df.mapInArrow(run, schema)
 
 

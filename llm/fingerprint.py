@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, LongType, StringType, StructField, StructType
 
-from llm.common import WordHashes, long_list, map_batches, shingles, table, texts_of
+from llm.common import WordHashes, in_arrow, long_list, map_batches, shingles, table, texts_of
 
 #: Words of a shingle; one in so many hashes is kept; so many least hashes are kept in any case.
 SHINGLE, SCALE, LEAST = 5, 8, 16
@@ -139,7 +139,7 @@ def edited(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", words: i
                 yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out, strict=True), [pa.int64(), pa.int64(), pa.string(), pa.string(), pa.string(), pa.float64(), pa.float64()], strict=True)], ["doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next"])
 
     rows = beside_next(docs, doc_id, text)
-    return rows.mapInArrow(run, "doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double")
+    return in_arrow(rows, run, "doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double")
 
 
 def _beside(held, after, hashes, words, scale, least):
