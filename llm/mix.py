@@ -12,8 +12,9 @@ from pyspark.sql import functions as F
 
 from llm.common import SPACED, kept, table
 
-#: Words of a block; most times that a document is repeated; weights, dealt to the sources in turn.
-BLOCK, REPEATS, WEIGHTS, SEED = 16, 3, (1, 2, 3), "mix"
+#: Most words of a block; so many blocks a cell (the documents of one source and shard) has on average;
+#: most times that a document is repeated; weights, dealt to the sources in turn.
+BLOCK, BLOCKS, REPEATS, WEIGHTS, SEED = 1024, 100, 3, (1, 2, 3), "mix"
 
 
 def seats(parties: DataFrame, by: list[str], weight: str, total: Column, to_give: Column, most: Column, order: list) -> DataFrame:
@@ -67,13 +68,14 @@ def _number(*parts) -> Column:
     return F.conv(F.substring(F.md5(F.concat_ws("|", *parts).cast("binary")), 1, 8), 16, 10).cast("long")
 
 
-def mixed(docs: DataFrame, text: str = "text", source: str = "source", doc_id: str = "doc_id", block: int = BLOCK, repeats: int = REPEATS, weights: tuple = WEIGHTS, seed: str = SEED) -> DataFrame:
+def mixed(docs: DataFrame, text: str = "text", source: str = "source", doc_id: str = "doc_id", block: int | None = None, repeats: int = REPEATS, weights: tuple = WEIGHTS, seed: str = SEED) -> DataFrame:
     """doc_id, size, source_size, target and taken of every document.
 
     size: words of the text; a null or empty text has none and takes none. A null source is a source
     of its own, the last one. Documents are dealt by a hash of their id to as many shards as the
     root of their number, so neither a hot source nor a long table makes a large task; per source
-    and shard only one row is ranked. Repeated rows are documents of their own; which of two equal
+    and shard only one row is ranked. A block is a hundredth of the mean cell if no size is given, and
+    1,024 words at most; a source whose target is its cap takes all its cells can give. Repeated rows are documents of their own; which of two equal
     rows takes more is open, how much they take together is not. No rows give no rows. Other columns
     are left out.
     """
@@ -83,12 +85,16 @@ def mixed(docs: DataFrame, text: str = "text", source: str = "source", doc_id: s
     n = sized.count()
     shards = max(1, round(n**0.5))
     sized = sized.withColumn("_shard", F.conv(F.substring("_order", 1, 8), 16, 10).cast("long") % shards)
-    parts = sized.groupBy("_key", "_shard").agg(F.min("_source").alias("_source"), F.sum("size").alias("_size"))
+    parts = kept(sized.groupBy("_key", "_shard").agg(F.min("_source").alias("_source"), F.sum("size").alias("_size")), "mix-cells")
+    if block is None:
+        cells = parts.agg(F.sum("_size").alias("all"), F.count(F.lit(1)).alias("n")).first()
+        block = max(1, min(BLOCK, (cells["all"] or 0) // (BLOCKS * max(cells.n, 1))))
     sources = parts.groupBy("_key").agg(F.min("_source").alias("_source"), F.sum("_size").alias("source_size"))
     order = [F.col("_source").asc_nulls_last()]
     sources = targets(sources, "source_size", order, weights, repeats)
     sources = seats(sources, [], "target", F.col("_all"), F.round(F.col("_all") / block), F.ceil(F.col("source_size") * repeats / block), order)
-    sources = sources.select("_key", "source_size", "target", F.col("quota").alias("_blocks"))
+    binds = F.col("target") >= F.col("source_size") * repeats
+    sources = sources.select("_key", "source_size", "target", F.when(binds, F.lit(1 << 40)).otherwise(F.col("quota")).alias("_blocks"))
     parts = parts.drop("_source").join(sources, "_key")
     parts = seats(parts, ["_key"], "_size", F.col("source_size"), F.col("_blocks"), F.ceil(F.col("_size") * repeats / block), [F.col("_shard")])
     owed = F.least(F.col("quota") * block, F.col("_size") * repeats)
@@ -138,15 +144,16 @@ s2 as (select *, cap / w ratio, coalesce(sum(cap) over (order by cap / w, source
 s3 as (select *, before + ratio * behind <= total binds from s2),
 s4 as (select k, source, source_size, total, case when binds then cap::double
               else ((total - coalesce(sum(case when binds then cap end) over (), 0)::bigint) / (sum(case when not binds then w end) over ())::bigint) * w end target from s3),
-s5 as (select k, source, source_size, target, target weight, total::double total, round(total / 16)::bigint seats, ceil(source_size * 3 / 16)::bigint most from s4),
+b as (select greatest(1, least(1024, sum(part) // (100 * greatest(count(*), 1))))::bigint b from p),
+s5 as (select k, source, source_size, target, target weight, total::double total, round(total / (select b from b))::bigint seats, ceil(source_size * 3 / (select b from b))::bigint most from s4),
 """
     + _seats_sql("sq", "s5", "", "source nulls last", "k, source_size, target")
     + """,
-p1 as (select p.k, shard, part, source_size, target, part::double weight, source_size::double total, quota::bigint seats, ceil(part * 3 / 16)::bigint most from p join sq using (k)),
+p1 as (select p.k, shard, part, source_size, target, part::double weight, source_size::double total, (case when target >= source_size * 3 then 1099511627776 else quota end)::bigint seats, ceil(part * 3 / (select b from b))::bigint most from p join sq using (k)),
 """
     + _seats_sql("pq", "p1", "partition by k", "shard", "k, shard, part, source_size, target")
     + """,
-own as (select k, shard, part, source_size, target, least(quota * 16, part * 3)::bigint owed,
+own as (select k, shard, part, source_size, target, least(quota * (select b from b), part * 3)::bigint owed,
                case when part > 0 then ('0x' || substr(md5('mix|' || k || '|' || shard), 1, 8))::ubigint::bigint % part else 0 end first from pq),
 laid as (select z.*, (sum(size) over (partition by k, shard order by o, size rows between unbounded preceding and current row))::bigint stop from z)
 select doc_id, size, source_size, target,
