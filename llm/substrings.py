@@ -57,10 +57,16 @@ def stand_ins(h: np.ndarray, window: int, base: int, length: int) -> np.ndarray:
     return runs(h, length)[np.arange(len(least)) + np.minimum(offset, window - length)]
 
 
-def _counted(values: list[np.ndarray]) -> list[pa.Array]:
-    """Per text its distinct values and how often each occurs."""
-    pairs = [np.unique(v, return_counts=True) for v in values]
-    return [long_list([k.view(np.int64) for k, _ in pairs]), long_list([n for _, n in pairs])]
+def _counted(values: list[tuple[np.ndarray, np.ndarray]]) -> list[pa.Array]:
+    """Per text the distinct stand-ins and how often each one's run occurs in the text, out of pairs
+    (stand-ins of some windows, all runs of that length)."""
+    kinds, counts = [], []
+    for some, every in values:
+        some = np.unique(some)
+        order = np.sort(every)
+        kinds.append(some.view(np.int64))
+        counts.append(np.searchsorted(order, some, "right") - np.searchsorted(order, some, "left"))
+    return [long_list(kinds), long_list(counts)]
 
 
 def _again(rows: DataFrame) -> DataFrame:
@@ -98,7 +104,8 @@ def repeated_windows(docs: DataFrame, text: str = "text", doc_id: str = "doc_id"
             words = _FIND.findall(t)
             n_words.append(len(words))
             sha.append(_sha(words))
-            found.append(stand_ins(hashes.of(words), window, base, base) if len(words) >= window else np.zeros(0, np.uint64))
+            h = hashes.of(words)
+            found.append((stand_ins(h, window, base, base), runs(h, base)))
         return pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("_key"), pa.array(n_words, pa.int64()), pa.array(sha), *_counted(found)], ["doc_id", "_key", "n_words", "_sha", "h", "n"])
 
     id_type = docs.schema["doc_id"].dataType.simpleString()
@@ -114,7 +121,8 @@ def repeated_windows(docs: DataFrame, text: str = "text", doc_id: str = "doc_id"
             found = []
             for t, live in zip(texts_of(batch), batch.column("_alive"), strict=True):
                 h = hashes.of(_FIND.findall(t))
-                found.append(_living(h, window, base, before, live)[1](length))
+                starts = _living(h, window, base, before, live)
+                found.append((stand_ins(h, window, base, length)[starts], runs(h, length)))
             return pa.RecordBatch.from_arrays([batch.column("_key"), batch.column("_copies"), *_counted(found)], ["_key", "_copies", "h", "n"])
 
         rows = kept(map_batches(some, deeper, "_key binary, _copies long, h array<long>, n array<long>"), f"windows-{length}")
@@ -128,7 +136,7 @@ def repeated_windows(docs: DataFrame, text: str = "text", doc_id: str = "doc_id"
         n, sha, spans = [], [], []
         for t, live in zip(texts_of(batch), batch.column("_alive"), strict=True):
             words = _FIND.findall(t)
-            starts = _living(hashes.of(words), window, base, window, live)[0]
+            starts = _living(hashes.of(words), window, base, window, live)
             edge = np.zeros(len(words) + 1, np.int64)
             np.add.at(edge, starts, 1)
             np.add.at(edge, starts + window, -1)
@@ -148,11 +156,10 @@ def _sha(words: list[str]) -> str:
     return hashlib.sha256(" ".join(words).encode("utf-8", "surrogatepass")).hexdigest()
 
 
-def _living(h: np.ndarray, window: int, base: int, level: int, live: pa.ListScalar):
-    """(starts of the windows that live after `level`, a function giving their stand-ins at a length)."""
+def _living(h: np.ndarray, window: int, base: int, level: int, live: pa.ListScalar) -> np.ndarray:
+    """Starts of the windows whose stand-ins at `level` are among those that live."""
     known = np.asarray(live.values, dtype=np.int64).view(np.uint64)
-    starts = np.flatnonzero(np.isin(stand_ins(h, window, base, level), known))
-    return starts, lambda length: stand_ins(h, window, base, length)[starts]
+    return np.flatnonzero(np.isin(stand_ins(h, window, base, level), known))
 
 
 def op9_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
