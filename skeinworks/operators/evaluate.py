@@ -2,9 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
-import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
 from ..functions.text import overlap_similarity
@@ -57,58 +54,32 @@ def method_summary(per_query: DataFrame, *, by: list[str] = (), latency: str | N
     )
 
 
-def topic_matches(docs: DataFrame, topics: DataFrame, *, limit_bytes: int = 64 * 1024 * 1024) -> DataFrame:
+def topic_matches(docs: DataFrame, topics: DataFrame, *, block_bytes: int = 1 << 20) -> DataFrame:
     """(doc_id, query_id) for every document holding any topic of the query as a substring.
 
-    The topics of all queries travel to the documents (their size is checked) and each text is
-    read once for all of them.
+    Queries are a stated set, cut into blocks of at most `block_bytes` of topics; each block is one
+    array that every task gets, and a row filters it by `contains`. However many topics there are, the
+    blocks only become more.
     """
-    from .vector import fits
-
-    if not fits(topics, F.aggregate("topics", F.lit(0), lambda n, t: n + F.octet_length(t) + 16), limit_bytes):
-        raise ValueError("too many topics to send to every task; evaluate the queries in parts")
-    rows = [(r["query_id"], r["topics"]) for r in topics.select("query_id", "topics").collect()]
-    owners: dict[str, list[int]] = {}
-    for i, (_, words) in enumerate(rows):
-        for w in dict.fromkeys(words):
-            owners.setdefault(w.lower(), []).append(i)
-    qtype, dtype = dict(topics.dtypes)["query_id"], dict(docs.dtypes)["doc_id"]
-    ids = [r[0] for r in rows]
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        find = _finder(list(owners))
-        out_type = None
-        for b in batches:
-            out_d, out_q = [], []
-            for n, text in enumerate(b["text"].to_pylist()):
-                hit = {i for w in find(text or "") for i in owners[w]}
-                out_d.extend([n] * len(hit))
-                out_q.extend(hit)
-            out_type = b.schema.field("doc_id").type
-            yield pa.record_batch(
-                {
-                    "doc_id": b["doc_id"].take(pa.array(out_d, pa.int64())).cast(out_type),
-                    "query_id": pa.array([ids[i] for i in out_q], pa.int64() if qtype == "bigint" else pa.string()),
-                }
-            )
-
-    low = docs.select("doc_id", F.lower("text").alias("text"))
-    return low.mapInArrow(run, f"doc_id {dtype}, query_id {qtype}")
-
-
-def _finder(words: list[str]):
-    """A function giving the words contained in a text; one pass with an automaton if there is one."""
-    try:
-        import ahocorasick
-    except ImportError:
-        return lambda text: [w for w in words if w in text]
-    if not words:
-        return lambda text: []
-    machine = ahocorasick.Automaton()
-    for w in words:
-        machine.add_word(w, w)
-    machine.make_automaton()
-    return lambda text: {w for _, w in machine.iter(text)}
+    kind = dict(topics.dtypes)["query_id"]
+    low = docs.select("doc_id", F.lower("text").alias("_text"))
+    found, block, size = None, [], 0
+
+    def met(block: list) -> DataFrame:
+        holder = topics.sparkSession.createDataFrame([(1, block)], f"_one int, asked array<struct<query_id:{kind},topics:array<string>>>")
+        held = F.filter("asked", lambda q: F.exists(q["topics"], lambda t: F.contains(F.col("_text"), t)))
+        # one row on the right, bounded above
+        return low.withColumn("_one", F.lit(1)).join(F.broadcast(holder), "_one").select("doc_id", F.explode(F.transform(held, lambda q: q["query_id"])).alias("query_id"))
+
+    for row in topics.select("query_id", F.transform("topics", F.lower).alias("t")).toLocalIterator():
+        words = [t for t in dict.fromkeys(row["t"] or []) if t is not None]
+        weight = sum(4 * len(t) + 16 for t in words)
+        if block and size + weight > block_bytes:
+            found = met(block) if found is None else found.union(met(block))
+            block, size = [], 0
+        block.append((row["query_id"], words))
+        size += weight
+    return found.union(met(block)) if found is not None else met(block)
 
 
 def topic_metrics(hits: DataFrame, docs: DataFrame, topics: DataFrame, k: int = 5) -> DataFrame:

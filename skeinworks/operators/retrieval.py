@@ -282,13 +282,14 @@ def step_entities(hits: DataFrame, *, top: int = 3, most: int = 5) -> DataFrame:
 
 
 def multi_step_search(
-    queries: DataFrame, docs: DataFrame, *, encode=None, max_steps: int = 4, best: int = 10, per_step: int = 5
+    queries: DataFrame, docs: DataFrame, *, encode=None, best: int = 10, per_step: int = 5
 ) -> DataFrame:
     """Classify, split, search every step, and keep the best distinct hits of each query.
 
     Independent steps of all queries are searched together. A step that depends on the one
     before it is searched in a later round, with the names, places and dates of that step's
-    hits appended; there are at most `max_steps` rounds, each written out before the next.
+    hits appended; there are as many rounds as the longest query has steps, each written out
+    before the next.
     `queries` may bring its own `steps` (array<struct<query, dependent>>); `encode` turns a
     DataFrame with `query` into one with `q_vec`, else the query's own vector serves its steps.
     """
@@ -317,7 +318,8 @@ def multi_step_search(
     results = run(flat.where(~F.col("dependent")))
     if given:
         results = cut_lineage(results)
-        for at in range(1, max_steps):
+        last = flat.where("dependent").agg(F.max("step")).first()[0]
+        for at in range(1, (last or 0) + 1):
             waiting = flat.where(F.col("dependent") & (F.col("step") == at))
             before = results.where(F.col("step") == at - 1).select(F.col("origin").alias("query_id"), "rank", "text")
             seen = step_entities(before).withColumnRenamed("query_id", "origin")

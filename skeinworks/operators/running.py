@@ -7,6 +7,8 @@ task. Here the order column is cut into ranges of about equal row counts; each
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 _MERGE = {"sum": lambda a, b: F.coalesce(a, F.lit(0)) + F.coalesce(b, F.lit(0)), "max": F.greatest, "min": F.least}
@@ -14,8 +16,20 @@ _AGG = {"sum": F.sum, "max": F.max, "min": F.min}
 
 
 def range_count(df: DataFrame) -> int:
-    """As many ranges as shuffle partitions, within what a per-row bound search can bear."""
-    return max(16, min(512, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))))
+    """As many ranges as shuffle partitions."""
+    return max(16, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200")))
+
+
+def bounds_below(bounds: Column, count: int, value: Column) -> Column:
+    """How many of `count` sorted bounds lie below the value.
+
+    Counted among every step-th bound first and then between two of those, so a row looks at twice
+    the root of their number.
+    """
+    step = max(1, math.isqrt(count))
+    marks = F.sequence(F.lit(step), F.lit(count), F.lit(step)) if count >= step else F.array().cast("array<int>")
+    coarse = F.size(F.filter(marks, lambda i: F.element_at(bounds, i) < value))
+    return coarse * step + F.size(F.filter(F.slice(bounds, coarse * step + 1, F.lit(step)), lambda b: b < value))
 
 
 def with_range(
@@ -28,8 +42,8 @@ def with_range(
     ranges = ranges or range_count(df)
     steps = [i / ranges for i in range(1, ranges)]
     source = bounds_from if bounds_from is not None else df
-    bounds = source.agg(F.percentile_approx(on.cast("double"), steps, 10_000)).scalar()
-    inside = F.size(F.filter("_bounds", lambda b: b < on.cast("double")))
+    bounds = source.agg(F.percentile_approx(on.cast("double"), steps, max(10_000, 10 * ranges))).scalar()
+    inside = bounds_below(F.col("_bounds"), len(steps), on.cast("double"))
     return df.withColumn("_bounds", bounds).withColumn(name, F.coalesce(inside, F.lit(0))).drop("_bounds")
 
 

@@ -43,11 +43,14 @@ def cosine(a, b) -> Column:
 # ---- scoring kernels: numpy over one Arrow batch or one block ---------------------------
 
 
-def _vectors(col) -> np.ndarray:
-    """A list column of equal-length vectors as a matrix of unit rows (zero rows stay zero)."""
+def _vectors(col, width: int | None = None) -> np.ndarray:
+    """A list column of equal-length vectors as a matrix of unit rows; a zero or missing one is a zero row."""
     col = col.combine_chunks() if isinstance(col, pa.ChunkedArray) else col
     flat = pc.list_flatten(col).to_numpy(zero_copy_only=False).astype(np.float64)
-    m = flat.reshape(len(col), -1) if len(col) else np.zeros((0, 1))
+    there = col.is_valid().to_numpy(zero_copy_only=False)
+    known = flat.reshape(int(there.sum()), -1) if there.any() else np.zeros((0, width or 1))
+    m = np.zeros((len(col), known.shape[1]))
+    m[there] = known
     length = np.linalg.norm(m, axis=1, keepdims=True)
     return np.divide(m, length, out=np.zeros_like(m), where=length > 0)
 
@@ -77,7 +80,8 @@ class _Queries:
         self.n = q.num_rows
         self.alpha = q["alpha"].to_numpy().astype(np.float64)[:, None]
         self.floor = q["min_score"].to_numpy().astype(np.float64)[:, None]
-        self.vec = _vectors(q["q_vec"]) if "q_vec" in q.column_names else None
+        some = "q_vec" in q.column_names and q["q_vec"].null_count < q.num_rows
+        self.vec = _vectors(q["q_vec"]) if some else None
         self.fields, self.boosts = fields, boosts
         if fields:
             rows, terms, weights = _terms(q["q_terms"])
@@ -100,7 +104,7 @@ class _Queries:
     def top(self, d, k: int, cap: float) -> pa.Table:
         """The k best documents of this block for every query."""
         n = d.num_rows
-        sem = self.vec @ _vectors(d["d_vec"]).T if self.vec is not None else np.zeros((self.n, n))
+        sem = self.vec @ _vectors(d["d_vec"], self.vec.shape[1]).T if self.vec is not None else np.zeros((self.n, n))
         kw = np.minimum(1.0, self.keyword(d) / cap) if self.fields else np.zeros((self.n, n))
         # equal scores are told apart by id, so sums that differ in the last bits must compare equal
         score = np.round(self.alpha * sem + (1 - self.alpha) * kw, 10)
@@ -157,7 +161,8 @@ def scored_top_k(
     queries: query_id, alpha, min_score, and q_vec (vector) and/or q_terms
     (array<struct<term, weight>>). docs: doc_id, and d_vec and/or the term columns named in
     `fields` (array<struct<term, weight>>), mapped to their boosts; the best field counts.
-    Rows without a vector are left out where vectors are used.
+    Where only vectors count, rows without one are left out; where keywords count too, a missing
+    vector has cosine 0.
 
     When the queries fit in `small_side_bytes` they travel to the documents, which are then
     neither shuffled nor regrouped. Otherwise both sides are cut into blocks of bounded size
@@ -168,7 +173,7 @@ def scored_top_k(
     q = queries.select(*[c for c in ("query_id", "alpha", "min_score", "q_vec", "q_terms") if c in queries.columns])
     with_vec = "q_vec" in q.columns
     d = docs.select("doc_id", *(["d_vec"] if with_vec else []), *names)
-    if with_vec:
+    if with_vec and not fields:
         q, d = q.where(F.col("q_vec").isNotNull()), d.where(F.col("d_vec").isNotNull())
     types = dict(q.dtypes) | dict(d.dtypes)
     schema = f"query_id {types['query_id']}, doc_id {types['doc_id']}, {_SCORES}"

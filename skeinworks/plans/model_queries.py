@@ -337,7 +337,7 @@ _NUM = ["chars", "blanks", "word_length", "words", "tokens", "numbers"]
 @query("classifier_boosted_trees")
 def _(spark, sf):
     d = K.assembled(K.stratified_split(credit(spark, sf), "quality", "doc_id"), _NUM, ["lang"])
-    model = K.boosted_trees(d.where(~F.col("is_test")), "quality", rounds=10)
+    model = K.boosted_trees(d.where(~F.col("is_test")), "quality")
     scored = K.with_probability(model, d.where("is_test"))
     return K.binary_scores(scored.withColumn("predicted", F.col("prediction").cast("int")), "quality", "predicted")
 

@@ -149,7 +149,7 @@ def _(spark, sf):
     return enc.select("doc_id", F.round(VV.norm("embedding"), 5).alias("norm"), F.size("embedding").alias("dims"))
 
 
-_DV = V.with_views("doc_vec", "text_queries")
+_DV = V.with_views("doc_vec", "doc_all", "text_queries")
 
 
 def _dv(spark, sf):
@@ -158,6 +158,12 @@ def _dv(spark, sf):
     return q, d
 
 
+def _all(spark, sf):
+    """Queries and all documents: one without a vector can still match by its words."""
+    d = V.doc_all(spark, sf).withColumnRenamed("embedding", "d_vec")
+    return V.text_queries(spark, sf).withColumnRenamed("embedding", "q_vec"), d
+
+
 @query(
     "vector_historical_matches",
     _DV
@@ -242,10 +248,10 @@ def _(spark, sf):
 # ---- hybrid ---------------------------------------------------------------------------
 
 
-def _hybrid_cte(alpha: str, docs: str = "doc_vec", queries: str = "text_queries") -> str:
+def _hybrid_cte(alpha: str, docs: str = "doc_all", queries: str = "text_queries") -> str:
     """h(query_id, doc_id, sem, kwn, score) and hr with ranks, over all pairs."""
     return f"""{_bm25_cte(docs, queries)},
-     h AS (SELECT q.query_id, d.doc_id, round(list_cosine_similarity(q.embedding::DOUBLE[], d.embedding::DOUBLE[]), 14) AS sem,
+     h AS (SELECT q.query_id, d.doc_id, coalesce(round(list_cosine_similarity(q.embedding::DOUBLE[], d.embedding::DOUBLE[]), 14), 0) AS sem,
          least(1.0::DOUBLE, coalesce(kw, 0) / 10) AS kwn FROM {queries} q CROSS JOIN {docs} d LEFT JOIN kw ON kw.query_id = q.query_id AND kw.doc_id = d.doc_id),
      hs AS (SELECT *, round({alpha} * sem + (1 - {alpha}) * kwn, 10) AS score FROM h),
      hr AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, doc_id) AS rank FROM hs)"""
@@ -261,7 +267,7 @@ def _scores6(df):
 
 @query("hybrid_search", f"{_DV}, {_hybrid_cte('0.5::DOUBLE')} SELECT {_HCOLS} FROM hr WHERE rank <= 5")
 def _(spark, sf):
-    q, d = _dv(spark, sf)
+    q, d = _all(spark, sf)
     return _scores6(R.hybrid_search(q, d, 5))
 
 
@@ -270,8 +276,8 @@ def _fielded_sql(alpha: float, k: int, qs: str = "text_queries", extra: str = ""
     return (
         _DV
         + extra
-        + f""", dt AS (SELECT *, string_split(text, chr(10))[1] AS title FROM doc_vec), {t}, {_bm25_cte("dt", qs)},
-      h AS (SELECT q.query_id, d.doc_id, list_cosine_similarity(q.embedding::DOUBLE[], d.embedding::DOUBLE[]) AS sem,
+        + f""", dt AS (SELECT *, string_split(text, chr(10))[1] AS title FROM doc_all), {t}, {_bm25_cte("dt", qs)},
+      h AS (SELECT q.query_id, d.doc_id, coalesce(list_cosine_similarity(q.embedding::DOUBLE[], d.embedding::DOUBLE[]), 0) AS sem,
          least(1.0::DOUBLE, greatest(2 * coalesce(kwt.kw, 0), coalesce(kw.kw, 0)) / 10) AS kwn FROM {qs} q CROSS JOIN dt d
          LEFT JOIN kw ON kw.query_id = q.query_id AND kw.doc_id = d.doc_id LEFT JOIN kwt ON kwt.query_id = q.query_id AND kwt.doc_id = d.doc_id),
       hs AS (SELECT *, round({alpha}::DOUBLE * sem + (1 - {alpha}::DOUBLE) * kwn, 10) AS score FROM h),
@@ -280,7 +286,7 @@ def _fielded_sql(alpha: float, k: int, qs: str = "text_queries", extra: str = ""
 
 
 def _titled(spark, sf):
-    q, d = _dv(spark, sf)
+    q, d = _all(spark, sf)
     return q, d.withColumn("title", F.split("text", "\n").getItem(0))
 
 
@@ -315,7 +321,7 @@ _SCORE_ONLY = " SELECT query_id, doc_id, round(score, 6) AS score, "
 @query(
     "search_semantic_filtered",
     _DV
-    + f""", h AS (SELECT q.query_id, d.doc_id, {COS.format(a="q", b="d")} AS score FROM text_queries q, doc_vec d WHERE d.lang IN ('en', 'fr')),
+    + f""", h AS (SELECT q.query_id, d.doc_id, coalesce({COS.format(a="q", b="d")}, 0) AS score FROM text_queries q, doc_all d WHERE d.lang IN ('en', 'fr')),
     r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, doc_id) AS rank FROM h)
     SELECT query_id, doc_id, round(score, 6) AS score, rank FROM r WHERE rank <= 5""",
 )
@@ -328,7 +334,7 @@ def _(spark, sf):
 @query(
     "search_hybrid_diverse",
     _fielded_sql(0.7, 10)
-    + """, t AS (SELECT hr.*, d.source FROM hr JOIN doc_vec d USING (doc_id) WHERE rank <= 10),
+    + """, t AS (SELECT hr.*, d.source FROM hr JOIN doc_all d USING (doc_id) WHERE rank <= 10),
      u AS (SELECT *, row_number() OVER (PARTITION BY query_id, source ORDER BY rank) > 1 AS again FROM t),
      v AS (SELECT query_id, doc_id, score, source, row_number() OVER (PARTITION BY query_id ORDER BY again, rank) AS rank FROM u)
     SELECT query_id, doc_id, round(score, 6) AS score, source, rank FROM v WHERE rank <= 5""",
@@ -342,8 +348,8 @@ def _(spark, sf):
 @query(
     "search_keyword_boosted",
     _fielded_sql(0.0, 10)
-    + """, t AS (SELECT hr.*, d.label FROM hr JOIN doc_vec d USING (doc_id) WHERE rank <= 10),
-     v AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score + 0.01::DOUBLE * label DESC, rank) AS r2 FROM t)
+    + """, t AS (SELECT hr.*, d.label FROM hr JOIN doc_all d USING (doc_id) WHERE rank <= 10),
+     v AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score + 0.01::DOUBLE * coalesce(label, 0) DESC, rank) AS r2 FROM t)
     SELECT query_id, doc_id, round(score, 6) AS score, label, r2 AS rank FROM v WHERE r2 <= 5""",
 )
 def _(spark, sf):
@@ -549,19 +555,19 @@ def _(spark, sf):
 
 @query("rerank_max_min_diversity")
 def _(spark, sf):
-    q, d = _dv(spark, sf)
+    q, d = _all(spark, sf)
     hits = R.hybrid_search(q, d, 10).join(d.select("doc_id", "text"), "doc_id")
     return R.rerank_by_diversity(hits).select("query_id", "doc_id", "rank", F.round("score", 6).alias("score"))
 
 
 @query(
     "rerank_metadata_first",
-    f"""{_DV}, {_hybrid_cte("0.5::DOUBLE")}, t AS (SELECT hr.*, d.lang FROM hr JOIN doc_vec d USING (doc_id) WHERE rank <= 10),
+    f"""{_DV}, {_hybrid_cte("0.5::DOUBLE")}, t AS (SELECT hr.*, d.lang FROM hr JOIN doc_all d USING (doc_id) WHERE rank <= 10),
      u AS (SELECT query_id, doc_id, lang, row_number() OVER (PARTITION BY query_id ORDER BY (lang = 'fr') DESC, rank) AS rank FROM t)
     SELECT * FROM u WHERE rank <= 5""",
 )
 def _(spark, sf):
-    q, d = _dv(spark, sf)
+    q, d = _all(spark, sf)
     hits = R.hybrid_search(q, d, 10).join(d.select("doc_id", "lang"), "doc_id")
     return R.rerank_by_metadata(hits, "lang", "fr").select("query_id", "doc_id", "lang", "rank")
 
@@ -574,20 +580,20 @@ def _(spark, sf):
     SELECT * FROM u WHERE rank <= 5""",
 )
 def _(spark, sf):
-    q, d = _dv(spark, sf)
+    q, d = _all(spark, sf)
     listing = q.select("query_id", F.lit("3, 1, x2, 9, 99, 3").alias("ranking"))
     return R.rerank_by_listing(R.hybrid_search(q, d, 10), listing).select("query_id", "doc_id", "rank")
 
 
 @query("search_full")
 def _(spark, sf):
-    q, d = _dv(spark, sf)
+    q, d = _all(spark, sf)
     return R.full_search(q, d).select("query_id", "doc_id", "rank", F.round("score", 6).alias("score"))
 
 
 _GROUNDED = f"""{_DV}, {_hybrid_cte("0.7::DOUBLE")}, t AS (SELECT * FROM hr WHERE rank <= 10),
    g AS (SELECT * FROM t WHERE score >= 0.3 AND rank <= 5), x AS (SELECT g.*, d.text, length(d.text) AS n,
-     sum(length(d.text)) OVER (PARTITION BY query_id ORDER BY rank) AS upto FROM g JOIN doc_vec d USING (doc_id)),
+     sum(length(d.text)) OVER (PARTITION BY query_id ORDER BY rank) AS upto FROM g JOIN doc_all d USING (doc_id)),
    y AS (SELECT *, min(CASE WHEN upto > 4000 THEN rank END) OVER (PARTITION BY query_id) AS stop FROM x),
    z AS (SELECT *, upto > 4000 AS truncated, CASE WHEN upto > 4000 THEN substr(text, 1, (4000 - (upto - n))::INT) || '...' ELSE text END AS body FROM y
       WHERE stop IS NULL OR rank < stop OR (rank = stop AND 4000 - (upto - n) > 100))"""
@@ -601,7 +607,7 @@ _GROUNDED = f"""{_DV}, {_hybrid_cte("0.7::DOUBLE")}, t AS (SELECT * FROM hr WHER
      count(*) OVER (PARTITION BY query_id) AS returned_count FROM z""",
 )
 def _(spark, sf):
-    q, d = _dv(spark, sf)
+    q, d = _all(spark, sf)
     out = R.grounded_retrieval(q, d, min_score=0.3, max_tokens=1000)
     return out.select(
         "query_id", "doc_id", "rank", "truncated", F.md5("text").alias("text_md5"), "total_found", "filtered_count", "returned_count"
@@ -612,11 +618,11 @@ def _(spark, sf):
     "prompt_texts",
     _GROUNDED
     + """, s AS (SELECT z.query_id, string_agg(chr(10) || '[Source ' || rank || ' - r/' || d.source || ']' || chr(10) || body || chr(10), '' ORDER BY rank) AS b
-       FROM z JOIN doc_vec d USING (doc_id) GROUP BY 1)
+       FROM z JOIN doc_all d USING (doc_id) GROUP BY 1)
     SELECT s.query_id, length(b) + length(q.query) AS variable_chars, contains(b, '[Source 1 - r/') AS has_first FROM s JOIN text_queries q USING (query_id)""",
 )
 def _(spark, sf):
-    q, d = _dv(spark, sf)
+    q, d = _all(spark, sf)
     ctx = R.grounded_retrieval(q, d, min_score=0.3, max_tokens=1000).join(d.select("doc_id", "source"), "doc_id")
     fixed = len(fv.PROMPT_HEAD) + len(fv.PROMPT_RULES) + len("\n\nQuestion: ") + len("\n\nAnswer:")
     p = R.prompt_texts(ctx, q)
@@ -642,10 +648,10 @@ def _(spark, sf):
 @query(
     "search_formatted",
     f"""{_DV}, {_hybrid_cte("0.5::DOUBLE")} SELECT query_id, count(*) AS hits, sum(least(500, length(d.text)))::BIGINT AS text_chars
-    FROM hr JOIN doc_vec d USING (doc_id) WHERE rank <= 5 GROUP BY 1""",
+    FROM hr JOIN doc_all d USING (doc_id) WHERE rank <= 5 GROUP BY 1""",
 )
 def _(spark, sf):
-    q, d = _dv(spark, sf)
+    q, d = _all(spark, sf)
     hits = R.hybrid_search(q, d, 5).join(d.select("doc_id", "text"), "doc_id")
     j = R.formatted_hits(hits.withColumn("level", F.lit(None).cast("string")).withColumn("title", F.lit(None).cast("string")))
     rows = F.from_json("hits_json", "array<struct<rank:int, text:string>>")
@@ -664,7 +670,7 @@ def _(spark, sf):
     SELECT query_id, alpha, doc_id, round(s, 6) AS score, rank FROM y WHERE rank <= 3""",
 )
 def _(spark, sf):
-    q, d = _dv(spark, sf)
+    q, d = _all(spark, sf)
     return _scores6(R.alpha_sweep(q, d, [0.0, 0.3, 0.5, 0.7, 1.0])).select("query_id", "alpha", "doc_id", "score", "rank")
 
 
@@ -677,7 +683,7 @@ def _(spark, sf):
     SELECT method, count(*) AS results, count(DISTINCT query_id) AS queries, round(avg(s), 6) AS mean_score, round(avg(shared), 6) AS share_in_hybrid FROM z GROUP BY 1""",
 )
 def _(spark, sf):
-    q, d = _dv(spark, sf)
+    q, d = _all(spark, sf)
     m = R.compared_methods(q, d)
     return m.select("method", "results", "queries", F.round("mean_score", 6).alias("mean_score"), F.round("share_in_hybrid", 6).alias("share_in_hybrid"))
 
@@ -690,25 +696,25 @@ def _(spark, sf):
     SELECT query_id, strategy, count(*) FILTER (rank <= 5 AND s >= m) AS num_sources FROM y GROUP BY ALL""",
 )
 def _(spark, sf):
-    q, d = _dv(spark, sf)
+    q, d = _all(spark, sf)
     return R.tested_strategies(q, d)
 
 
 @query("search_multi_step")
 def _(spark, sf):
     """Every benchmark text in two steps, the second depending on what the first found."""
-    q, d = _dv(spark, sf)
+    q, d = _all(spark, sf)
     steps = F.array(
         F.struct(F.col("query").alias("query"), F.lit(False).alias("dependent")),
         F.struct(F.concat(F.lit("compare those in "), F.col("query")).alias("query"), F.lit(True).alias("dependent")),
     )
-    out = R.multi_step_search(q.withColumn("steps", steps), d, max_steps=2)
+    out = R.multi_step_search(q.withColumn("steps", steps), d)
     return out.select("query_id", "doc_id", "step", "rank", F.round("score", 6).alias("score"))
 
 
 @query("search_multi_step_by_rule")
 def _(spark, sf):
-    q, d = _dv(spark, sf)
+    q, d = _all(spark, sf)
     out = R.multi_step_search(q, d)
     return out.select("query_id", "doc_id", "step", "rank", F.round("score", 6).alias("score"))
 

@@ -168,6 +168,16 @@ def doc_vec(spark: SparkSession, folder: str) -> DataFrame:
     return d.join(e, "doc_id")
 
 
+SQL["doc_all"] = SQL["doc_vec"].replace("JOIN embeddings", "LEFT JOIN embeddings")
+
+
+def doc_all(spark: SparkSession, folder: str) -> DataFrame:
+    """All documents, those without a vector too."""
+    d = documents(spark, folder).select("doc_id", "text", "lang", "source")
+    e = table(spark, folder, "embeddings").withColumnRenamed("vec_id", "doc_id")
+    return d.join(e, "doc_id", "left")
+
+
 SQL["text_queries"] = """
   SELECT b.item_id AS query_id, b.text AS query, e.embedding, e.label
   FROM benchmark b JOIN embeddings e ON b.item_id = e.vec_id"""

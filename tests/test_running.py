@@ -85,3 +85,16 @@ def test_failure_state_of_a_busy_circuit(spark):
     for i, k, _, ok in log:
         state[k] = 0 if ok else state.get(k, 0) + 1
         assert later[i] == state[k]
+
+
+def test_many_ranges_and_their_bounds(spark):
+    d = spark.range(5000).select("id", (F.col("id") * 7 % 5000).alias("v"))
+    got = R.running(d, [], [F.col("v")], {"s": ("sum", F.lit(1))}, range_on=F.col("v"), ranges=2000)
+    assert got.where("s != v + 1").count() == 0
+    ranged = R.with_range(d, F.col("v"), ranges=2000)
+    assert ranged.select("_range").distinct().count() > 1500
+    bounds = [float(x) for x in range(0, 3000, 30)]
+    for n in (0, 1, 2, 99, 100):
+        cut = F.array(*[F.lit(b) for b in bounds[:n]]).cast("array<double>")
+        wrong = d.where(R.bounds_below(cut, n, F.col("v").cast("double")) != F.size(F.filter(cut, lambda b: b < F.col("v"))))
+        assert wrong.count() == 0

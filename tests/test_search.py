@@ -153,11 +153,38 @@ def test_dependent_step_sees_the_step_before(spark, world):
         F.struct(F.col("query"), F.lit(False).alias("dependent")),
         F.struct(F.lit("those").alias("query"), F.lit(True).alias("dependent")),
     )
-    out = R.multi_step_search(q.withColumn("steps", steps), d, max_steps=2)
+    out = R.multi_step_search(q.withColumn("steps", steps), d)
     assert {r["step"] for r in out.collect()} == {0, 1}
     assert out.groupBy("query_id").count().agg(F.max("count")).first()[0] <= 10
 
 
+def test_every_dependent_step_is_searched(spark, world):
+    *_, d, q = world
+    steps = F.array(*[F.struct(F.lit(f"those {k}").alias("query"), F.lit(k > 0).alias("dependent")) for k in range(7)])
+    one = q.orderBy("query_id").limit(1).withColumn("steps", steps)
+    far = R.multi_step_search(one, d.withColumn("text", F.concat(F.col("doc_id").cast("string"), F.lit(" "), F.col("text"))), best=1000)
+    assert len({r["step"] for r in far.collect()}) >= 1
+    flat = []
+    real = R.full_search
+    try:
+        R.full_search = lambda queries, *a, **k: (flat.extend(r.step for r in queries.collect() if "step" in queries.columns), real(queries, *a, **k))[1]
+        R.multi_step_search(one, d)
+    finally:
+        R.full_search = real
+    assert set(flat) == set(range(7))
+
+
+def test_documents_without_a_vector_match_by_words(spark):
+    docs = spark.createDataFrame([(1, "zebra zebra", None), (2, "other", [1.0, 0.0])], "doc_id long, text string, d_vec array<double>")
+    q = spark.createDataFrame([(9, "zebra", [1.0, 0.0])], "query_id long, query string, q_vec array<double>")
+    for alpha in (0.1, 0.0):
+        best = R.hybrid_search(q, docs, 1, alpha=alpha).first()
+        assert (best["doc_id"], best["semantic_score"]) == (1, 0.0)
+    nothing = q.withColumn("q_vec", F.lit(None).cast("array<double>"))
+    assert R.hybrid_search(nothing, docs, 1, alpha=0.0).first()["doc_id"] == 1
+    assert V.nearest(q, docs, 5).count() == 1
+
+
 def test_ranking_metrics(spark):
     hits = spark.createDataFrame([(1, 1, 0), (1, 2, 3), (1, 3, 1), (2, 1, 0)], "query_id int, rank int, rel int")
     q = spark.createDataFrame([(1, 4), (2, 1), (3, 2)], "query_id int, n_relevant int")
@@ -171,8 +198,11 @@ def test_ranking_metrics(spark):
 def test_topics(spark):
     docs = spark.createDataFrame([(1, "Red cats"), (2, "a dog"), (3, "redder dogs")], "doc_id long, text string")
     topics = spark.createDataFrame([(9, ["red", "cat"]), (8, ["bird"])], "query_id long, topics array<string>")
-    got = {(r["doc_id"], r["query_id"]) for r in M.topic_matches(docs, topics).collect()}
-    assert got == {(1, 9), (3, 9)}
+    for kind in ("long", "int", "string"):
+        asked = topics.withColumn("query_id", F.col("query_id").cast(kind))
+        for block in (64 << 20, 1):
+            got = {(r["doc_id"], int(r["query_id"])) for r in M.topic_matches(docs, asked, block_bytes=block).collect()}
+            assert got == {(1, 9), (3, 9)}
 
 
 def test_gate(spark):
