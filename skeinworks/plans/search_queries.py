@@ -614,23 +614,22 @@ def _(spark, sf):
     )
 
 
+def _quoted(text: str) -> str:
+    return "'" + text.replace("'", "''") + "'"
+
+
 @query(
     "prompt_texts",
     _GROUNDED
-    + """, s AS (SELECT z.query_id, string_agg(chr(10) || '[Source ' || rank || ' - r/' || d.source || ']' || chr(10) || body || chr(10), '' ORDER BY rank) AS b
+    + f""", s AS (SELECT z.query_id, string_agg(chr(10) || '[Source ' || rank || ' - r/' || d.source || ']' || chr(10) || body || chr(10), '' ORDER BY rank) AS b
        FROM z JOIN doc_all d USING (doc_id) GROUP BY 1)
-    SELECT s.query_id, length(b) + length(q.query) AS variable_chars, contains(b, '[Source 1 - r/') AS has_first FROM s JOIN text_queries q USING (query_id)""",
+    SELECT s.query_id, md5({_quoted(fv.PROMPT_HEAD)} || b || {_quoted(fv.PROMPT_RULES)} || chr(10) || chr(10) || 'Question: ' || q.query
+      || chr(10) || chr(10) || 'Answer:') AS prompt_md5 FROM s JOIN text_queries q USING (query_id)""",
 )
 def _(spark, sf):
     q, d = _all(spark, sf)
     ctx = R.grounded_retrieval(q, d, min_score=0.3, max_tokens=1000).join(d.select("doc_id", "source"), "doc_id")
-    fixed = len(fv.PROMPT_HEAD) + len(fv.PROMPT_RULES) + len("\n\nQuestion: ") + len("\n\nAnswer:")
-    p = R.prompt_texts(ctx, q)
-    return p.select(
-        "query_id",
-        (F.length("prompt") - fixed).alias("variable_chars"),
-        F.col("prompt").contains("[Source 1 - r/").alias("has_first"),
-    )
+    return R.prompt_texts(ctx, q).select("query_id", F.md5("prompt").alias("prompt_md5"))
 
 
 @query(
@@ -647,19 +646,15 @@ def _(spark, sf):
 
 @query(
     "search_formatted",
-    f"""{_DV}, {_hybrid_cte("0.5::DOUBLE")} SELECT query_id, count(*) AS hits, sum(least(500, length(d.text)))::BIGINT AS text_chars
-    FROM hr JOIN doc_all d USING (doc_id) WHERE rank <= 5 GROUP BY 1""",
+    f"""{_DV}, {_hybrid_cte("0.5::DOUBLE")} SELECT query_id, rank, round(score, 6) AS score, md5(substr(d.text, 1, 500)) AS text_md5, d.lang AS level,
+    coalesce(CASE WHEN d.lang <> 'fr' THEN d.source END, '') AS title FROM hr JOIN doc_all d USING (doc_id) WHERE rank <= 5""",
 )
 def _(spark, sf):
     q, d = _all(spark, sf)
-    hits = R.hybrid_search(q, d, 5).join(d.select("doc_id", "text"), "doc_id")
-    j = R.formatted_hits(hits.withColumn("level", F.lit(None).cast("string")).withColumn("title", F.lit(None).cast("string")))
-    rows = F.from_json("hits_json", "array<struct<rank:int, text:string>>")
-    return j.select(
-        "query_id",
-        F.size(rows).cast("long").alias("hits"),
-        F.aggregate(rows, F.lit(0).cast("long"), lambda s, r: s + F.length(r["text"])).alias("text_chars"),
-    )
+    hits = R.hybrid_search(q, d, 5).join(d.select("doc_id", "text", F.col("lang").alias("level"), F.when(F.col("lang") != "fr", F.col("source")).alias("title")), "doc_id")
+    rows = F.from_json("hits_json", "array<struct<rank:int, relevance_score:double, text:string, metadata:struct<level:string, title:string>>>")
+    h = R.formatted_hits(hits).select("query_id", F.explode(rows).alias("h"))
+    return h.select("query_id", "h.rank", F.round("h.relevance_score", 6).alias("score"), F.md5("h.text").alias("text_md5"), "h.metadata.level", "h.metadata.title")
 
 
 @query(
