@@ -176,42 +176,29 @@ def sections(df: DataFrame, text: str = "text", *, subsections: bool = True) ->
     def title_of(c):
         return T.strip(F.regexp_replace(F.split(c, "\n").getItem(0), "^#+|#+$", ""))
 
-    secs = df.select(*kept, F.posexplode_outer(F.split(F.col(text), "\n## ")).alias("_s", "_section")).where(
-        F.length(T.strip("_section")) > 0
-    )
-    parts = F.split("_section", "\n### ")
-    rows = F.transform(
-        parts,
-        lambda p, i: F.struct(
-            i.alias("sub"),
-            F.when(i == 0, F.lit("section")).otherwise("subsection").alias("level"),
-            F.when(i == 0, F.col("_section")).otherwise(p).alias("body"),
-        ),
-    )
-    rows = F.filter(rows, lambda r: (r["sub"] == 0) | (F.length(T.strip(r["body"])) > 0))
-    if not subsections:
-        rows = F.slice(rows, 1, 1)
-    # one document's sections stay in its row until here, so numbering needs no shuffle
-    per_section = secs.select(*kept, "_s", "_section", rows.alias("_rows"))
-    flat = per_section.select(*kept, "_s", "_section", F.explode_outer("_rows").alias("_r")).where(
-        F.col("_r").isNotNull()
-    )
-    number = Window.partitionBy(*kept).orderBy("_s", "_sub")
-    return flat.select(
+    def pieces(section):
+        """A section as a whole, then its subsections that are not blank."""
+        rows = F.transform(
+            F.split(section, "\n### "),
+            lambda p, i: F.struct(
+                i.alias("sub"),
+                F.when(i == 0, section).otherwise(p).alias("body"),
+                F.when(i > 0, title_of(section)).alias("parent"),
+            ),
+        )
+        rows = F.filter(rows, lambda r: (r["sub"] == 0) | (F.length(T.strip(r["body"])) > 0))
+        return rows if subsections else F.slice(rows, 1, 1)
+
+    whole = F.filter(F.split(F.col(text), "\n## "), lambda s: F.length(T.strip(s)) > 0)
+    # numbered by their place in the document's one array, so nothing is shuffled
+    flat = df.select(*kept, F.posexplode_outer(F.flatten(F.transform(whole, pieces))).alias("chunk_index", "_r"))
+    return flat.where(F.col("_r").isNotNull()).select(
         *kept,
-        "_s",
-        F.col("_r.sub").alias("_sub"),
-        F.col("_r.level").alias("level"),
+        "chunk_index",
+        F.when(F.col("_r.sub") == 0, "section").otherwise("subsection").alias("level"),
         title_of(F.col("_r.body")).alias("title"),
-        F.when(F.col("_r.level") == "subsection", title_of(F.col("_section"))).alias("parent_section"),
+        F.col("_r.parent").alias("parent_section"),
         F.col("_r.body").alias("chunk_text"),
-    ).select(
-        *kept,
-        (F.row_number().over(number) - 1).alias("chunk_index"),
-        "level",
-        "title",
-        "parent_section",
-        "chunk_text",
     )
 
 
@@ -310,7 +297,3 @@ def store_records(chunks: DataFrame, strategy: str, *, created_at: Column, embed
         F.struct("chunk_index", F.length("chunk_text").alias("chunk_size")).alias("metadata"),
         created_at.alias("created_at"),
     )
-
-
-def mark_pattern() -> str:
-    return fv.SPACE
