@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import re
+
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..session import cut_lineage
@@ -81,27 +84,34 @@ def status_merged(old: DataFrame, updates: DataFrame, key: str) -> DataFrame:
 
 
 def upsert(new: DataFrame, path: str, key: str, order: list[Column], *, buckets: int = 64) -> None:
-    """Merge rows into a Parquet table by key, rewriting only the buckets that hold those keys."""
+    """Merge rows into a Parquet table by key, rewriting only the buckets that hold those keys.
+
+    The number of buckets is part of the table, as the name of its partition column: `buckets` counts
+    for a new table only, so merges with different numbers still meet each key in one place.
+    """
     spark = new.sparkSession
-    bucket = F.pmod(F.xxhash64(key), F.lit(buckets)).cast("int")
-    fresh = new.withColumn("_bucket", bucket)
     try:
         old = spark.read.parquet(path)
-    except Exception as e:  # noqa: BLE001
-        if "PATH_NOT_FOUND" not in str(e) and "UNABLE_TO_INFER_SCHEMA" not in str(e):
+    except AnalysisException as e:
+        if e.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
             raise
         old = None
     if old is not None:
-        touched = [r[0] for r in fresh.select("_bucket").distinct().collect()]  # at most `buckets` numbers
-        old = old.where(F.col("_bucket").isin(touched))
+        column = next(c for c in old.columns if re.fullmatch(r"_bucket_of_\d+", c))
+        buckets = int(column.rpartition("_")[2])
+    else:
+        column = f"_bucket_of_{buckets}"
+    fresh = new.withColumn(column, F.pmod(F.xxhash64(key), F.lit(buckets)).cast("int"))
+    if old is not None:
+        touched = [r[0] for r in fresh.select(column).distinct().collect()]  # at most `buckets` numbers
+        old = old.where(F.col(column).isin(touched))
         result = cut_lineage(merged(old, fresh, key, order))  # the files read are about to be replaced
     else:
         result = merged(None, fresh, key, order)
     (
-        result.write.mode("overwrite")
+        result.repartition(column)  # a bucket's file comes from one task
+        .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("_bucket")
+        .partitionBy(column)
         .parquet(path)
     )
-
-

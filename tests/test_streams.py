@@ -57,8 +57,9 @@ def test_upsert_touches_only_its_buckets(spark, tmp_path):
     W.upsert(a, out, "id", [F.col("at")], buckets=8)
     W.upsert(spark.createDataFrame([(5, "new", 2), (5, "newer", 3), (500, "x", 1)], "id long, v string, at int"), out, "id", [F.col("at")], buckets=8)
     W.upsert(spark.createDataFrame([(6, "late", 0)], "id long, v string, at int"), out, "id", [F.col("at")], buckets=8)
+    W.upsert(a, out, "id", [F.col("at")], buckets=32)  # the table keeps its own number
     d = {r["id"]: r["v"] for r in spark.read.parquet(out).collect()}
-    assert len(d) == 101 and d[5] == "newer" and d[500] == "x" and d[6] == "old"
+    assert spark.read.parquet(out).count() == 101 and len(d) == 101 and d[5] == "newer" and d[500] == "x" and d[6] == "old"
 
 
 def test_status_merge_keeps_what_updates_leave_out(spark):
