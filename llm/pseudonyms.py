@@ -15,7 +15,7 @@ from llm.common import table
 ROUNDS = 8
 #: Kinds and how they are written. The first kind that fits at a place takes it.
 KINDS = {
-    "email": r"[A-Za-z0-9][A-Za-z0-9._%+\-]{0,63}@[A-Za-z0-9](?:[A-Za-z0-9\-]{0,62}\.){1,8}[A-Za-z]{2,24}",
+    "email": r"(?<![A-Za-z0-9._%+\-])[A-Za-z0-9][A-Za-z0-9._%+\-]{0,63}@[A-Za-z0-9](?:[A-Za-z0-9\-]{0,62}\.){1,8}[A-Za-z]{2,24}",
     "ip": r"(?<![\d.])(?:(?:25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)\.){3}(?:25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)(?![\d]|\.\d)",
     "date": r"(?<![\d\-/])(?:19|20)\d\d-(?:0[1-9]|1[0-2])-(?:0[1-9]|[12]\d|3[01])(?![\d\-/])",
     "ssn": r"(?<![\d\-])(?!000|666|9\d\d)\d{3}-(?!00)\d\d-(?!0000)\d{4}(?![\d\-])",
@@ -26,6 +26,11 @@ KINDS = {
 DAYS = (150, 487)
 
 
+def _let(value: Column, body) -> Column:
+    """`body` of the value, which is computed once: inside lambdas Spark does not share expressions."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def _draw(key: Column, i: Column, *what) -> Column:
     """A keyed number below 2**60 for round `i`."""
     return F.conv(F.substring(F.sha2(F.concat_ws("|", key, i.cast("string"), *what).cast("binary"), 256), 1, 15), 16, 10).cast("long")
@@ -34,15 +39,15 @@ def _draw(key: Column, i: Column, *what) -> Column:
 def _permuted(value: Column, a: Column, b: Column, key: Column, tweak: str) -> Column:
     """A keyed permutation of 0 .. a*b - 1: halves of a and of b values take turns in shifting each other."""
     start = F.struct(F.floor(value / b).cast("long").alias("x"), (value % b).cast("long").alias("y"))
-    turned = F.aggregate(
+    return F.aggregate(
         F.sequence(F.lit(0), F.lit(ROUNDS - 1)),
         start,
         lambda s, i: F.struct(
             F.when(i % 2 == 0, (s["x"] + _draw(key, i, F.lit(tweak), s["y"].cast("string"))) % a).otherwise(s["x"]).alias("x"),
             F.when(i % 2 == 1, (s["y"] + _draw(key, i, F.lit(tweak), s["x"].cast("string"))) % b).otherwise(s["y"]).alias("y"),
         ),
+        lambda s: s["x"] * b + s["y"],
     )
-    return turned["x"] * b + turned["y"]
 
 
 def _number(digits: Column, start, length) -> Column:
@@ -70,15 +75,14 @@ def _luhn(digits: Column) -> Column:
 
 def _refilled(shape: Column, digits: Column) -> Column:
     """`shape` with its digits replaced, in order, by `digits`; all other characters stay."""
-    done = F.aggregate(
-        F.sequence(F.lit(1), F.length(shape)),
-        F.struct(F.lit("").alias("s"), F.lit(1).alias("k")),
-        lambda acc, i: F.struct(
-            F.concat(acc["s"], F.when(F.substring(shape, i, F.lit(1)).rlike("^[0-9]$"), F.substring(digits, acc["k"], F.lit(1))).otherwise(F.substring(shape, i, F.lit(1)))).alias("s"),
-            (acc["k"] + F.substring(shape, i, F.lit(1)).rlike("^[0-9]$").cast("int")).alias("k"),
-        ),
-    )
-    return done["s"]
+
+    def step(new: Column, acc: Column, i: Column) -> Column:
+        c = F.substring(shape, i, F.lit(1))
+        digit = c.between("0", "9")
+        return F.struct(F.concat(acc["s"], F.when(digit, F.substring(new, acc["k"], F.lit(1))).otherwise(c)).alias("s"), (acc["k"] + digit.cast("int")).alias("k"))
+
+    start = F.struct(F.lit("").alias("s"), F.lit(1).alias("k"))
+    return _let(digits, lambda new: F.aggregate(F.sequence(F.lit(1), F.length(shape)), start, lambda acc, i: step(new, acc, i), lambda acc: acc["s"]))
 
 
 _LETTERS = "abcdefghijklmnopqrstuvwxyz"
@@ -99,33 +103,41 @@ def _name_permuted(name: Column, key: Column) -> Column:
     """A name as another of the same form: letters stay letters of their case, digits stay digits."""
     half = F.floor(F.length(name) / 2).cast("int")
     start = F.struct(F.substring(name, F.lit(1), half).alias("x"), F.substring(name, half + 1, F.length(name)).alias("y"))
-    turned = F.aggregate(
+    return F.aggregate(
         F.sequence(F.lit(0), F.lit(ROUNDS - 1)),
         start,
         lambda s, i: F.struct(F.when(i % 2 == 0, _shifted(s["x"], s["y"], key, i)).otherwise(s["x"]).alias("x"), F.when(i % 2 == 1, _shifted(s["y"], s["x"], key, i)).otherwise(s["y"]).alias("y")),
+        lambda s: F.concat(s["x"], s["y"]),
     )
-    return F.concat(turned["x"], turned["y"])
 
 
 def _card(m: Column, key: Column) -> Column:
     """Another card number with a right check digit; a number without one is no card and stays."""
-    digits = F.regexp_replace(m, "[^0-9]", "")
-    n = F.length(digits)
-    body = _digits_permuted(F.substring(digits, F.lit(1), n - 1), key, "card")
-    due = (10 - _luhn(F.concat(body, F.lit("0"))) % 10) % 10
-    return F.when(_luhn(digits) % 10 == 0, _refilled(m, F.concat(body, due.cast("string")))).otherwise(m)
+
+    def checked(body: Column) -> Column:
+        due = (10 - _luhn(F.concat(body, F.lit("0"))) % 10) % 10
+        return _refilled(m, F.concat(body, due.cast("string")))
+
+    def renamed(digits: Column) -> Column:
+        body = _digits_permuted(F.substring(digits, F.lit(1), F.length(digits) - 1), key, "card")
+        return F.when(_luhn(digits) % 10 == 0, _let(body, checked)).otherwise(m)
+
+    return _let(F.regexp_replace(m, "[^0-9]", ""), renamed)
 
 
 def _phone(m: Column, key: Column) -> Column:
     """Another number of the same country code; area and exchange keep a first digit of 2 to 9 if they had one."""
-    digits = F.regexp_replace(m, "[^0-9]", "")
-    code = F.substring(digits, F.lit(1), F.length(digits) - 10)
-    own = F.right(digits, F.lit(10))
-    dialled = own.rlike("^[2-9][0-9]{2}[2-9]")
-    value = (_number(own, F.lit(1), F.lit(3)) - 200) * 8_000_000 + _number(own, F.lit(4), F.lit(7)) - 2_000_000
-    new = _permuted(value, F.lit(800).cast("long"), F.lit(8_000_000).cast("long"), key, "phone")
-    new = F.concat((F.floor(new / 8_000_000) + 200).cast("string"), (new % 8_000_000 + 2_000_000).cast("string"))
-    return _refilled(m, F.concat(code, F.when(dialled, new).otherwise(_digits_permuted(own, key, "line"))))
+
+    def renamed(digits: Column) -> Column:
+        code = F.substring(digits, F.lit(1), F.length(digits) - 10)
+        own = F.right(digits, F.lit(10))
+        dialled = own.rlike("^[2-9][0-9]{2}[2-9]")
+        value = (_number(own, F.lit(1), F.lit(3)) - 200) * 8_000_000 + _number(own, F.lit(4), F.lit(7)) - 2_000_000
+        new = _permuted(value, F.lit(800).cast("long"), F.lit(8_000_000).cast("long"), key, "phone")
+        new = _let(new, lambda x: F.concat((F.floor(x / 8_000_000) + 200).cast("string"), (x % 8_000_000 + 2_000_000).cast("string")))
+        return _refilled(m, F.concat(code, F.when(dialled, new).otherwise(_digits_permuted(own, key, "line"))))
+
+    return _let(F.regexp_replace(m, "[^0-9]", ""), renamed)
 
 
 def _ssn(m: Column, key: Column) -> Column:
@@ -133,30 +145,33 @@ def _ssn(m: Column, key: Column) -> Column:
     area, group, serial = _number(m, F.lit(1), F.lit(3)), _number(m, F.lit(5), F.lit(2)), _number(m, F.lit(8), F.lit(4))
     rest = 99 * 9999
     value = (area - F.when(area < 666, 1).otherwise(2)) * rest + (group - 1) * 9999 + serial - 1
-    new = _permuted(value, F.lit(898).cast("long"), F.lit(rest).cast("long"), key, "ssn")
-    a, r = F.floor(new / rest), new % rest
-    a = a + F.when(a < 665, 1).otherwise(2)
-    return F.concat_ws("-", F.lpad(a.cast("string"), 3, "0"), F.lpad((F.floor(r / 9999) + 1).cast("string"), 2, "0"), F.lpad((r % 9999 + 1).cast("string"), 4, "0"))
+
+    def put(new: Column) -> Column:
+        a, r = F.floor(new / rest), new % rest
+        a = a + F.when(a < 665, 1).otherwise(2)
+        return F.concat_ws("-", F.lpad(a.cast("string"), 3, "0"), F.lpad((F.floor(r / 9999) + 1).cast("string"), 2, "0"), F.lpad((r % 9999 + 1).cast("string"), 4, "0"))
+
+    return _let(_permuted(value, F.lit(898).cast("long"), F.lit(rest).cast("long"), key, "ssn"), put)
 
 
 def _ip(m: Column, key: Column) -> Column:
-    part = F.split(m, "[.]")
-    value = F.lit(0).cast("long")
-    for k in range(4):
-        value = value * 256 + F.get(part, F.lit(k)).try_cast("long")
+    value = F.aggregate(F.split(m, "[.]"), F.lit(0).cast("long"), lambda v, part: v * 256 + F.coalesce(part.try_cast("long"), F.lit(0).cast("long")))
     new = _permuted(value, F.lit(65536).cast("long"), F.lit(65536).cast("long"), key, "ip")
-    return F.concat_ws(".", *[(F.shiftright(new, 8 * k) % 256).cast("string") for k in (3, 2, 1, 0)])
+    return _let(new, lambda x: F.concat_ws(".", *[(F.shiftright(x, 8 * k) % 256).cast("string") for k in (3, 2, 1, 0)]))
 
 
 def _date(m: Column, key: Column) -> Column:
     """Another day of 1900 to 2099; what is no day of the calendar stays."""
-    day = F.try_to_timestamp(m, F.lit("yyyy-MM-dd")).cast("date")
     first = F.lit("1900-01-01").cast("date")
     a, b = (F.lit(x).cast("long") for x in DAYS)
-    once = _permuted(F.date_diff(day, first).cast("long"), a, b, key, "date")
     last = DAYS[0] * DAYS[1] - 1
-    beyond = _permuted(F.lit(last).cast("long"), a, b, key, "date")
-    return F.when(day.isNull(), m).otherwise(F.date_add(first, F.when(once == last, beyond).otherwise(once).cast("int")).cast("string"))
+
+    def renamed(day: Column) -> Column:
+        once = _permuted(F.date_diff(day, first).cast("long"), a, b, key, "date")
+        within = _let(once, lambda x: F.when(x == last, _permuted(F.lit(last).cast("long"), a, b, key, "date")).otherwise(x))
+        return F.when(day.isNull(), m).otherwise(F.date_add(first, within.cast("int")).cast("string"))
+
+    return _let(F.try_to_timestamp(m, F.lit("yyyy-MM-dd")).cast("date"), renamed)
 
 
 def _email(m: Column, key: Column) -> Column:
@@ -177,8 +192,10 @@ def pseudonymised(docs: DataFrame, key: str, text: str = "text") -> DataFrame:
     """
     docs = docs.drop("private")
     secret = F.lit(key)
-    pattern = "|".join(KINDS.values())
-    found = F.regexp_extract_all(F.col(text), F.lit(pattern), F.lit(0))
+    # addresses of mail aside, every kind begins with one of few characters
+    pattern = f"{KINDS['email']}|(?=[0-9+(])(?:{'|'.join(p for k, p in KINDS.items() if k != 'email')})"
+    # no kind is without a digit or an @, so most texts need no search
+    found = F.when(F.col(text).rlike("[0-9@]"), F.regexp_extract_all(F.col(text), F.lit(pattern), F.lit(0)))
 
     def renamed(m: Column) -> Column:
         new = m
@@ -193,7 +210,7 @@ def pseudonymised(docs: DataFrame, key: str, text: str = "text") -> DataFrame:
     changed = F.filter(F.zip_with("_new", "_old", lambda n, o: F.when(n["to"] != o, n["kind"])), lambda k: k.isNotNull())
     counts = F.map_from_arrays(F.array(*[F.lit(k) for k in KINDS]), F.array(*[F.size(changed) - F.size(F.array_remove(changed, k)) for k in KINDS]))
     counts = F.map_filter(counts, lambda _, n: n > 0)
-    some = F.size("_old") > 0
+    some = F.coalesce(F.size("_old") > 0, F.lit(False))
     return marked.select(*[F.when(some, filled).otherwise(F.col(c)).alias(c) if c == text else F.col(c) for c in docs.columns], F.when(some, counts).otherwise(F.create_map().cast("map<string,int>")).alias("private"))
 
 
