@@ -14,6 +14,8 @@ from llm.common import WordHashes, kept, map_batches, mixed, shingles, table, te
 #: Words of a shingle, least similarity, bands and rows of a band. Two texts of similarity 0.8 share no
 #: band once in 1,100 pairs, those of 0.5 share one 14 times in a hundred.
 SHINGLE, SIMILARITY, BANDS, ROWS = 5, 0.8, 38, 8
+#: So many ids, of eight bytes each, are sent to all tasks at most.
+BROADCAST_IDS = 1 << 20
 _ONE = np.uint64(1)
 
 
@@ -160,6 +162,52 @@ def _verified(pairs: DataFrame, bags: DataFrame) -> DataFrame:
     return map_batches(pairs.select("a", "b").join(a, "a").join(b, "b"), compare, "a long, b long, s double")
 
 
+def _pair(x: str, y: str):
+    return F.least(x, y).alias("a"), F.greatest(x, y).alias("b")
+
+
+def _apart(pairs: DataFrame, classes: DataFrame) -> DataFrame:
+    """The pairs (a, b) of different classes; who is in no class is one alone."""
+    for side in ("a", "b"):
+        named = classes.select(F.col("id").alias(side), F.col("class").alias(f"_{side}"))
+        pairs = pairs.join(named, side, "left").withColumn(f"_{side}", F.coalesce(f"_{side}", side))
+    return pairs.where("_a != _b").select("a", "b")
+
+
+def _others(filed: DataFrame, checked: DataFrame, classes: DataFrame, bags: DataFrame, similarity: float) -> DataFrame:
+    """Pairs (a, b) of a bucket that are in different classes, not compared yet and may reach the similarity.
+
+    A bucket's main class is its centre's; only members outside it are joined with the whole bucket.
+    """
+    toward = checked.select("a", "b", "s").union(checked.select("b", "a", "s")).toDF("id", "centre", "s")
+    members = filed.join(toward, ["id", "centre"], "left").join(classes, "id", "left")
+    members = members.select("band", "id", F.when(F.col("id") == F.col("centre"), 1.0).otherwise(F.col("s")).alias("s"), F.coalesce("class", "id").alias("class"), "centre")
+    main = members.where("id = centre").select("band", F.col("class").alias("main"))
+    members = kept(members.join(main, "band"), "members")
+    mixed_bands = members.where("class != main").select("band").distinct()
+    members = members.join(mixed_bands, "band")
+    # of a text's shingles those that any text of another class in question has
+    held = bags.join(members.select("id", "class").distinct(), "id")
+    flat = held.select("id", "class", F.explode("bag").alias("h")).groupBy("id", "class", "h").agg(F.count(F.lit(1)).alias("c"))
+    common = flat.groupBy("h").agg(F.min("class").alias("low"), F.max("class").alias("high")).where("low < high").select("h")
+    common = flat.join(common, "h").groupBy("id").agg(F.sum("c").alias("common"))
+    sizes = held.select("id", F.size("bag").alias("n")).join(common, "id")
+    least = similarity / (1 + similarity)  # overlap over the sum of both sizes
+    sizes = sizes.where(F.col("common") >= least * F.col("n") * (1 + similarity))
+    members = kept(members.join(sizes, "id"), "members")
+    # and those that any text of the bucket's main class has, for the members outside it
+    outer = members.where("class != main").select("id", "main").distinct()
+    inner = members.where("class = main").select("id", "main").distinct().join(flat.drop("class"), "id").select("main", "h").distinct()
+    with_main = outer.join(flat.drop("class"), "id").join(inner, ["main", "h"]).groupBy("id", "main").agg(F.sum("c").alias("with_main"))
+    x = members.where("class != main").join(with_main, ["id", "main"], "left").na.fill(0, ["with_main"])
+    x = x.select("band", *[F.col(c).alias(f"x_{c}") for c in ("id", "s", "class", "n", "common", "with_main")])
+    near = F.coalesce(F.abs(F.col("s") - F.col("x_s")) <= 1 - similarity, F.lit(True))
+    shared = F.when(F.col("class") == F.col("main"), F.col("x_with_main")).otherwise(F.col("x_common"))
+    bound = F.least("common", shared, "n", "x_n") >= least * (F.col("n") + F.col("x_n"))
+    met = members.join(x, "band").where((F.col("class") != F.col("x_class")) & (F.col("id") != F.col("centre")) & near & bound)
+    return met.select(*_pair("id", "x_id")).distinct().join(checked, ["a", "b"], "left_anti")
+
+
 def near_classes(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", words: int = SHINGLE, similarity: float = SIMILARITY, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
     """(doc_id, class_id, n_copies): documents linked by weighted Jaccard of at least `similarity`.
 
@@ -169,10 +217,12 @@ def near_classes(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", wo
     each other. Rows with a null id have no name to link: their class_id is null. Rows that repeat an id
     form one document per distinct text, named alike. No rows give no rows; other columns are left out.
 
-    Equal bags become one representative. In every band the representatives of a bucket meet the one
-    of them that shares most buckets with others, which joins most of a family by a star. Then members
-    of a bucket that are in different classes still are compared, all but those whose similarities to
-    the bucket's centre differ by more than two linked texts' can (1 - overlap is a metric).
+    Equal bags become one representative. A bucket's centre is the representative in it that meets most
+    others in all its buckets. Each representative is compared with the most met of its centres, then
+    with the others that are not in its class yet; so most of a family is joined by a few stars. What
+    is left are members of one bucket in different classes; of these all pairs are compared that can
+    reach the similarity at all: their lengths, their similarities to the centre (1 - overlap is a
+    metric), and how many of a text's shingles occur in any such text of another class bound it from above.
     """
     docs = docs.select(F.col(doc_id).cast("long").alias("id"), F.col(text).alias("text"))
     nameless = docs.where("id is null").select(F.col("id").alias("doc_id"), F.col("id").alias("class_id"), F.lit(1).cast("long").alias("n_copies"))
@@ -184,9 +234,11 @@ def near_classes(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", wo
     full = filed.groupBy("band").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
     filed = kept(filed.join(full, "band"), "buckets")
     known = filed.groupBy("id").agg(F.sum("n").alias("met"))
-    centres = filed.join(known, "id").groupBy("band").agg(F.max(F.struct("met", (-F.col("id")).alias("id"))).alias("c")).select("band", (-F.col("c.id")).alias("centre"))
+    centres = filed.join(known, "id").groupBy("band").agg(F.max(F.struct("met", (-F.col("id")).alias("id"))).alias("c")).select("band", (-F.col("c.id")).alias("centre"), "c.met")
     filed = kept(filed.select("band", "id").join(centres, "band"), "centres")
-    wanted = known.select("id")
+    wanted = kept(known.select("id"), "wanted")
+    if wanted.count() <= BROADCAST_IDS:
+        wanted = F.broadcast(wanted)  # else texts are shuffled by id
     hashes = WordHashes()
 
     def bag(batch: pa.RecordBatch):
@@ -195,24 +247,18 @@ def near_classes(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", wo
         flat = np.concatenate(bags).view(np.int64) if bags else np.zeros(0, np.int64)
         return pa.RecordBatch.from_arrays([batch.column("id"), pa.ListArray.from_arrays(offsets, pa.array(flat))], ["id", "bag"])
 
-    bags = kept(map_batches(docs.join(wanted, "id"), bag, "id long, bag array<long>"), "bags").dropDuplicates(["id"])
-    pair = lambda x, y: (F.least(x, y).alias("a"), F.greatest(x, y).alias("b"))
-    stars = filed.where("id != centre").select(*pair(F.col("id"), F.col("centre"))).distinct()
-    checked = kept(_verified(stars, bags), "stars")
-    links = checked.where(F.col("s") >= similarity)
+    bags = kept(map_batches(docs.join(wanted, "id"), bag, "id long, bag array<long>").dropDuplicates(["id"]), "bags")
+    arms = filed.where("id != centre").groupBy("id", "centre").agg(F.max("met").alias("met"))
+    best = arms.groupBy("id").agg(F.max(F.struct("met", "centre")).alias("c")).select("id", F.col("c.centre").alias("centre"))
+    checked = kept(_verified(best.select(*_pair("id", "centre")).distinct(), bags), "stars")
+    classes = components(checked.where(F.col("s") >= similarity))
+    left = _apart(arms.select(*_pair("id", "centre")).distinct(), classes).join(checked, ["a", "b"], "left_anti")
+    checked = kept(checked.union(_verified(left, bags)), "stars")
+    links = checked.where(F.col("s") >= similarity).select("a", "b")
     classes = components(links)
-    # what is left: members of one bucket, of different classes, close enough to its centre alike
-    toward = checked.select("a", "b", "s").union(checked.select("b", "a", "s")).toDF("id", "centre", "s")
-    members = filed.join(toward, ["id", "centre"], "left").join(classes, "id", "left")
-    members = members.select("band", "id", F.coalesce("s", F.lit(1.0)).alias("s"), F.coalesce("class", "id").alias("class"), "centre")
-    at_centre = members.where("id = centre").select("band", F.col("class").alias("main"))
-    members = kept(members.join(at_centre, "band"), "members")
-    others = members.where("class != main").select("band", F.col("id").alias("x"), F.col("s").alias("sx"), F.col("class").alias("cx"))
-    met = members.join(others, "band").where((F.col("class") != F.col("cx")) & (F.col("id") != F.col("centre")) & (F.abs(F.col("s") - F.col("sx")) <= 1 - similarity))
-    more = met.select(*pair(F.col("id"), F.col("x"))).distinct().join(checked, ["a", "b"], "left_anti")
-    found = kept(_verified(more, bags).where(F.col("s") >= similarity), "more")
+    found = kept(_verified(_others(filed, checked, classes, bags, similarity), bags).where(F.col("s") >= similarity).select("a", "b"), "more")
     if not found.isEmpty():
-        classes = components(links.select("a", "b").union(found.select("a", "b")))
+        classes = components(links.union(found))
     named = groups.select("_key", "id", "n_copies").join(classes, "id", "left").select("_key", F.coalesce("class", "id").alias("class_id"), "n_copies")
     return signed.select(F.col("id").alias("doc_id"), "_key").join(named, "_key").drop("_key").unionByName(nameless)
 
