@@ -60,10 +60,10 @@ def ascii_lowered(text: str) -> str:
 
 
 class WordHashes(dict):
-    """64-bit hashes of words, each computed once; forgets all when it holds a million."""
+    """64-bit hashes of words, each computed once; forgets all when it holds 200,000."""
 
     def __missing__(self, word: str) -> int:
-        if len(self) > 1_000_000:
+        if len(self) > 200_000:
             self.clear()
         h = self[word] = xxhash.xxh3_64_intdigest(word.encode("utf-8", "surrogatepass"))
         return h

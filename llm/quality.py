@@ -20,7 +20,7 @@ from llm.common import kept, map_batches, table, texts_of
 from llm.toxicity import FUNCTION_WORDS, labelled
 
 #: Most labelled rows of a label that are learned from, and most characters of such a row.
-TRAIN_ROWS, TRAIN_CHARS = 4000, 60_000
+TRAIN_ROWS, TRAIN_CHARS = 2000, 60_000
 _FUNCTION = frozenset(w for ws in FUNCTION_WORDS.values() for w in ws)
 _SYMBOL = re.compile(r"[#$%&*|~^<>{}\[\]=_\\@+!?]")
 _LETTERS = re.compile(r"[^\W\d_]+")

@@ -17,7 +17,9 @@ from llm.common import map_batches, table, texts_of
 #: Rows of the embedding table, its columns, filters of each width, widths, and pieces of a word.
 BUCKETS, DIMS, FILTERS, WIDTHS, PIECES = 1 << 17, 8, 8, (1, 2, 3), 9
 #: Most labelled rows of a class that are learned from, and most characters of such a row.
-TRAIN_ROWS, TRAIN_CHARS = 3000, 60_000
+TRAIN_ROWS, TRAIN_CHARS = 2000, 60_000
+#: Words whose vectors a task keeps at most, beside those of the texts in hand.
+KNOWN_WORDS = 150_000
 #: Frequent short words by which the language of a text is guessed.
 FUNCTION_WORDS = {
     "en": "the of and to in is that it with as for was on are by".split(),
@@ -35,7 +37,7 @@ def pieces_of(word: str) -> list[int]:
 
 
 class Vocabulary:
-    """Words met so far as rows of pieces; row 0 is the gap between texts. Forgets all at a million."""
+    """Words met so far as rows of pieces; row 0 is the gap between texts. Forgets all when told to."""
 
     def __init__(self):
         self.clear()
@@ -269,9 +271,9 @@ def scored(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
                     logits[done : done + len(docs_ids)] = m.logits(vectors["x"][ids], starts, lengths)
                     done += len(docs_ids)
                     docs_ids, held = [], 0
-                if vocabulary.n > 1_000_000:
+                if vocabulary.n > KNOWN_WORDS:
                     vocabulary.clear()
-                    vectors["x"] = vectors["x"][:0]
+                    vectors["x"] = np.zeros((0, DIMS), np.float32)
             if t is not None:
                 ids = vocabulary.of(t)
                 languages[k] = vocabulary.language_of(ids)
