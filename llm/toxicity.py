@@ -129,21 +129,24 @@ def evidence(pieces: list[np.ndarray], labels: np.ndarray) -> np.ndarray:
     return (out / 4).astype(np.float32)
 
 
-def fit(texts: list[str], labels: np.ndarray, seed: int = 5, epochs: int = 4, batch: int = 32) -> Model:
+def fit(texts: list[str], labels: np.ndarray, seed: int = 5, epochs: int = 4, batch: int = 32, share: float | None = None) -> Model:
     """Learn the classifier.
 
     One column of the table holds the evidence of the labels for each piece, taken for a text from
     the other half of the texts so that it is not its own witness; all else is learned by gradient.
-    Logits are then calibrated for each guessed language, drawn to the slope and shift of all. With
-    one kind of label only, or none, every score is that label's smoothed share.
+    Logits are then calibrated for each guessed language, drawn to the slope and shift of all. `share`
+    is the label's share among all rows that may be learned from, to which the shifts are moved if the
+    texts have another: labels are sampled apart, so the odds differ by one factor in every language.
+    With one kind of label only, or none, every score is that label's smoothed share.
     """
     rng = np.random.default_rng(seed)
     labels = np.asarray(labels, float)
     k = len(WIDTHS) * FILTERS
     model = Model(np.zeros((BUCKETS, DIMS), np.float32), [(rng.normal(0, 0.3, (w, DIMS, FILTERS))).astype(np.float32) for w in WIDTHS], np.full(k, -0.2, np.float32), rng.normal(0, 0.3, k).astype(np.float32), 0.0, np.tile([1.0, 0.0], (len(FUNCTION_WORDS), 1)))
-    rate = (labels.sum() + 0.5) / (len(labels) + 1)
+    own = (labels.sum() + 0.5) / (len(labels) + 1)
+    share = own if share is None else share
     if len(set(labels.tolist())) < 2:
-        model.out[:], model.base = 0, float(np.log(rate / (1 - rate)))
+        model.out[:], model.base = 0, float(np.log(share / (1 - share)))
         return model
     vocabulary = Vocabulary()
     docs = [vocabulary.of(t) for t in texts]
@@ -216,6 +219,7 @@ def fit(texts: list[str], labels: np.ndarray, seed: int = 5, epochs: int = 4, ba
     everywhere = _calibrated(logits, labels, np.array([1.0, 0.0]), 1e-3)
     for k in range(len(FUNCTION_WORDS)):
         model.scale[k] = _calibrated(logits[languages == k], labels[languages == k], everywhere, 1.0)
+    model.scale[:, 1] += np.log(share / (1 - share)) - np.log(own / (1 - own))
     return model
 
 
@@ -231,11 +235,16 @@ def _calibrated(z: np.ndarray, y: np.ndarray, prior: np.ndarray, strength: float
     return w if w[0] > 0 else prior
 
 
-def labelled(docs: DataFrame, labels: DataFrame, label: str, rows: int = TRAIN_ROWS, chars: int = TRAIN_CHARS) -> tuple[list[str], np.ndarray]:
-    """At most `rows` texts of each label, of at most `chars` characters each, from the ids that may be learned from."""
+def _learnable(docs: DataFrame, labels: DataFrame, label: str, chars: int) -> tuple[DataFrame, DataFrame]:
+    """(doc_id, label) of the ids that may be learned from, and (doc_id, text) of the texts that are short enough."""
     crc = F.crc32(F.col("doc_id").cast("string").cast("binary"))
     known = labels.where(F.col(label).isin(0, 1) & (crc % 5 != 0)).groupBy("doc_id").agg(F.max(label).alias("label"))
-    text = docs.select("doc_id", "text").where(F.length("text") <= chars)
+    return known, docs.select("doc_id", "text").where(F.length("text") <= chars)
+
+
+def labelled(docs: DataFrame, labels: DataFrame, label: str, rows: int = TRAIN_ROWS, chars: int = TRAIN_CHARS) -> tuple[list[str], np.ndarray]:
+    """At most `rows` texts of each label, of at most `chars` characters each, from the ids that may be learned from."""
+    known, text = _learnable(docs, labels, label, chars)
     picked = None
     for value in (0, 1):
         some = known.where(F.col("label") == value).withColumn("_order", F.md5(F.col("doc_id").cast("string").cast("binary"))).orderBy("_order").limit(rows).select("doc_id", "label")
@@ -246,6 +255,13 @@ def labelled(docs: DataFrame, labels: DataFrame, label: str, rows: int = TRAIN_R
     return [r["text"] for r in found], np.array([r["label"] for r in found], float)
 
 
+def share_of(docs: DataFrame, labels: DataFrame, label: str, chars: int = TRAIN_CHARS) -> float:
+    """The label's smoothed share among all rows that may be learned from, of which `labelled` takes a sample."""
+    known, text = _learnable(docs, labels, label, chars)
+    n, pos = text.select("doc_id").join(known, "doc_id").agg(F.count("label"), F.coalesce(F.sum("label"), F.lit(0))).first()
+    return (pos + 0.5) / (n + 1)
+
+
 def scored(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
     """`docs` with `score` (0 to 1) and `predicted` (score >= 0.5), from whole texts alone.
 
@@ -286,8 +302,8 @@ def scored(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
     return map_batches(docs, score, schema)
 
 
-def fitted(docs: DataFrame, labels: DataFrame, label: str = "toxic") -> Model:
-    return fit(*labelled(docs, labels, label))
+def fitted(docs: DataFrame, labels: DataFrame, label: str = "toxic", rows: int = TRAIN_ROWS) -> Model:
+    return fit(*labelled(docs, labels, label, rows), share=share_of(docs, labels, label))
 
 
 def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -3,7 +3,7 @@ import zlib
 import numpy as np
 from pyspark.sql import functions as F
 
-from llm.toxicity import fit, labelled, op2_toxicity, scored
+from llm.toxicity import fit, fitted, labelled, op2_toxicity, scored, share_of
 from tests.llm.conftest import SF
 
 
@@ -37,6 +37,18 @@ def test_learns_only_from_allowed_ids(spark):
     assert set(texts) == {f"text {k}" for k in range(100) if zlib.crc32(str(k).encode()) % 5}
 
 
+def test_scores_keep_the_base_rate_when_the_sample_does_not(spark):
+    rng = np.random.default_rng(4)
+    rows = [(k, " ".join(f"word{w}" for w in rng.integers(0, 40, 20)), int(k % 10 == 0)) for k in range(3000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, toxic int")
+    _, sample = labelled(docs, docs, "toxic", 100)
+    assert len(sample) == 200 and sample.mean() == 0.5  # of 2,400 rows, a tenth of them toxic
+    assert abs(share_of(docs, docs, "toxic") - 0.1) < 0.02
+    got = scored(docs.select("doc_id", "text"), fitted(docs, docs, rows=100)).collect()
+    assert abs(np.mean([r.score for r in got]) - 0.1) < 0.06  # nothing in the texts tells
+    assert np.mean([r.predicted for r in got]) < 0.1
+
+
 def test_odd_rows(spark, odd, none):
     for model in (fit([], np.zeros(0)), fit(["a b"], np.ones(1)), fit(["good words"] * 5 + ["bad words"] * 5, np.repeat([0.0, 1.0], 5))):
         rows = scored(odd, model).collect()
