@@ -4,7 +4,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from llm.quality import fit, judged, op6_quality, with_sites
+from llm.quality import evidence_of, fit, judged, op6_quality, with_sites
 
 
 def test_held_out_accuracy(spark):
@@ -28,6 +28,13 @@ def test_sparse_sites_are_drawn_to_their_host_and_to_all(spark):
         assert r.score == pytest.approx(1 / (1 + np.exp(-z)), rel=1e-6)
 
 
+@pytest.mark.parametrize("chars", [4_999, 9_999, 14_999, 100_000])
+def test_digits_are_counted_over_the_whole_text(chars):
+    digits = 12
+    assert evidence_of("7" * chars)[digits] == 1.0
+    assert evidence_of(("7" + "a" * 19) * (chars // 20))[digits] == pytest.approx(0.05)
+
+
 def test_odd_rows(spark, odd, none):
     for scorer in (fit([], np.zeros(0)), fit(["a b"], np.ones(1)), fit(["some words"] * 4 + ["x x x x"] * 4, np.repeat([1.0, 0.0], 4))):
         rows = with_sites(judged(odd, scorer), F.col("source"), F.col("lang")).collect()
