@@ -29,11 +29,14 @@ _ISSUED = re.compile(r"(?:AKIA|ASIA)[A-Z0-9]{16}$|gh[pousr]_[A-Za-z0-9]{36,}$|xo
 _UUID = re.compile(r"[0-9a-fA-F]{8}(?:-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}$")
 #: Words that stand in for a secret, near one that is none, and in paths of examples.
 DICTIONARY = "password passwd secret token example sample test dummy changeme placeholder your user admin root default value here none null true false string config local host server client name account number order invoice version page image file data path index total report public private access login email phone address street world hello this that with from have will they what when where which there their about would could should".split()
+_KNOWN = frozenset(DICTIONARY)
 NEAR_NOTHING = frozenset("example sample dummy placeholder test fake sha sha1 sha256 md5 commit checksum digest hash uuid guid id order invoice card phone isbn version build".split())
 NEAR_KEY = frozenset("password passwd pwd secret token key apikey auth bearer credential credentials aws login".split())
 PATH_WORDS = re.compile(r"test|spec|example|sample|mock|fixture|doc|vendor|lock", re.I)
 _WORDS = re.compile("|".join(sorted({w for w in DICTIONARY if len(w) > 3}, key=len, reverse=True)), re.I)
 _NEAR = re.compile(r"[A-Za-z0-9]+")
+#: One word in ordinary writing: a vowel in it, and no capital behind its first letter unless all are.
+_PLAIN = re.compile(r"(?=.*[aeiouyAEIOUY])(?:[A-Za-z][a-z]+|[A-Z]+)[.:!?)]*$")
 
 
 def candidates(text: str):
@@ -68,12 +71,16 @@ def features(text: str, start: int, end: int, name: str | None, sign: str | None
 def verdict_by_rule(text: str, start: int, end: int, name: str | None) -> int | None:
     """The label of a finding that needs no judging, for want of reviewed ones: keys of a known issuer
     and assigned values of mixed characters are secrets, numbers, ids and plain words are not; null if
-    neither is sure."""
+    neither is sure, as of values with many separators or no digit that are assigned to a key's name:
+    keys in base64 and passwords with symbols look like that, paths and code too."""
     value = text[start:end]
     if _ISSUED.match(value):
         return 1
-    if not any(c.isdigit() for c in value) or value.isdigit() or _UUID.match(value) or len(_NEAR.findall(value)) > 3:
+    if value.isdigit() or _UUID.match(value):
         return 0
+    runs = _NEAR.findall(value)
+    if not any(c.isdigit() for c in value) or len(runs) > 3:
+        return 0 if not name or _PLAIN.match(value) or all(r.lower() in _KNOWN for r in runs) else None
     if name and len(set(value)) >= 6:
         return 0 if _WORDS.search(value) else 1
     return None
