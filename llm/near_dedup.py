@@ -178,6 +178,7 @@ def _others(filed: DataFrame, checked: DataFrame, classes: DataFrame, bags: Data
     """Pairs (a, b) of a bucket that are in different classes, not compared yet and may reach the similarity.
 
     A bucket's main class is its centre's; only members outside it are joined with the whole bucket.
+    The bounds leave room for rounding, as pairs of just the similarity count; who calls verifies exactly.
     """
     toward = checked.select("a", "b", "s").union(checked.select("b", "a", "s")).toDF("id", "centre", "s")
     members = filed.join(toward, ["id", "centre"], "left").join(classes, "id", "left")
@@ -193,7 +194,7 @@ def _others(filed: DataFrame, checked: DataFrame, classes: DataFrame, bags: Data
     common = flat.join(common, "h").groupBy("id").agg(F.sum("c").alias("common"))
     sizes = held.select("id", F.size("bag").alias("n")).join(common, "id")
     least = similarity / (1 + similarity)  # overlap over the sum of both sizes
-    sizes = sizes.where(F.col("common") >= least * F.col("n") * (1 + similarity))
+    sizes = sizes.where(F.col("common") >= similarity * F.col("n") - 1e-6)
     members = kept(members.join(sizes, "id"), "members")
     # and those that any text of the bucket's main class has, for the members outside it
     outer = members.where("class != main").select("id", "main").distinct()
@@ -201,9 +202,9 @@ def _others(filed: DataFrame, checked: DataFrame, classes: DataFrame, bags: Data
     with_main = outer.join(flat.drop("class"), "id").join(inner, ["main", "h"]).groupBy("id", "main").agg(F.sum("c").alias("with_main"))
     x = members.where("class != main").join(with_main, ["id", "main"], "left").na.fill(0, ["with_main"])
     x = x.select("band", *[F.col(c).alias(f"x_{c}") for c in ("id", "s", "class", "n", "common", "with_main")])
-    near = F.coalesce(F.abs(F.col("s") - F.col("x_s")) <= 1 - similarity, F.lit(True))
+    near = F.coalesce(F.abs(F.col("s") - F.col("x_s")) <= 1 - similarity + 1e-9, F.lit(True))
     shared = F.when(F.col("class") == F.col("main"), F.col("x_with_main")).otherwise(F.col("x_common"))
-    bound = F.least("common", shared, "n", "x_n") >= least * (F.col("n") + F.col("x_n"))
+    bound = F.least("common", shared, "n", "x_n") >= least * (F.col("n") + F.col("x_n")) - 1e-6
     met = members.join(x, "band").where((F.col("class") != F.col("x_class")) & (F.col("id") != F.col("centre")) & near & bound)
     return met.select(*_pair("id", "x_id")).distinct().join(checked, ["a", "b"], "left_anti")
 

@@ -1,7 +1,8 @@
 import numpy as np
+import pytest
 
 from llm.common import WordHashes
-from llm.near_dedup import bag_of, bag_signatures, first_of_each, near_classes, overlap
+from llm.near_dedup import _others, bag_of, bag_signatures, first_of_each, near_classes, overlap
 
 
 def plain_classes(rows):
@@ -48,6 +49,16 @@ def test_families_of_edited_texts(spark):
     assert got == plain_classes(rows)
 
 
+@pytest.mark.parametrize(("n", "both", "to_centre"), [(35, 28, (0.5, 0.5)), (25, 20, (0.5, 0.5)), (10, 8, (0.9, 0.7))])
+def test_pairs_of_just_the_similarity_meet_outside_their_centre(spark, n, both, to_centre):
+    bags = spark.createDataFrame([(1, list(range(1000, 1030))), (2, list(range(both))), (3, list(range(n)))], "id long, bag array<long>")
+    filed = spark.createDataFrame([(7, 1, 1), (7, 2, 1), (7, 3, 1)], "band long, id long, centre long")
+    checked = spark.createDataFrame([(1, 2, to_centre[0]), (1, 3, to_centre[1])], "a long, b long, s double")
+    classes = spark.createDataFrame([], "id long, class long")
+    assert overlap(*(np.arange(k).astype(np.uint64) for k in (both, n))) == 0.8
+    assert [tuple(r) for r in _others(filed, checked, classes, bags, 0.8).collect()] == [(2, 3)]
+
+
 def test_odd_rows(spark, odd, none):
     got = [(r.doc_id, r.class_id, r.n_copies) for r in near_classes(odd).collect()]
     assert sorted(got, key=str) == sorted([(1, 1, 3), (2, 1, 3), (6, 1, 3), (3, 3, 1), (4, 4, 3), (4, 4, 3), (5, 4, 3), (7, 7, 1), (None, None, 1)], key=str)
