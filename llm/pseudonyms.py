@@ -20,8 +20,12 @@ KINDS = {
     "date": r"(?<![\d\-/])(?:19|20)\d\d-(?:0[1-9]|1[0-2])-(?:0[1-9]|[12]\d|3[01])(?![\d\-/])",
     "ssn": r"(?<![\d\-])(?!000|666|9\d\d)\d{3}-(?!00)\d\d-(?!0000)\d{4}(?![\d\-])",
     "card": r"(?<![\d\-])(?:\d[ \-]?){12,18}\d(?![\d]|-\d)",
-    "phone": r"(?:\+\d{1,3}[ .\-]?)?(?<![\d\-])(?:\(\d{3}\) ?|\d{3}[ .\-])\d{3}[ .\-]\d{4}(?![\d\-])",
+    "phone": r"(?<![\d\-])(?:(?:\+\d{1,3}[ .\-]?|1[ .\-])?(?:\(\d{3}\) ?|\d{3}[ .\-])\d{3}[ .\-]\d{4}|\+\d{1,3}[ .\-]?\d{10})(?![\d\-])",
 }
+#: Digits and separators as far as they go, up to where no other value begins; a card and its neighbours lie in one.
+RUN = r"(?<![\d\-])\d[\d \-]{11,}\d(?!\d|-\d|\.\d|[A-Za-z0-9._%+\-]{0,63}@)"
+#: Lengths of cards in the order in which they are looked for within a run.
+CARD_DIGITS = (16, 15, 14, 13, 19, 18, 17)
 #: Dates are permuted among the 73,050 days from 1900-01-01; the last lies beyond 2099 and is permuted on.
 DAYS = (150, 487)
 
@@ -125,6 +129,52 @@ def _card(m: Column, key: Column) -> Column:
     return _let(F.regexp_replace(m, "[^0-9]", ""), renamed)
 
 
+def _digits(m: Column) -> Column:
+    return F.regexp_replace(m, "[^0-9]", "")
+
+
+def _pieces(text: Column, pattern: str) -> Column:
+    """The text as an array of (s, value): what the pattern matches and what lies between."""
+
+    def woven(found: Column) -> Column:
+        gaps = F.transform(F.split(text, pattern, -1), lambda g: F.struct(g.alias("s"), F.lit(False).alias("value")))
+        values = F.transform(found, lambda v: F.struct(v.alias("s"), F.lit(True).alias("value")))
+        return F.flatten(F.zip_with(gaps, values, lambda g, v: F.when(v.isNull(), F.array(g)).otherwise(F.array(g, v))))
+
+    return _let(F.regexp_extract_all(text, F.lit(pattern), F.lit(0)), woven)
+
+
+def _parted(run: Column) -> Column:
+    """A run as pieces: it is one card, or has cards of whole groups of digits, from left to right, and
+    between them dates, social security numbers and phones."""
+    rest_of = "|".join(KINDS[k] for k in ("date", "ssn", "phone"))
+
+    def valid(c: Column) -> Column:
+        return F.when(c != "", F.when(_luhn(_digits(c)) % 10 == 0, c))
+
+    def card_at(p: Column) -> Column:
+        rest = F.substring(run, p, F.lit(38))  # 19 digits, 18 separators and what follows
+        return F.coalesce(*[_let(F.regexp_extract(rest, rf"^(?:\d[ \-]?){{{n - 1}}}\d(?!\d)", 0), valid) for n in CARD_DIGITS], F.lit(""))
+
+    def step(acc: Column, p: Column) -> Column:
+        begins = (p >= acc["next"]) & F.substring(run, p, F.lit(1)).between("0", "9") & ((p == 1) | ~F.substring(run, p - 1, F.lit(1)).between("0", "9"))
+
+        def taken(card: Column) -> Column:
+            cut = F.array(F.struct(acc["next"].alias("from"), p.alias("at"), card.alias("card")))
+            return F.when(card == "", acc).otherwise(F.struct((p + F.length(card)).alias("next"), F.concat(acc["cuts"], cut).alias("cuts")))
+
+        return F.when(begins, _let(card_at(p), taken)).otherwise(acc)
+
+    start = F.struct(F.lit(1).alias("next"), F.array().cast("array<struct<from:int,at:int,card:string>>").alias("cuts"))
+
+    def cut_up(acc: Column) -> Column:
+        some = F.transform(acc["cuts"], lambda c: F.concat(_pieces(F.substring(run, c["from"], c["at"] - c["from"]), rest_of), F.array(F.struct(c["card"].alias("s"), F.lit(True).alias("value")))))
+        return F.concat(F.flatten(some), _pieces(F.substring(run, acc["next"], F.length(run)), rest_of))
+
+    whole = run.rlike(f"^(?:{KINDS['card']})$") & (_luhn(_digits(run)) % 10 == 0)
+    return F.when(whole, F.array(F.struct(run.alias("s"), F.lit(True).alias("value")))).otherwise(F.aggregate(F.sequence(F.lit(1), F.length(run)), start, step, cut_up))
+
+
 def _phone(m: Column, key: Column) -> Column:
     """Another number of the same country code; area and exchange keep a first digit of 2 to 9 if they had one."""
 
@@ -193,7 +243,8 @@ def pseudonymised(docs: DataFrame, key: str, text: str = "text") -> DataFrame:
     docs = docs.drop("private")
     secret = F.lit(key)
     # addresses of mail aside, every kind begins with one of few characters
-    pattern = f"{KINDS['email']}|(?=[0-9+(])(?:{'|'.join(p for k, p in KINDS.items() if k != 'email')})"
+    starting = "|".join(RUN if k == "card" else p for k, p in KINDS.items() if k != "email")
+    pattern = f"{KINDS['email']}|(?=[0-9+(])(?:{starting})"
     # no kind is without a digit or an @, so most texts need no search
     found = F.when(F.col(text).rlike("[0-9@]"), F.regexp_extract_all(F.col(text), F.lit(pattern), F.lit(0)))
 
@@ -203,11 +254,16 @@ def pseudonymised(docs: DataFrame, key: str, text: str = "text") -> DataFrame:
             new = F.when(m.rlike(f"^(?:{KINDS[kind]})$"), F.struct(F.lit(kind).alias("kind"), maker(m, secret).alias("to"))).otherwise(new if kind != "phone" else F.struct(F.lit("").alias("kind"), m.alias("to")))
         return new
 
+    def parts(m: Column) -> Column:
+        return F.when(m.rlike(r"^[0-9][0-9 \-]{11,}[0-9]$"), _parted(m)).otherwise(F.array(F.struct(m.alias("s"), F.lit(True).alias("value"))))
+
     marked = docs.withColumns({"_old": found})
-    marked = marked.withColumn("_new", F.transform("_old", renamed))
+    marked = marked.withColumn("_parts", F.transform("_old", parts))
+    marked = marked.withColumn("_new", F.transform("_parts", lambda some: F.transform(some, lambda p: F.when(p["value"], renamed(p["s"])).otherwise(F.struct(F.lit("").alias("kind"), p["s"].alias("to"))))))
     gaps = F.split(F.col(text), pattern, -1)
-    filled = F.array_join(F.zip_with(F.concat(F.array(F.lit("")), F.transform("_new", lambda x: x["to"])), gaps, lambda m, g: F.concat(m, g)), "")
-    changed = F.filter(F.zip_with("_new", "_old", lambda n, o: F.when(n["to"] != o, n["kind"])), lambda k: k.isNotNull())
+    values = F.transform("_new", lambda some: F.array_join(F.transform(some, lambda x: x["to"]), ""))
+    filled = F.array_join(F.zip_with(F.concat(F.array(F.lit("")), values), gaps, lambda m, g: F.concat(m, g)), "")
+    changed = F.filter(F.zip_with(F.flatten("_new"), F.flatten("_parts"), lambda n, o: F.when(n["to"] != o["s"], n["kind"])), lambda k: k.isNotNull())
     counts = F.map_from_arrays(F.array(*[F.lit(k) for k in KINDS]), F.array(*[F.size(changed) - F.size(F.array_remove(changed, k)) for k in KINDS]))
     counts = F.map_filter(counts, lambda _, n: n > 0)
     some = F.coalesce(F.size("_old") > 0, F.lit(False))

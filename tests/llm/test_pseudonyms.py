@@ -32,6 +32,21 @@ def test_formats_links_and_validity(spark):
     assert set(pseudonymised(docs, "k").first().private) == set(KINDS)
 
 
+def test_values_beside_other_digits(spark):
+    card = "4111 1111 1111 1111"
+    texts = [f"{card} 12/27", f"{card} 123", f"12 {card}", f"1234567 {card} 99", f"{card} 10.20.30.40", f"{card} 2020-02-29 {card}", "call 555-123-4567 2025", "+1-555-123-4567", "1-555-123-4567", "+15551234567", "4041894974608796 12", " ".join(["1000"] * 60) + f" {card}"]
+    kinds = [["card"]] * 4 + [["card", "ip"], ["card", "date"]] + [["phone"]] * 4 + [[], ["card"]]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = [r for r in pseudonymised(docs, "k").orderBy("doc_id").collect()]
+    for r, old, want in zip(got, texts, kinds, strict=True):
+        assert set(want) == set(r.private), (old, r)
+        assert re.sub(r"\d", "0", r.text.split(".")[0]) == re.sub(r"\d", "0", old.split(".")[0]) or "ip" in want
+        for value in (card, "10.20.30.40", "2020-02-29", "555-123-4567", "5551234567"):
+            assert value not in r.text
+    assert got[5].private == {"card": 2, "date": 1} and got[0].text.endswith(" 12/27") and got[2].text.startswith("12 ") and got[10].text == texts[10]
+    assert got[7].text[3:] == got[8].text[2:] and got[9].text[2:] == re.sub(r"\D", "", got[8].text[2:])
+
+
 def test_values_of_the_documents_are_gone(spark):
     old = {r.doc_id: r.text for r in spark.read.parquet("/root/testdata/sf0.01/documents.parquet").collect()}
     pattern = re.compile("|".join(KINDS[k] for k in ("email", "ip", "phone")))
