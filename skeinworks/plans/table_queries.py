@@ -454,9 +454,10 @@ def _(spark, sf):
 @query("source_listed_objects", "SELECT count(DISTINCT event_type) AS files, TRUE AS all_have_bytes FROM events")
 def _(spark, sf):
     out = fresh_folder(spark, "listed")
-    table(spark, sf, "events").repartition(1, "event_type").write.partitionBy("event_type").json(out)
+    table(spark, sf, "events").write.partitionBy("event_type").json(out)
     d = RD.list_objects(spark, out, suffix=".json")
-    return d.agg(F.count(F.lit(1)).alias("files"), (F.min("length") > 0).alias("all_have_bytes"))
+    kind = F.nullif(F.regexp_extract("path", "event_type=([^/]*)/[^/]*$", 1), F.lit("__HIVE_DEFAULT_PARTITION__"))
+    return d.agg(F.countDistinct(kind).alias("files"), (F.min("length") > 0).alias("all_have_bytes"))
 
 
 @query("source_catalogued", "SELECT n_nationkey, n_name, n_regionkey FROM nation")
