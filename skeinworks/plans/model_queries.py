@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from ..functions import text as T
 from ..operators import classify as K, ranking as R, scoring as S, series as N
+from ..session import cut_lineage
 from . import views as V
 from .registry import documents, query, table
 
@@ -344,8 +345,8 @@ def _(spark, sf):
 
 @query("classifier_tuning")
 def _(spark, sf):
-    d = K.assembled(credit(spark, sf), _NUM, ["lang"]).select("quality", "features")
-    _, trials = K.tuned_classifier(d, "quality", trials=6, parallel=3, rounds=(3, 8))
+    d = cut_lineage(K.assembled(credit(spark, sf), _NUM, ["lang"]).select("quality", "features"))  # read by every trial
+    _, trials = K.tuned_classifier(d, "quality", trials=6, parallel=3)
     return trials
 
 
