@@ -112,3 +112,16 @@ def long_list(arrays: list[np.ndarray], kind: pa.DataType = pa.int64()) -> pa.Li
 def texts_of(batch: pa.RecordBatch, column: str = "text") -> list[str]:
     """The texts of a batch, null as the empty text."""
     return [t or "" for t in batch.column(column).to_pylist()]
+
+
+def joined_on_hot(many: DataFrame, few: DataFrame, key: str, count: str, by: str, spread: int = 32) -> DataFrame:
+    """`many` left-joined with `few` (one row per `key`, `count` the rows of `many` that have it).
+
+    A key with over a thousandth of all rows (so there are at most a thousand) is dealt over `spread`
+    tasks by a hash of the column `by`, and its row of `few` copied to each. `count` is left out.
+    """
+    total = few.agg(F.coalesce(F.sum(count), F.lit(0))).first()[0]
+    hot = F.broadcast(few.where(F.col(count) > max(total // 1000, 1000)).select(key, F.lit(True).alias("_hot")))
+    many = many.join(hot, key, "left").withColumn("_salt", F.when(F.col("_hot"), F.pmod(F.xxhash64(by, F.lit(7)), F.lit(spread))).otherwise(0).cast("int")).drop("_hot")
+    salts = F.when(F.col(count) > max(total // 1000, 1000), F.sequence(F.lit(0), F.lit(spread - 1))).otherwise(F.array(F.lit(0)))
+    return many.join(few.withColumn("_salt", F.explode(salts)).drop(count), [key, "_salt"], "left").drop("_salt")
