@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-MODULES = ["decontaminate", "mix", "substrings", "near_dedup", "toxicity", "fingerprint", "licenses", "secrets_scan", "quality", "pseudonyms"]
+MODULES = ["decontaminate", "mix", "substrings", "near_dedup", "toxicity", "fingerprint", "licenses", "secrets_scan", "quality", "pseudonyms", "simhash", "variants", "periodic"]
 
 
 def _all(kind: str) -> dict:
