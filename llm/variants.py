@@ -87,11 +87,18 @@ def numbered(words: DataFrame, key: str) -> tuple[DataFrame, dict[int, int]]:
     return out.drop("_part"), stands
 
 
-def _path(nodes: pa.ListScalar, stands: dict[int, int]) -> np.ndarray:
-    x = np.array(nodes.values, np.int64)
-    for k in np.flatnonzero(np.isin(x, list(stands))).tolist() if stands else ():
-        x[k] = stands[int(x[k])]
-    return x
+def _counted_up(sizes: np.ndarray) -> np.ndarray:
+    """0..n-1 for each n of `sizes`, one after the other."""
+    return np.arange(int(sizes.sum())) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+
+
+def _standing(nodes: np.ndarray, stands: dict[int, int]) -> np.ndarray:
+    """The nodes, each with the number that stands for it."""
+    if not stands:
+        return nodes
+    known = np.array(sorted(stands), np.int64)
+    at = np.minimum(np.searchsorted(known, nodes), len(known) - 1)
+    return np.where(known[at] == nodes, np.array([stands[int(k)] for k in known], np.int64)[at], nodes)
 
 
 def gaps(words: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -106,61 +113,102 @@ def gaps(words: DataFrame) -> tuple[DataFrame, DataFrame]:
     both = ahead.join(back.select("word", F.col("nodes").alias("_back")), "word")
     names = ["id", "n", "prefix", "suffix", "skipped", "last"]
 
+    def paired(batch: pa.RecordBatch):
+        held = batch.column("word").to_pylist()
+        m = np.array([len(w) for w in held], np.int64)
+        n = np.asarray(batch.column("n"))
+        f = _standing(np.asarray(batch.column("nodes").flatten()), stands)
+        b = _standing(np.asarray(batch.column("_back").flatten()), stands_back)
+        start = np.cumsum(m + 1) - (m + 1)  # of a word's paths in f and b
+        points = np.frombuffer("".join(held).encode("utf-32-le", "surrogatepass"), np.uint32)
+        last = np.append(points[1:] != points[:-1], True)
+        last[(np.cumsum(m) - 1)[m > 0]] = True
+        skip, place = np.repeat(np.arange(len(m)), m), _counted_up(m)
+        split, between = np.repeat(np.arange(len(m)), m + 1), _counted_up(m + 1)
+        who = np.concatenate([skip, split])
+        prefix = np.concatenate([f[start[skip] + place], f[start[split] + between]])
+        suffix = np.concatenate([b[start[skip] + m[skip] - place - 1], b[start[split] + m[split] - between]])
+        skipped = np.arange(len(who)) < len(skip)
+        flags = np.concatenate([last[: len(skip)], np.zeros(len(split), bool)])
+        return pa.RecordBatch.from_arrays([pa.array(x) for x in (f[start + m][who], n[who], prefix, suffix, skipped, flags)], names)
+
     def emit(batches: Iterator[pa.RecordBatch]):
         for batch in batches:
-            cols, held = [[] for _ in names], 0
-            for row, (word, n) in enumerate(zip(batch.column("word").to_pylist(), batch.column("n").to_pylist(), strict=True)):
-                p, s = _path(batch.column("nodes")[row], stands), _path(batch.column("_back")[row], stands_back)[::-1]
-                m = len(word)
-                points = np.frombuffer(word.encode("utf-32-le", "surrogatepass"), np.uint32)
-                last = np.ones(m, bool)
-                last[:-1] = points[1:] != points[:-1]
-                skipped = np.arange(2 * m + 1) < m
-                parts = [np.full(2 * m + 1, p[m]), np.full(2 * m + 1, n), np.concatenate([p[:m], p]), np.concatenate([s[1:], s]), skipped, np.append(last, np.zeros(m + 1, bool))]
-                for c, x in zip(cols, parts, strict=True):
-                    c.append(x)
-                held += 2 * m + 1
-                if held > _FLUSH or row + 1 == batch.num_rows:
-                    yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in cols], names)
-                    cols, held = [[] for _ in names], 0
+            ends = np.cumsum(np.asarray(batch.column("nodes").value_lengths()))
+            cuts = np.flatnonzero(np.diff(ends // _FLUSH, prepend=0)).tolist()
+            for a, b in zip([0, *cuts], [*cuts, batch.num_rows], strict=True):
+                if b > a:
+                    yield paired(batch.slice(a, b - a))
 
     pairs = in_arrow(both, emit, "id long, n long, prefix long, suffix long, skipped boolean, last boolean")
     return ahead.select(F.element_at("nodes", -1).alias("id"), "word", "n"), pairs
 
 
-def met(pairs: DataFrame) -> DataFrame:
-    """(id, n, near): for each word and pair of nodes the words near it through that pair, as (n, id) structs.
+def _best(mask: np.ndarray, starts: np.ndarray) -> np.ndarray:
+    """Per group the place of its first row in `mask`, or the number of rows."""
+    return np.minimum.reduceat(np.where(mask, np.arange(len(mask)), len(mask)), starts)
+
+
+def _nearest(prefix, suffix, skipped, last, n, who) -> list[np.ndarray]:
+    """(id, near words, the best one's n and id) of rows sorted by pair of nodes, then n downward and id."""
+    new = np.append(True, (prefix[1:] != prefix[:-1]) | (suffix[1:] != suffix[:-1]))
+    starts = np.flatnonzero(new)
+    group = np.cumsum(new) - 1
+    rows = np.arange(len(prefix))
+    skips = np.add.reduceat(skipped.astype(np.int64), starts)[group]
+    splits = np.add.reduceat((~skipped).astype(np.int64), starts)[group]
+    lacking = np.add.reduceat((skipped & last).astype(np.int64), starts)[group]
+    near = np.where(skipped, skips - 1 + np.where(last, splits, 0), lacking)
+
+    def other(mask):
+        """The first row of the group in `mask` that is not the row itself."""
+        one = _best(mask, starts)[group]
+        two = _best(mask & (one != rows), starts)[group]
+        return np.where(one == rows, two, one)
+
+    best = np.where(skipped, np.where(last, other(np.ones(len(rows), bool)), other(skipped)), other(skipped & last))
+    some = near > 0
+    return [who[some], near[some], n[best[some]], who[best[some]]]
+
+
+def nearest(pairs: DataFrame) -> DataFrame:
+    """(id, near, best_n, best): for each word and pair of nodes how many words are near it through that pair, and their best.
 
     Words that skip one place between the same nodes differ in that letter; the word that is split between
     those nodes lacks it. Of equal letters in a row only the last counts as left out, so two near words
     meet once. At most one word has the split, and the skipping ones differ by a single letter: a pair of
-    nodes holds at most one more word than there are letters.
+    nodes holds at most one more word than there are letters. The best has the greatest n, then the least id.
     """
-    held = pairs.groupBy("prefix", "suffix").agg(
-        F.collect_list(F.when(F.col("skipped"), F.struct("n", "id", "last"))).alias("skips"),
-        F.collect_list(F.when(~F.col("skipped"), F.struct("n", "id"))).alias("splits"),
-    )
-    held = held.where((F.size("skips") > 1) | ((F.size("skips") == 1) & (F.size("splits") == 1)))
+    names = ["prefix", "suffix", "skipped", "last", "n", "id"]
 
-    def bare(x):
-        return F.struct(x["n"].alias("n"), x["id"].alias("id"))
-
-    held = held.withColumn("bare", F.transform("skips", bare)).withColumn("lacking", F.transform(F.filter("skips", lambda x: x["last"]), bare))
+    def meet(batches: Iterator[pa.RecordBatch]):
+        held: list[np.ndarray] = []
+        for batch in batches:
+            rows = [batch.column(c).to_numpy(zero_copy_only=False) for c in names]
+            rows = [np.concatenate(x) for x in zip(held, rows, strict=True)] if held else rows
+            new = np.flatnonzero((rows[0][1:] != rows[0][:-1]) | (rows[1][1:] != rows[1][:-1])) + 1
+            cut = int(new[-1]) if len(new) else 0  # the last pair may go on in the next batch
+            held = [x[cut:] for x in rows]
+            if cut:
+                yield out(*(x[:cut] for x in rows))
+        if held and len(held[0]):
+            yield out(*held)
 
-    def of_skip(x):
-        others = F.filter("bare", lambda y: y["id"] != x["id"])
-        return F.struct(x["id"].alias("id"), x["n"].alias("n"), F.when(x["last"], F.concat(others, "splits")).otherwise(others).alias("near"))
+    def out(*rows):
+        return pa.RecordBatch.from_arrays([pa.array(x) for x in _nearest(*rows)], ["id", "near", "best_n", "best"])
 
-    of_split = F.transform("splits", lambda x: F.struct(x["id"].alias("id"), x["n"].alias("n"), F.col("lacking").alias("near")))
-    return held.select(F.explode(F.concat(F.transform("skips", of_skip), of_split)).alias("x")).select("x.*").where(F.size("near") > 0)
+    met = pairs.repartition("prefix", "suffix").sortWithinPartitions("prefix", "suffix", F.desc("n"), "id")
+    return in_arrow(met.select(*names), meet, "id long, near long, best_n long, best long")
 
 
 def neighbours(words: DataFrame) -> DataFrame:
     """(word, n, near, near_n): every word of `words` (word, n; distinct) with each word exactly one inserted, deleted or replaced code point away."""
     names, pairs = gaps(words)
-    links = met(pairs).select("id", F.explode("near").alias("x")).select("id", F.col("x.id").alias("other"))
-    other = names.select(F.col("id").alias("other"), F.col("word").alias("near"), F.col("n").alias("near_n"))
-    return links.join(names, "id").join(other, "other").select("word", "n", "near", "near_n")
+    pairs = kept(pairs, "trie-pairs")
+    other = pairs.select("prefix", "suffix", F.col("id").alias("other"), F.col("skipped").alias("_skipped"), F.col("last").alias("_last"))
+    links = pairs.join(other, ["prefix", "suffix"]).where("(skipped and _skipped and id != other) or (last and not _skipped) or (_last and not skipped)")
+    near = names.select(F.col("id").alias("other"), F.col("word").alias("near"), F.col("n").alias("near_n"))
+    return links.select("id", "other").join(names, "id").join(near, "other").select("word", "n", "near", "near_n")
 
 
 def _roots(forms: DataFrame) -> DataFrame:
@@ -189,10 +237,12 @@ def spelling_groups(words: DataFrame, times: int = TIMES) -> DataFrame:
     Each letter of a word gives two pairs of node numbers, which are grouped by equality alone: there is no
     bucket of similar words, and a pair of nodes holds at most one more word than there are letters.
     """
-    names, pairs = gaps(kept(words.select("word", F.col("n").cast("long").alias("n")), "words"))
-    near = met(pairs).select("id", "n", F.size("near").alias("k"), F.array_max(F.transform("near", lambda x: F.struct(x["n"].alias("n"), (-x["id"]).alias("id")))).alias("best"))
-    near = kept(near.groupBy("id").agg(F.sum("k").alias("n_near"), F.max("n").alias("n"), F.max("best").alias("best")), "near")
-    forms = near.where(F.col("best.n") >= times * F.col("n")).select("id", (-F.col("best.id")).alias("form"), F.col("best.n").alias("form_n"))
+    words = kept(words.select("word", F.col("n").cast("long").alias("n")), "words")
+    names, pairs = gaps(words)
+    best = F.max(F.struct("best_n", (-F.col("best")).alias("best"))).alias("best")
+    near = kept(nearest(pairs).groupBy("id").agg(F.sum("near").alias("n_near"), best), "near")
+    forms = near.join(names.select("id", "n"), "id").where(F.col("best.best_n") >= times * F.col("n"))
+    forms = forms.select("id", (-F.col("best.best")).alias("form"), F.col("best.best_n").alias("form_n"))
     forms = forms.join(_roots(forms), "id")
     form_name, root_name = (names.select(F.col("id").alias(c), F.col("word").alias(f"_{c}")) for c in ("form", "root"))
     forms = forms.join(form_name, "form").join(root_name, "root").select("id", "_form", "_root", "form_n")
