@@ -2,9 +2,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
 from ..functions.text import overlap_similarity
+from ..session import ship
 
 
 def _safe(a, b):
@@ -54,45 +59,88 @@ def method_summary(per_query: DataFrame, *, by: list[str] = (), latency: str | N
     )
 
 
-def topic_matches(docs: DataFrame, topics: DataFrame, *, block_bytes: int = 1 << 20) -> DataFrame:
+#: Characters of the runs by which documents find the topics they may hold.
+GRAM = 6
+
+
+def _with_grams(df: DataFrame, text: str, lengths: list[int]) -> DataFrame:
+    """`df` with `_grams`: a number for each distinct run of the given lengths in a text.
+
+    Equal runs have equal numbers; different ones almost always different ones. Length 0 is the empty run.
+    """
+    ship(df.sparkSession)
+    odd = np.uint64(0x9E3779B97F4A7C15)
+
+    def numbered(points: np.ndarray, n: int) -> np.ndarray:
+        count = max(len(points) - n + 1, 0)
+        h = np.full(count, n, np.uint64)
+        for k in range(n):
+            h = (h ^ points[k : k + count]) * odd
+            h ^= h >> np.uint64(29)
+        return h if n else h[:1]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            sets = []
+            for t in b.column(text).to_pylist():
+                points = np.frombuffer((t or "").encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.uint64)
+                sets.append(np.unique(np.concatenate([numbered(points, n) for n in lengths])) if t is not None else points)
+            ends = pa.array(np.concatenate([[0], np.cumsum([len(x) for x in sets])]).astype(np.int32))
+            flat = pa.array(np.concatenate(sets).view(np.int64))
+            yield pa.RecordBatch.from_arrays([*b.columns, pa.ListArray.from_arrays(ends, flat)], [*b.schema.names, "_grams"])
+
+    kinds = ", ".join(f"{c} {t}" for c, t in df.dtypes)
+    return df.mapInArrow(run, f"{kinds}, _grams array<long>")
+
+
+def topic_matches(docs: DataFrame, topics: DataFrame, *, block_bytes: int = 32 << 20) -> DataFrame:
     """(doc_id, query_id) for every document holding any topic of the query as a substring.
 
-    Queries are a stated set, cut into blocks of at most `block_bytes` of topics; each block is one
-    array that every task gets, and a row filters it by `contains`. However many topics there are, the
-    blocks only become more.
+    A document can only hold a topic if it holds the topic's rarest run of GRAM characters (a shorter
+    topic is its own run), counted over all documents. So documents give their distinct runs, meet in an
+    equi-join the topics filed under them, and `contains` decides. Topics go to every task in blocks of
+    about `block_bytes`; however many there are, the blocks only become more. Case does not count; null
+    topics are left out, the empty one is in every text that is not null.
     """
-    kind = dict(topics.dtypes)["query_id"]
+    asked = topics.select("query_id", F.explode(F.transform("topics", F.lower)).alias("topic")).where("topic is not null").distinct()
+    size = asked.agg(
+        F.coalesce(F.sum(F.octet_length("topic") + 96), F.lit(0)).alias("bytes"),
+        F.count(F.lit(1)).alias("n"),
+        F.collect_set(F.least(F.length("topic"), F.lit(GRAM))).alias("lengths"),
+    ).first()  # at most GRAM + 1 lengths
+    blocks = max(1, min(size["n"], -(-size["bytes"] // block_bytes)))
+    names = asked.select("topic").distinct()
+    runs = None
+    for n in size["lengths"]:
+        own = _with_grams(names.where(F.least(F.length("topic"), F.lit(GRAM)) == n), "topic", [n]).select("topic", F.explode("_grams").alias("_gram"))
+        runs = own if runs is None else runs.union(own)
+    if runs is None:  # no topics, so no matches
+        return docs.join(asked.withColumnRenamed("topic", "text"), "text").select("doc_id", "query_id")
     low = docs.select("doc_id", F.lower("text").alias("_text"))
-    found, block, size = None, [], 0
+    grams = _with_grams(low, "_text", sorted(size["lengths"]))
+    held = grams.select(F.explode("_grams").alias("_gram"))
 
-    def met(block: list) -> DataFrame:
-        holder = topics.sparkSession.createDataFrame([(1, block)], f"_one int, asked array<struct<query_id:{kind},topics:array<string>>>")
-        held = F.filter("asked", lambda q: F.exists(q["topics"], lambda t: F.contains(F.col("_text"), t)))
-        # one row on the right, bounded above
-        return low.withColumn("_one", F.lit(1)).join(F.broadcast(holder), "_one").select("doc_id", F.explode(F.transform(held, lambda q: q["query_id"])).alias("query_id"))
+    def met(block: int) -> DataFrame:
+        here = F.pmod(F.xxhash64("topic"), F.lit(blocks)) == block
+        mine = runs.where(here)
+        counts = held.join(F.broadcast(mine.select("_gram").distinct()), "_gram").groupBy("_gram").agg(F.count(F.lit(1)).alias("n"))
+        rarity = mine.join(counts, "_gram", "left").groupBy("topic").agg(F.min(F.struct(F.coalesce("n", F.lit(0)), "_gram")).alias("r"))
+        filed = asked.where(here).join(rarity, "topic").select("query_id", "topic", F.col("r._gram").alias("_gram"))
+        pairs = grams.select("doc_id", "_text", F.explode("_grams").alias("_gram")).join(F.broadcast(filed), "_gram")
+        return pairs.where(F.contains("_text", "topic")).select("doc_id", "query_id")
 
-    for row in topics.select("query_id", F.transform("topics", F.lower).alias("t")).toLocalIterator():
-        words = [t for t in dict.fromkeys(row["t"] or []) if t is not None]
-        weight = sum(4 * len(t) + 16 for t in words)
-        if block and size + weight > block_bytes:
-            found = met(block) if found is None else found.union(met(block))
-            block, size = [], 0
-        block.append((row["query_id"], words))
-        size += weight
-    return found.union(met(block)) if found is not None else met(block)
+    found = met(0)
+    for block in range(1, blocks):
+        found = found.union(met(block))
+    return found.distinct()
 
 
 def topic_metrics(hits: DataFrame, docs: DataFrame, topics: DataFrame, k: int = 5) -> DataFrame:
     """Precision, recall and F1 where a document counts when it holds any topic of the query."""
-    matches = topic_matches(docs, topics)
-    total = matches.groupBy("query_id").agg(F.count(F.lit(1)).alias("total_relevant"))
-    got = (
-        hits.where(F.col("rank") <= k)
-        .join(matches, ["query_id", "doc_id"], "left_semi")
-        .groupBy("query_id")
-        .agg(F.count(F.lit(1)).alias("relevant_retrieved"))
-    )
-    d = topics.select("query_id").join(total, "query_id", "left").join(got, "query_id", "left").na.fill(0)
+    top = hits.where(F.col("rank") <= k).groupBy("query_id", "doc_id").agg(F.count(F.lit(1)).alias("_hits"))
+    matches = topic_matches(docs, topics).join(top, ["query_id", "doc_id"], "left")
+    found = matches.groupBy("query_id").agg(F.count(F.lit(1)).alias("total_relevant"), F.sum("_hits").alias("relevant_retrieved"))
+    d = topics.select("query_id").join(found, "query_id", "left").na.fill(0)
     return _f1(
         d.withColumn("precision", F.col("relevant_retrieved") / F.lit(k)).withColumn(
             "recall", _safe(F.col("relevant_retrieved"), F.col("total_relevant"))

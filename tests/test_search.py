@@ -205,6 +205,21 @@ def test_topics(spark):
             assert got == {(1, 9), (3, 9)}
 
 
+def test_topics_of_all_lengths_against_contains(spark):
+    r = random.Random(8)
+    texts = [None, "", "x", *("".join(r.choice("abÄ 😀c") for _ in range(r.randint(1, 30))) for _ in range(80))]
+    topics = [[None, "A"], ["aB", "zzzz"], [], ["bÄc", "abcab"], ["😀 ä"], ["c😀"], ["b" * 6, "ab a", "cabb"], ["a"]]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    for extra in ([], [[""]]):
+        asked = list(enumerate([*topics, *extra]))
+        want = {(d, q) for d, t in enumerate(texts) for q, ts in asked for x in ts if t is not None and x is not None and x.lower() in t.lower()}
+        for block in (64 << 20, 300):
+            got = M.topic_matches(docs, spark.createDataFrame(asked, "query_id int, topics array<string>"), block_bytes=block).collect()
+            assert len(got) == len(want) and {tuple(x) for x in got} == want
+    none = spark.createDataFrame([], "query_id int, topics array<string>")
+    assert M.topic_matches(docs, none).count() == 0
+
+
 def test_gate(spark):
     m = spark.createDataFrame([("faithfulness", 0.9), ("context_recall", 0.5), ("x", 0.0)], "metric string, score double")
     t = spark.createDataFrame([("faithfulness", 0.8), ("context_recall", 0.65), ("gone", 1.0)], "metric string, threshold double")
