@@ -10,6 +10,8 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from ..session import ship
+
 SMALL_SIDE_BYTES = 64 * 1024 * 1024
 
 
@@ -356,63 +358,48 @@ def recall_against(found: DataFrame, exact: DataFrame) -> DataFrame:
 # ---- similarity join and matrix -----------------------------------------------------------
 
 
-def similar_pairs(
-    docs: DataFrame, *, min_similarity: float = 0.8, cells: int = 64, piece_rows: int = 8_192, seed: int = 7
-) -> DataFrame:
-    """All pairs (i <= j, diagonal included) at least `min_similarity` alike, exactly.
+#: A task of a similarity join holds about so many bytes of vectors of each side.
+PIECE_BYTES = 16 << 20
+
+
+def _rows_per_piece(docs: DataFrame, piece_bytes: int) -> tuple[int, int]:
+    """(rows with a vector, rows of a piece) for vectors of eight-byte numbers."""
+    n, width = docs.where("d_vec is not null").agg(F.count(F.lit(1)), F.coalesce(F.max(F.size("d_vec")), F.lit(1))).first()
+    return n, max(1, piece_bytes // (8 * max(1, width)))
+
+
+def grid(rows: DataFrame, pieces: Column) -> tuple[DataFrame, DataFrame]:
+    """(left, right) with `pa` <= `pb`: rows in `pieces` pieces per key, so that every two pieces meet once.
 
-    Vectors are grouped in cells with a known angular radius. Two cells whose centres are
-    further apart than both radii plus the wanted angle cannot hold a pair and never meet;
-    the others meet piece by piece, and a task emits only the pairs above the limit.
+    A row of piece p goes left to the pieces from p on and right to those up to p: one copy more than there
+    are pieces, whose number is the root of twice the tasks.
     """
-    centres = cell_centres(docs, cells=cells, seed=seed).collect()
-    placed = nearest_cells(docs, "doc_id", "d_vec", centres, 1)
-    facts = {
-        r["cell"]: (r["radius"], -(-r["n"] // piece_rows))
-        for r in placed.groupBy("cell").agg(F.max("angle").alias("radius"), F.count(F.lit(1)).alias("n")).collect()
-    }  # one short row per cell
-    unit_centres = {r["cell"]: v for r, v in zip(centres, _unit_rows(np.array([r["centre"] for r in centres])))}
-    reach = float(np.arccos(max(-1.0, min(1.0, min_similarity)))) + 1e-6
-    meeting = []
-    for a, (ra, pa_) in facts.items():
-        for b, (rb, pb) in facts.items():
-            apart = float(np.arccos(np.clip(unit_centres[a] @ unit_centres[b], -1.0, 1.0)))
-            if a <= b and apart - ra - rb <= reach:
-                meeting.append((a, b, pa_, pb))
-    spark = docs.sparkSession
-    pairs = spark.createDataFrame(meeting, "ca int, cb int, na int, nb int")
-    n_pieces = spark.createDataFrame([(c, p) for c, (_, p) in facts.items()], "cell int, pieces int")
-    d = placed.join(F.broadcast(n_pieces), "cell").select(
-        "doc_id", "d_vec", "cell", F.pmod(F.xxhash64("doc_id"), F.col("pieces")).cast("int").alias("piece")
-    )
+    placed = rows.withColumn("_n", pieces).withColumn("_p", F.pmod(F.xxhash64("doc_id"), F.col("_n")).cast("int"))
+    left = placed.withColumn("pa", F.col("_p")).withColumn("pb", F.explode(F.sequence(F.col("_p"), F.col("_n") - 1)))
+    right = placed.withColumn("pb", F.col("_p")).withColumn("pa", F.explode(F.sequence(F.lit(0), F.col("_p"))))
+    return left.drop("_n", "_p"), right.select(*left.drop("_n", "_p").columns)
 
-    def others(n):
-        return F.explode(F.sequence(F.lit(0), F.col(n) - 1))
 
-    left = d.join(F.broadcast(pairs), F.col("cell") == F.col("ca")).select(
-        "doc_id", "d_vec", "ca", F.col("piece").alias("pa"), "cb", others("nb").alias("pb")
-    )
-    right = d.join(F.broadcast(pairs), F.col("cell") == F.col("cb")).select(
-        "doc_id", "d_vec", "ca", others("na").alias("pa"), "cb", F.col("piece").alias("pb")
-    )
-    once = (F.col("ca") < F.col("cb")) | (F.col("pa") <= F.col("pb"))
-    kind = dict(docs.dtypes)["doc_id"]
-    key = ["ca", "pa", "cb", "pb"]
+def _meet_pieces(left: DataFrame, right: DataFrame, keys: list[str], min_similarity: float, once=None) -> DataFrame:
+    """(i, j, similarity) of the rows of two pieces that are alike enough; `once` may reject pairs of row numbers."""
+    ship(left.sparkSession)
+    kind = dict(left.dtypes)["doc_id"]
 
     def meet(a: pa.Table, b: pa.Table) -> pa.Table:
         parts = []
         if a.num_rows and b.num_rows:
-            same = all(a[x][0].as_py() == a[y][0].as_py() for x, y in (("ca", "cb"), ("pa", "pb")))
+            same = a["pa"][0].as_py() == a["pb"][0].as_py()
             right_m, right_ids = _vectors(b["d_vec"]), b["doc_id"]
             for at in range(0, a.num_rows, 1024):
                 part = a.slice(at, 1024)
                 sim = np.round(_vectors(part["d_vec"]) @ right_m.T, 10)
                 x, y = np.nonzero(sim >= min_similarity)
+                if once is not None:
+                    first = once(part, b, x, y)
+                    x, y = x[first], y[first]
                 i, j = part["doc_id"].take(pa.array(x)), right_ids.take(pa.array(y))
                 swap = pc.greater(i, j)
-                t = pa.table(
-                    {"i": pc.if_else(swap, j, i), "j": pc.if_else(swap, i, j), "similarity": sim[x, y]}
-                )
+                t = pa.table({"i": pc.if_else(swap, j, i), "j": pc.if_else(swap, i, j), "similarity": sim[x, y]})
                 parts.append(t.filter(pc.invert(swap)) if same else t)
         if parts:
             return pa.concat_tables(parts)
@@ -420,10 +407,85 @@ def similar_pairs(
         return pa.table({"i": none, "j": none, "similarity": pa.array([], pa.float64())})
 
     # renaming gives the right side columns of its own, as both come from the same table
-    left, right = left.where(once), right.where(once).toDF(*right.columns)
-    return left.groupBy(*key).cogroup(right.groupBy(*key)).applyInArrow(
-        meet, f"i {kind}, j {kind}, similarity double"
-    )
+    right = right.toDF(*right.columns)
+    met = [*keys, "pa", "pb"]
+    return left.groupBy(*met).cogroup(right.groupBy(*met)).applyInArrow(meet, f"i {kind}, j {kind}, similarity double")
+
+
+def similar_pairs(docs: DataFrame, *, min_similarity: float = 0.8, piece_bytes: int = PIECE_BYTES) -> DataFrame:
+    """All pairs (i <= j, diagonal included) at least `min_similarity` alike, exactly.
+
+    The rows are cut into pieces and every two pieces meet in a task, which emits only the pairs above the
+    limit. That is all pairs' work, in any dimension and for any limit; for a high limit over many rows
+    `similar_pairs_banded` does far less. Rows without a vector are left out, zero vectors are like nothing.
+    """
+    n, size = _rows_per_piece(docs, piece_bytes)
+    rows = docs.select("doc_id", "d_vec").where("d_vec is not null")
+    spread = int(np.ceil(np.sqrt(2 * docs.sparkSession.sparkContext.defaultParallelism))) if n > 1024 else 1
+    return _meet_pieces(*grid(rows, F.lit(max(1, -(-n // size), spread))), [], min_similarity)
+
+
+def bands_for(min_similarity: float, recall: float, most: int = 64) -> tuple[int, int]:
+    """(bands, bits of a band): the longest bands of which `most` find a pair of just the limit with chance `recall`.
+
+    One random hyperplane leaves two vectors on the same side with chance 1 - angle / pi.
+    """
+    p = 1 - float(np.arccos(np.clip(min_similarity, -1.0, 1.0))) / np.pi
+    found = (most, 1)
+    for bits in range(1, 31):
+        hit = p**bits
+        bands = 1 if hit >= recall else int(np.ceil(np.log(1 - recall) / np.log1p(-hit)))
+        if bands > most:
+            break
+        found = (bands, bits)
+    return found
+
+
+def similar_pairs_banded(
+    docs: DataFrame, *, min_similarity: float = 0.9, recall: float = 0.97, seed: int = 7, piece_bytes: int = PIECE_BYTES
+) -> DataFrame:
+    """Pairs (i <= j, diagonal included) at least `min_similarity` alike: at least `recall` of them, none wrongly.
+
+    Random hyperplanes give each row a few bits in each of several bands; rows that agree on a band meet,
+    and their similarity is computed exactly. The stated recall is the expected one for pairs of just the
+    limit; more similar pairs are found more often. A bucket of many rows is cut into pieces of which every
+    two meet, so none is dropped. A pair that agrees on several bands is emitted by the first one only.
+    Zero vectors are like nothing, and are left out as rows without a vector are.
+    """
+    bands, bits = bands_for(min_similarity, recall)
+    _, size = _rows_per_piece(docs, piece_bytes)
+    kinds = dict(docs.dtypes)
+    ship(docs.sparkSession)
+
+    def keyed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        planes = None
+        for b in batches:
+            v = _vectors(b["d_vec"])
+            if planes is None:
+                planes = np.random.default_rng(seed).standard_normal((v.shape[1], bands * bits))
+            side = (v @ planes > 0).reshape(len(v), bands, bits)
+            keys = (side << np.arange(bits)).sum(2).astype(np.int64)
+            some = np.flatnonzero(np.abs(v).sum(1) > 0)
+            t = pa.table(b).select(["doc_id", "d_vec"]).append_column("keys", pa.array(list(keys), pa.list_(pa.int64())))
+            yield from t.take(pa.array(some)).to_batches()
+
+    rows = docs.select("doc_id", "d_vec").where("d_vec is not null")
+    rows = rows.mapInArrow(keyed, f"doc_id {kinds['doc_id']}, d_vec {kinds['d_vec']}, keys array<bigint>")
+    placed = rows.select("doc_id", "d_vec", "keys", F.posexplode("keys").alias("band", "key"))
+    full = rows.select(F.posexplode("keys").alias("band", "key")).groupBy("band", "key").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    placed = placed.join(full, ["band", "key"])
+
+    def once(a: pa.Table, b: pa.Table, x: np.ndarray, y: np.ndarray) -> np.ndarray:
+        ka, kb = (np.asarray(t["keys"].combine_chunks().flatten()).reshape(t.num_rows, -1) for t in (a, b))
+        band, out = a["band"][0].as_py(), np.ones(len(x), bool)
+        for k in range(band):
+            out &= ka[x, k] != kb[y, k]
+        return out
+
+    left, right = grid(placed.withColumn("_pieces", F.ceil(F.col("n") / size).cast("int")), F.col("_pieces"))
+    near = _meet_pieces(left, right, ["band", "key"], min_similarity, once).where("i != j")
+    alone = rows.select(F.col("doc_id").alias("i"), F.col("doc_id").alias("j"), F.lit(1.0).alias("similarity"))
+    return near.union(alone.where(F.lit(min_similarity) <= 1.0))
 
 
 def pair_moments(docs: DataFrame, vec: str = "d_vec") -> DataFrame:
