@@ -22,26 +22,29 @@ def search_statistics(df: DataFrame, *, by: list[str], latency: str = "latency_m
     p50 is the sorted value at n // 2 and p95 the one at int(0.95 n), both exact and
     picked without collecting a group.
     """
-    flat = df.groupBy(*by).agg(
-        F.count(F.lit(1)).alias("total"),
-        F.count_if("success").alias("successful"),
-        (F.count_if("success") / F.count(F.lit(1)) * 100).alias("success_percent"),
-        F.avg(latency).alias("latency_avg"),
-        F.min(latency).alias("latency_min"),
-        F.max(latency).alias("latency_max"),
-        F.avg(results).alias("results_avg"),
-        F.sum(results).alias("results_total"),
+    picks = {"latency_p50": lambda n: F.floor(n / 2), "latency_p95": lambda n: F.least(n - 1, F.floor(n * F.lit(0.95)))}
+    flat = {
+        "total": (F.count(F.lit(1)), F.sum),
+        "successful": (F.count_if("success"), F.sum),
+        "_latency": (F.sum(F.col(latency).cast("double")), F.sum),
+        "latency_min": (F.min(latency), F.min),
+        "latency_max": (F.max(latency), F.max),
+        "_found": (F.count(results), F.sum),
+        "results_total": (F.sum(results), F.sum),
+    }
+    d = values_at(df, by, latency, picks, flat=flat)
+    return d.select(
+        *by,
+        F.coalesce("total", F.lit(0)).alias("total"),
+        F.coalesce("successful", F.lit(0)).alias("successful"),
+        (F.try_divide("successful", "total") * 100).alias("success_percent"),
+        F.try_divide("_latency", "n").alias("latency_avg"),
+        "latency_min",
+        "latency_max",
+        F.try_divide("results_total", "_found").alias("results_avg"),
+        "results_total",
+        *picks,
     )
-    picks = values_at(
-        df,
-        by,
-        latency,
-        {
-            "latency_p50": lambda n: F.floor(n / 2),
-            "latency_p95": lambda n: F.least(n - 1, F.floor(n * F.lit(0.95))),
-        },
-    ).drop("n")
-    return flat.join(picks, by) if by else flat.select("*", *[picks.select(c).scalar().alias(c) for c in picks.columns])
 
 
 def answer_log_summary(df: DataFrame, *, by: list[str], time: str = "total_time", sources: str = "result_count") -> DataFrame:

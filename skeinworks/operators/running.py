@@ -11,6 +11,8 @@ import math
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from ..session import cut_lineage
+
 _MERGE = {"sum": lambda a, b: F.coalesce(a, F.lit(0)) + F.coalesce(b, F.lit(0)), "max": F.greatest, "min": F.least}
 _AGG = {"sum": F.sum, "max": F.max, "min": F.min}
 
@@ -123,19 +125,95 @@ def counted_values(
     )
 
 
-def values_at(df: DataFrame, keys: list[str], value: str, picks: dict, *, ranges: int | None = None) -> DataFrame:
+#: Bins of a doubling, and parts of a bin, in the histograms that find order statistics.
+OCTAVE, FINE = 1 << 11, 1 << 20
+#: Groups of at most so many rows go to every task as wanted bins.
+BROADCAST_GROUPS = 20_000
+
+
+def value_bin(value: str, parts: int = 1) -> Column:
+    """A number that never falls as the column `value` grows: OCTAVE * parts bins between each power of two and the next.
+
+    Values below zero mirror those above; the infinities and NaN, which is greater than all, have bins of their own.
+    """
+    v, bins, last = f"cast(`{value}` as double)", OCTAVE * parts, 1 << 50
+    power = f"floor(log2(abs({v})))"
+    within = f"least(greatest(abs({v}) / pow(2D, {power}) - 1, 0D), {1 - 2.0**-53!r}D)"
+    return F.expr(
+        f"case when `{value}` is null then null when {v} = 0 then 0L when isnan({v}) then {last + 1}L"
+        f" when abs({v}) = double('infinity') then if({v} > 0, {last}L, -{last}L)"
+        f" else if({v} > 0, 1L, -1L) * (({power} + 1100) * {bins}L + floor({within} * {bins}L) + 1) end"
+    )
+
+
+def _at_index(histogram: str, at: str, kind: str) -> Column:
+    """Of sorted structs (bin of the type `kind`, n) the `bin` that holds the 0-based index `at`, its n, and the index within it (`rest`)."""
+    here = f"s.rest is null and {at} >= 0 and {at} < s.upto + x.n"
+    return F.expr(
+        f"aggregate({histogram}, named_struct('upto', 0L, 'bin', cast(null as {kind}), 'n', 0L, 'rest', cast(null as bigint)),"
+        f" (s, x) -> named_struct('upto', s.upto + x.n, 'bin', if({here}, x.bin, s.bin), 'n', if({here}, x.n, s.n), 'rest', if({here}, {at} - s.upto, s.rest)))"
+    )
+
+
+def _attached(df: DataFrame, few: DataFrame, keys: list[str], column: str, *, small: bool, how: str = "inner") -> DataFrame:
+    """`df` with a column of `few`, which has one row per key, or one row."""
+    if not keys:
+        return df.withColumn(column, few.select(column).scalar())
+    named = few.select(*[F.col(k).alias(f"_k_{k}") for k in keys], column)
+    on = _all([F.col(k).eqNullSafe(F.col(f"_k_{k}")) for k in keys])
+    return df.join(F.broadcast(named) if small else named, on, how).drop(*[f"_k_{k}" for k in keys])
+
+
+def values_at(df: DataFrame, keys: list[str], value: str, picks: dict, *, flat: dict[str, tuple] | None = None) -> DataFrame:
     """Exact sorted-order picks: for each name, the value at 0-based index picks[name](n).
 
     `n` is the column with the number of non-null values of the key. The result has the keys,
-    `n` and one column per pick. Only distinct values and their counts are shuffled.
+    `n`, one column per pick, and those of `flat`: each a pair of a partial aggregate over rows and a
+    function that adds such partial results up, taken in the same pass.
+
+    No group is sorted. A first pass counts values in bins of a histogram; where bins that hold a wanted
+    index have over FINE rows, a second looks only into those and counts finer ones; the last counts the
+    values of the bins that are left. Counts are
+    added up before they are shuffled; what meets per key are bins, of which each level has a bounded
+    number whatever the number of rows, and a value that fills a whole group is a single bin.
     """
-    sized = counted_values(df, keys, value, ranges=ranges, totals={"_size": "upto"})
-    first = F.col("upto") - F.col("n")
-    chosen = []
-    for name, index in picks.items():
-        at = index(F.col("_size"))
-        chosen.append(F.max(F.when((first <= at) & (at < F.col("upto")), F.col(value))).alias(name))
-    return sized.groupBy(*keys).agg(F.max("_size").alias("n"), *chosen)
+    flat = flat or {}
+    v = F.col(value)
+    binned = df.groupBy(*keys, value_bin(value).alias("_bin")).agg(F.count(v).alias("_n"), *[part.alias(f"_f_{n}") for n, (part, _) in flat.items()])
+    bins = cut_lineage(binned)
+    pair = F.when(F.col("_n") > 0, F.struct(F.col("_bin").alias("bin"), F.col("_n").alias("n")))
+    held = bins.groupBy(*keys).agg(
+        F.coalesce(F.sum("_n"), F.lit(0)).cast("long").alias("n"),
+        F.sort_array(F.collect_list(pair)).alias("_h"),
+        *[add(F.col(f"_f_{n}")).alias(n) for n, (_, add) in flat.items()],
+    )
+    held = held.select("*", *[index(F.col("n")).cast("long").alias(f"_0_{name}") for name, index in picks.items()])
+    held = held.select(*keys, "n", *flat, *[_at_index("_h", f"`_0_{name}`", "bigint").alias(f"_1_{name}") for name in picks])
+    largest = F.greatest(*[F.col(f"_1_{name}.n") for name in picks], F.lit(0))
+    groups, most = held.agg(F.count(F.lit(1)), F.coalesce(F.max(largest), F.lit(0))).first()
+    small = groups <= BROADCAST_GROUPS
+
+    def level(found: DataFrame, before: int, coarse: Column, fine: Column, kind: str) -> DataFrame:
+        """`found` with, for each name, the bin of the wanted bins' contents, which `fine` orders."""
+        wanted = found.select(*keys, F.array_distinct(F.array(*[F.col(f"_{before}_{name}.bin") for name in picks])).alias("_wanted"))
+        rows = df.where(v.isNotNull()).select(*keys, coarse.alias("_coarse"), fine.alias("_fine"))
+        rows = _attached(rows, wanted, keys, "_wanted", small=small).where(F.array_contains("_wanted", F.col("_coarse")))
+        counts = rows.groupBy(*keys, "_coarse", "_fine").agg(F.count(F.lit(1)).alias("_n"))
+        order = F.struct("_coarse", F.col("_fine").alias("bin"), F.col("_n").alias("n"))
+        per = counts.groupBy(*keys).agg(F.sort_array(F.collect_list(order)).alias("_h"))
+        out = _attached(found, per, keys, "_h", small=False, how="left")
+
+        def taken(name: str) -> Column:
+            prior = f"`_{before}_{name}`"
+            return _at_index(f"filter(_h, x -> x._coarse = {prior}.bin)", f"{prior}.rest", kind).alias(f"_{before + 1}_{name}")
+
+        return out.select(*found.columns, *[taken(name) for name in picks])
+
+    last, kind = 2, dict(df.dtypes)[value]
+    if most > FINE:
+        held, last = cut_lineage(level(held, 1, value_bin(value), value_bin(value, FINE), "bigint")), 3
+    held = level(held, last - 1, value_bin(value, FINE if last == 3 else 1), v, kind)
+    return held.select(*keys, "n", *flat, *[F.col(f"_{last}_{name}.bin").alias(name) for name in picks])
 
 
 def median_of(df: DataFrame, keys: list[str], value: str, name: str = "median") -> DataFrame:

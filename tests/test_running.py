@@ -62,6 +62,51 @@ def test_order_statistics(frame, rows):
             assert abs(r["quantile"] - statistics.quantiles(x, n=20)[18]) < 1e-9
 
 
+@pytest.mark.parametrize("fine", [R.FINE, 8])
+def test_order_statistics_of_any_values(spark, monkeypatch, fine):
+    monkeypatch.setattr(R, "FINE", fine)
+    # signs, zeros, powers of two, huge and tiny numbers, whole numbers beyond 2**53, nulls, one value in all rows
+    r = random.Random(1)
+    odd = [0.0, 1.0, 2.0, 4.0, 0.5, 1 - 2**-53, 2 - 2**-52, 1e-300, 5e-324, 1e300, float("inf")]
+    many = [x * s for x in odd for s in (1, -1)] + [r.gauss(0, 1) * 10 ** r.randint(-9, 9) for _ in range(300)]
+    cases = {"many": many, "one": [7.25] * 500, "near": [1 + k * 2**-52 for k in range(200)], "none": []}
+    data = [(k, x) for k, xs in cases.items() for x in xs] + [("many", None), ("none", None), (None, 3.0)]
+    d = spark.createDataFrame(data, "k string, v double").repartition(7)
+    picks = {f"p{a}": (lambda n, a=a: F.floor((n - 1) * F.lit(a) / 10).cast("long")) for a in range(11)}
+    for keys in (["k"], []):
+        for row in R.values_at(d, keys, "v", picks).collect():
+            x = sorted(v for k, v in data if v is not None and (not keys or k == row["k"]))
+            assert row["n"] == len(x)
+            assert [row[f"p{a}"] for a in range(11)] == ([x[(len(x) - 1) * a // 10] for a in range(11)] if x else [None] * 11)
+    whole = spark.range(300).select((F.lit(2**60) + F.col("id") * 3).alias("v"))
+    got = R.values_at(whole, [], "v", {"at": lambda n: F.lit(200), "no": lambda n: F.lit(-1), "far": lambda n: n}).first()
+    assert tuple(got) == (300, 2**60 + 600, None, None)
+    assert R.values_at(whole.where("v is null"), [], "v", {"at": lambda n: F.floor(n / 2)}).first()["at"] is None
+
+
+@pytest.mark.parametrize(("fine", "scans"), [(R.FINE, 2), (16, 3)])
+def test_search_statistics_reads_its_input_three_times_at_most(spark, tmp_path, monkeypatch, fine, scans):
+    monkeypatch.setattr(R, "FINE", fine)
+    path = str(tmp_path / "log")
+    spark.range(2000).selectExpr("cast(id % 97 as double) latency_ms", "id % 5 = 0 success", "id % 11 result_count").write.parquet(path)
+    reads = spark.sparkContext.accumulator(0)
+
+    def counted(it):
+        for b in it:
+            reads.add(b.num_rows)
+            yield b
+
+    log = spark.read.parquet(path).mapInArrow(counted, "latency_ms double, success boolean, result_count long")
+    d = L.search_statistics(log, by=[])
+    got = d.first()
+    assert (got["total"], got["successful"], got["results_total"]) == (2000, 400, sum(k % 11 for k in range(2000)))
+    x = sorted(k % 97 for k in range(2000))
+    assert (got["latency_p50"], got["latency_p95"]) == (x[1000], x[1900])
+    assert reads.value == scans * 2000
+    plan = d._jdf.queryExecution().executedPlan().toString()
+    assert "Window" not in plan
+
+
 def test_no_keys(frame, rows):
     x = sorted(v for *_, v in rows)
     assert R.median_of(frame, [], "v").first()["median"] == statistics.median(x)
