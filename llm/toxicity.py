@@ -2,9 +2,14 @@
 
 from __future__ import annotations
 
+import os
+import pickle
 import re
+import subprocess
+import sys
 import zlib
 from dataclasses import dataclass
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -302,8 +307,17 @@ def scored(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
     return map_batches(docs, score, schema)
 
 
+def fit_apart(texts: list[str], labels: np.ndarray, share: float | None = None) -> Model:
+    """`fit` in a process of its own, whose memory the driver does not keep."""
+    code = "import pickle, sys; from llm.toxicity import fit; given = pickle.load(sys.stdin.buffer); pickle.dump(fit(given[0], given[1], share=given[2]), sys.stdout.buffer)"
+    root = str(Path(__file__).resolve().parents[1])
+    env = os.environ | {"PYTHONPATH": os.pathsep.join([root, *sys.path])}
+    done = subprocess.run([sys.executable, "-c", code], input=pickle.dumps((texts, labels, share)), stdout=subprocess.PIPE, env=env, check=True)
+    return pickle.loads(done.stdout)
+
+
 def fitted(docs: DataFrame, labels: DataFrame, label: str = "toxic", rows: int = TRAIN_ROWS) -> Model:
-    return fit(*labelled(docs, labels, label, rows), share=share_of(docs, labels, label))
+    return fit_apart(*labelled(docs, labels, label, rows), share=share_of(docs, labels, label))
 
 
 def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -3,7 +3,7 @@ import zlib
 import numpy as np
 from pyspark.sql import functions as F
 
-from llm.toxicity import fit, fitted, labelled, op2_toxicity, scored, share_of
+from llm.toxicity import fit, fit_apart, fitted, labelled, op2_toxicity, scored, share_of
 from tests.llm.conftest import SF
 
 
@@ -30,6 +30,13 @@ def test_learns_words_and_beginnings():
     assert model.table.shape[0] and model.scale.shape == (4, 2)
 
 
+def test_fit_in_a_process_of_its_own():
+    texts, labels = [f"word{k} {'bad' if k % 4 == 0 else 'good'} end{k % 3}" for k in range(60)], np.array([float(k % 4 == 0) for k in range(60)])
+    here, apart = fit(texts, labels, share=0.1), fit_apart(texts, labels, share=0.1)
+    assert all(np.array_equal(getattr(here, a), getattr(apart, a)) for a in ("table", "bias", "out", "scale")) and here.base == apart.base
+    assert all(np.array_equal(a, b) for a, b in zip(here.filters, apart.filters, strict=True))
+
+
 def test_learns_only_from_allowed_ids(spark):
     docs = spark.range(100).select(F.col("id").alias("doc_id"), F.concat(F.lit("text "), F.col("id")).alias("text"))
     labels = docs.select("doc_id", F.lit(1).alias("toxic"))
