@@ -9,6 +9,7 @@ import subprocess
 import sys
 import zlib
 from dataclasses import dataclass
+from itertools import chain
 from pathlib import Path
 
 import numpy as np
@@ -279,9 +280,11 @@ def scored(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
     vectors = {"x": np.zeros((0, DIMS), np.float32)}
 
     def score(batch: pa.RecordBatch):
-        m, texts = shared.value, texts_of(batch, text)
-        logits, languages, docs_ids, held, done = np.zeros(len(texts)), np.zeros(len(texts), int), [], 0, 0
-        for k, t in enumerate([*texts, None]):
+        m, n = shared.value, batch.num_rows
+        logits, languages, docs_ids, held, done = np.zeros(n), np.zeros(n, int), [], 0, 0
+        # texts are decoded a few at a time, so a batch's are not all held twice
+        texts = chain.from_iterable(texts_of(batch.slice(a, 250), text) for a in range(0, n, 250))
+        for k, t in enumerate(chain(texts, [None])):
             if t is None or held > 200_000:
                 if docs_ids:
                     if len(vectors["x"]) < vocabulary.n:
