@@ -166,14 +166,6 @@ QUALITY_GATES = {
     "answer_correctness": 0.70,
 }
 
-# --- fixed values: topics looked for in evaluation queries ---
-EXPECTED_TOPICS = {
-    "bautismo libro registro parroquia": ["bautismo", "libro", "registro", "parroquia", "bautismos"],
-    "poblacion feligresia español mestizo": ["poblacion", "feligresia", "español", "mestizo", "habitantes"],
-    "natalidad año periodo mes": ["natalidad", "año", "periodo", "mes", "ritmo"],
-    "cura párroco cabecera visita": ["cura", "parroco", "cabecera", "visita", "oficio"],
-}
-
 # --- fixed values: retrieval strategies under test ---
 STRATEGIES = [("High Precision", 0.9, 0.7), ("Balanced", 0.7, 0.5), ("High Recall", 0.5, 0.3)]
 
@@ -182,8 +174,7 @@ NO_MATCH_NOTICE = (
     "Info: No matching historical fraudulent claims found in the database for the given text."
 )
 
-# --- fixed values: alarm rules: metric -> (statistic, threshold, periods) ---
-ALARM_RULES = {"latency": ("avg", 5000.0, 2), "errors": ("sum", 10.0, 1), "cpu": ("avg", 80.0, 2)}
+# --- fixed values: seconds of an alarm period ---
 ALARM_PERIOD_SECONDS = 300
 
 # --- fixed values: two-sided 95 % normal quantile ---

@@ -172,8 +172,3 @@ def insight_report(parts: DataFrame, item: str, *, threshold: float = 0.95) -> D
         ),
     )
     return per.select(item, F.inline(rows))
-
-
-def per_series(df: DataFrame, item: str, model, schema: str) -> DataFrame:
-    """Run a user's own model (pandas in, pandas out) on every regular series."""
-    return df.groupBy(item).applyInPandas(model, schema)

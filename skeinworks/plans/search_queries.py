@@ -9,7 +9,7 @@ from ..operators import chunking as C, evaluate as M, index as XI, lexical as X,
 from ..session import fresh_folder
 from . import views as V
 from .registry import documents, query, table
-from .text_queries import SP, SQL_CLEAN, sql_hits, sql_strip, sql_words
+from .text_queries import SQL_CLEAN, sql_hits, sql_strip, sql_words
 
 COS = "round(list_cosine_similarity({a}.embedding::DOUBLE[], {b}.embedding::DOUBLE[]), 10)"
 
@@ -918,6 +918,3 @@ def _(spark, sf):
     g = c.select(F.struct("conv_id", (F.col("turn") - 1).alias("turn")).alias("key"), F.col("text").alias("ground_truth"))
     s = M.answer_scores(a, g, key="key")
     return s.groupBy(F.col("key.conv_id").alias("conv_id")).agg(F.round(F.avg("score"), 6).alias("mean_score"), F.count(F.lit(1)).alias("n"))
-
-
-__all__ = ["SP"]

@@ -11,7 +11,7 @@ from ..sources import readers as RD, writers as W
 from ..streaming import jobs as X
 from . import views as V
 from .registry import documents, query, table
-from .text_queries import SP, SQL_CLEAN, SQL_REDACT, sql_collapse, sql_strip, sql_words
+from .text_queries import SQL_CLEAN, SQL_REDACT, sql_collapse, sql_strip, sql_words
 
 AS_OF = "TIMESTAMP_NTZ '2024-01-31 00:00:00'"
 
@@ -661,6 +661,3 @@ def _(spark, sf):
     twice = e.select("event_id", "event_type", "ts", F.explode(F.array(F.lit(1), F.lit(2))).alias("delivery"))
     X.run_to_files(X.distinct_arrivals(twice, "event_id", "ts"), out + "/rows", out + "/checkpoint")
     return spark.read.parquet(out + "/rows").select("event_id", "event_type")
-
-
-__all__ = ["SP"]
