@@ -46,35 +46,46 @@ BASE_WEIGHT = {"cc by": 0.7, "general public license": 0.8, "all rights reserved
 TAG, TAG_WEIGHT = "spdx license identifier", 0.99
 #: Beginnings of identifiers whose texts may be used freely.
 FREE = ("mit", "apache", "bsd", "isc", "cc0", "cc-by-3", "cc-by-4", "unlicense", "zlib", "bsl", "0bsd", "python", "postgresql")
+#: Beginnings of other identifiers.
+BOUND = ("gpl", "lgpl", "agpl", "mpl", "epl", "cddl", "cc-by", "eupl", "artistic", "ofl", "osl", "ms-pl", "ms-rl", "cecill", "wtfpl", "openssl", "ncsa", "x11", "gfdl", "bsl")
 _WORD = re.compile(LOWER_WORD)
 _TAG = re.compile(r"spdx-license-identifier\s*:", re.I)
 _TOKEN = re.compile(r"\s*([()]|[A-Za-z0-9][A-Za-z0-9.\-]*\+?)")
+_NAME = re.compile(r"[^\S\n]*(?:\([(\s]*)?([A-Za-z0-9][A-Za-z0-9.\-]*)")
+#: A name's beginning ends where its letters end.
+_FREE = re.compile(f"(?:{'|'.join(map(re.escape, FREE))})(?![a-z])", re.I)
+_FAMILY = re.compile(f"(?:{'|'.join(map(re.escape, (*FREE, *BOUND)))})(?![a-z])", re.I)
 #: Operators by rank: the higher binds the closer.
 RANK = {"OR": 1, "AND": 2, "WITH": 3}
 
 
-def expression(text: str) -> list[str] | None:
-    """The licence expression at the start of `text`, in postfix order; None if there is none.
+def expression(text: str, at: int = 0) -> list[str] | None:
+    """The licence expression that starts at `at`, in postfix order; None if there is none.
 
-    Shunting-yard over identifiers, parentheses and OR, AND, WITH. Operators are written in capitals, or in
-    small letters where parentheses are open. The expression ends where no operand or operator can
-    follow; an operator without a second operand and open parentheses are left off.
+    Shunting-yard over identifiers, parentheses and OR, AND, WITH. Operators are written in capitals; in
+    small letters within parentheses, and elsewhere where the name of a licence or exception follows in the
+    same line. The expression ends where no operand or operator can follow, however far that is; an operator without
+    a second operand and open parentheses are left off.
     """
     out: list[str] = []
     stack: list[str] = []
-    best, at, operand = None, 0, True
+    best, depth, operand = None, 0, True
     while m := _TOKEN.match(text, at):
         token = m[1]
-        word = token.upper() if token.isupper() or "(" in stack else token
+        word = token
+        if token.islower() and token.upper() in RANK and not operand and (depth or ("\n" not in m[0] and _named(text, m.end(), token))):
+            word = token.upper()
         if operand and token == "(":
             stack.append("(")
-        elif operand and token != ")" and word not in RANK:
+            depth += 1
+        elif operand and token != ")" and token not in RANK:
             out.append(token)
             operand = False
-        elif not operand and token == ")" and "(" in stack:
+        elif not operand and token == ")" and depth:
             while stack[-1] != "(":
                 out.append(stack.pop())
             stack.pop()
+            depth -= 1
         elif not operand and word in RANK:
             while stack and RANK.get(stack[-1], 0) >= RANK[word]:
                 out.append(stack.pop())
@@ -83,11 +94,18 @@ def expression(text: str) -> list[str] | None:
         else:
             break
         at = m.end()
-        if not operand and "(" not in stack:
-            best = out + stack[::-1]
+        if not operand and not depth:
+            best = (len(out), stack[::-1])  # three operators at most wait outside parentheses
         if not operand and not stack and "\n" in text[at : at + 1]:
             break
-    return best
+    return None if best is None else out[: best[0]] + best[1]
+
+
+def _named(text: str, at: int, operator: str) -> bool:
+    """Whether a name comes next that is surely a licence's or, after `with`, an exception's."""
+    m = _NAME.match(text, at)
+    name = m[1].lower() if m else ""
+    return bool(_FAMILY.match(name)) or (operator == "with" and "exception" in name)
 
 
 def allowed(postfix: list[str]) -> bool:
@@ -99,7 +117,7 @@ def allowed(postfix: list[str]) -> bool:
             right, left = stack.pop(), stack.pop()
             stack.append({"OR": left or right, "AND": left and right, "WITH": left}[token])
         else:
-            stack.append(token.lower().startswith(FREE))
+            stack.append(bool(_FREE.match(token)))
     return stack[0]
 
 
@@ -109,7 +127,9 @@ def licences_of(postfix: list[str]) -> list[str]:
     for token in postfix:
         if token in RANK:
             right, left = stack.pop(), stack.pop()
-            stack.append(left if token == "WITH" else left + right)
+            if token != "WITH":
+                left += right
+            stack.append(left)
         else:
             stack.append([token.lower()])
     return stack[0]
@@ -142,7 +162,7 @@ def scanned_text(text: str) -> dict:
             doubt *= 1 - NOTICES[phrase][1]
         if phrase == TAG:
             for m in _TAG.finditer(text):
-                if found := expression(text[m.end() : m.end() + 2000]):
+                if found := expression(text, m.end()):
                     labels.update(licences_of(found))
                     free.append(allowed(found))
             if free:
@@ -153,7 +173,8 @@ def scanned_text(text: str) -> dict:
 def licensed(docs: DataFrame, text: str = "text") -> DataFrame:
     """`docs` with n_words, places (array of phrase, word), licences, license_score and license_allowed.
 
-    Words are those of the lower-case kind in whole texts. A null or empty text has no words, no places
+    Words are those of the lower-case kind in whole texts, very long ones too; expressions are read to their
+    end, in time that grows with their length. No rows give no rows. A null or empty text has no words, no places
     and the score 0. Repeated rows and places each count; columns with the names of the results are
     replaced. license_allowed is null where no licence expression is given, and where several are,
     whether all of them allow free use.

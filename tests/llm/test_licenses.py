@@ -24,6 +24,22 @@ def test_expressions():
     assert licences_of(expression("GPL-2.0 WITH Classpath-exception-2.0 OR MIT")) == ["gpl-2.0", "mit"]
 
 
+def test_small_operators():
+    assert expression("MIT or Apache-2.0") == ["MIT", "Apache-2.0", "OR"] and expression("mit and gpl-2.0") == ["mit", "gpl-2.0", "AND"]
+    assert expression("GPL-2.0 with Classpath-exception-2.0 or (mit and bsd)") == ["GPL-2.0", "Classpath-exception-2.0", "WITH", "mit", "bsd", "AND", "OR"]
+    assert expression("MIT and more") == expression("MIT or you choose") == expression("MIT\nor gpl-2.0 elsewhere") == expression("MIT and (c) 2020") == ["MIT"]
+    assert not allowed(["mitre-x"]) and allowed(["MIT-0"]) and allowed(["bsd"]) and not allowed(["iscx-1.0"])
+
+
+def test_expressions_are_read_to_their_end(spark):
+    many = [f"GPL-2.{k}" for k in range(1000)]
+    text = "SPDX-License-Identifier: " + " OR ".join([*many, "MIT"])
+    row = licensed(spark.createDataFrame([(1, text)], "doc_id long, text string")).first()
+    assert row.licences == sorted({"mit", *map(str.lower, many)}) and row.license_allowed
+    assert licences_of(expression("(" * 20_000 + "MIT" + ")" * 20_000 + " OR ISC")) == ["mit", "isc"]
+    assert len(licences_of(expression(" OR ".join(many * 40)))) == 40_000
+
+
 def test_tags_and_odd_rows(spark, odd, none):
     docs = spark.createDataFrame([(1, "CC BY CC-BY cc by-nc All rights reserved.\n# SPDX-License-Identifier: (MIT OR GPL-2.0)"), (2, "SPDX-License-Identifier:")], "doc_id long, text string")
     one, two = licensed(docs).orderBy("doc_id").collect()
