@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
 from llm.common import kept, map_batches, table, texts_of
-from llm.toxicity import FUNCTION_WORDS, labelled
+from llm.toxicity import FUNCTION_WORDS, labelled, share_of
 
 #: Most labelled rows of a label that are learned from, and most characters of such a row.
 TRAIN_ROWS, TRAIN_CHARS = 2000, 60_000
@@ -115,7 +115,8 @@ def with_sites(judged_docs: DataFrame, host: Column, path: Column) -> DataFrame:
     """Adds host_share, path_share and score to documents with `own`.
 
     Each share leaves the document itself out. Sums are made before rows are moved; sites are met in
-    joins that Spark splits where one is hot. A null host or path is a site of its own.
+    joins that Spark splits where one is hot. A null host or path is a site of its own; no rows give no rows. The
+    length of a text plays no part here.
     """
     docs = judged_docs.drop("host_share", "path_share", "score").withColumns({"_host": F.coalesce(host.cast("string"), F.lit("")), "_path": F.coalesce(path.cast("string"), F.lit(""))})
     paths = kept(docs.groupBy("_host", "_path").agg(F.count(F.lit(1)).alias("n"), F.sum("own").alias("good")), "paths")
@@ -136,8 +137,7 @@ def with_sites(judged_docs: DataFrame, host: Column, path: Column) -> DataFrame:
 def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Hosts are the sources of the documents, paths the languages within them."""
     docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
-    share = labels.where("quality in (0, 1)").agg((F.sum("quality") + 0.5) / (F.count("quality") + 1)).first()[0]
-    scorer = fit(*labelled(docs, labels, "quality", TRAIN_ROWS, TRAIN_CHARS), share)
+    scorer = fit(*labelled(docs, labels, "quality", TRAIN_ROWS, TRAIN_CHARS), share_of(docs, labels, "quality", TRAIN_CHARS))
     own = kept(judged(docs.select("doc_id", "text", "source", "lang"), scorer).drop("text"), "own")
     scored = with_sites(own, F.col("source"), F.concat_ws("/", "source", "lang"))
     return scored.select("doc_id", "own", "host_share", "path_share", "score", (F.col("score") >= 0.5).alias("keep"))
