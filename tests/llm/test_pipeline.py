@@ -45,4 +45,4 @@ def test_odd_rows_go_through(spark, odd, none):
 
 def test_every_operator_is_registered():
     names = set(queries())
-    assert {n.split("_")[0] for n in names} == {"pipeline", *(f"op{k}" for k in range(1, 11))}
+    assert {n.split("_")[0] for n in names} == {"pipeline", *(f"op{k}" for k in range(1, 14))}
