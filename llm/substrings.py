@@ -10,11 +10,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from llm.common import SPACED, WordHashes, kept, long_list, map_batches, runs, table, texts_of
+from llm.common import SPACED, WordHashes, joined_on_hot, kept, long_list, map_batches, mixed, runs, table, texts_of
 
 #: Words of a window; the first level is of at most so many words.
 WINDOW, SEED_WORDS = 35, 18
 _FIND = re.compile(SPACED)
+_OTHER = np.uint64(0xD1B54A32D192ED03)
 
 
 def levels(window: int, seed: int) -> list[int]:
@@ -57,6 +58,11 @@ def stand_ins(h: np.ndarray, window: int, base: int, length: int) -> np.ndarray:
     return runs(h, length)[np.arange(len(least)) + np.minimum(offset, window - length)]
 
 
+def checks(h: np.ndarray, window: int) -> np.ndarray:
+    """A second hash of every window, from the words' hashes mixed anew. Windows that differ agree on both once in 2^128."""
+    return runs(mixed(h ^ _OTHER), window)
+
+
 def _counted(values: list[tuple[np.ndarray, np.ndarray]]) -> list[pa.Array]:
     """Per text the distinct stand-ins and how often each one's run occurs in the text, out of pairs
     (stand-ins of some windows, all runs of that length)."""
@@ -69,16 +75,32 @@ def _counted(values: list[tuple[np.ndarray, np.ndarray]]) -> list[pa.Array]:
     return [long_list(kinds), long_list(counts)]
 
 
+def _counted_pairs(values: list[tuple[np.ndarray, np.ndarray]]) -> list[pa.Array]:
+    """Per text the distinct pairs of a window's two hashes and how often each occurs in it."""
+    kinds, others, counts = [], [], []
+    for h, g in values:
+        order = np.lexsort((g, h))
+        h, g = h[order], g[order]
+        first = np.flatnonzero(np.concatenate([[True], (h[1:] != h[:-1]) | (g[1:] != g[:-1])])[: len(h)])
+        kinds.append(h[first].view(np.int64))
+        others.append(g[first].view(np.int64))
+        counts.append(np.diff(np.append(first, len(h))))
+    return [long_list(kinds), long_list(counts), long_list(others)]
+
+
 def _again(rows: DataFrame) -> DataFrame:
     """(_key, _alive): of each text the hashes that occur more than once in all rows (_key, _copies, h, n).
+    Where the rows have a second hash g, both have to be equal, and _alive holds pairs.
 
     Counts are added up before they are moved; a hash of very many texts meets them in a join that
     Spark splits, never in a group.
     """
-    flat = rows.select("_key", "_copies", F.arrays_zip("h", "n").alias("x")).select("_key", "_copies", F.explode("x").alias("x"))
-    flat = flat.select("_key", F.col("x.h").alias("h"), (F.col("x.n") * F.col("_copies")).alias("n"))
-    again = flat.groupBy("h").agg(F.sum("n").alias("all")).where("all > 1").select("h")
-    return flat.select("_key", "h").join(again, "h").groupBy("_key").agg(F.collect_set("h").alias("_alive"))
+    by = [c for c in ("h", "g") if c in rows.columns]
+    flat = rows.select("_key", "_copies", F.arrays_zip(*by, "n").alias("x")).select("_key", "_copies", F.explode("x").alias("x"))
+    flat = flat.select("_key", *[F.col(f"x.{c}").alias(c) for c in by], (F.col("x.n") * F.col("_copies")).alias("n"))
+    again = flat.groupBy(*by).agg(F.sum("n").alias("all")).where("all > 1").select(*by)
+    alive = F.struct(*by) if len(by) > 1 else F.col("h")
+    return flat.select("_key", *by).join(again, by).groupBy("_key").agg(F.collect_set(alive).alias("_alive"))
 
 
 def repeated_windows(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", window: int = WINDOW, seed_words: int = SEED_WORDS) -> DataFrame:
@@ -91,9 +113,11 @@ def repeated_windows(docs: DataFrame, text: str = "text", doc_id: str = "doc_id"
 
     Equal texts are worked on once, as (digest, number of copies). Level by level only windows whose
     stand-in occurs more than once go on to the level of twice the length, until the window itself is
-    compared; it ends early when none is left.
+    compared, by two hashes of 64 bits; it ends early when none is left. Very long texts are worked on whole.
+    A text of very many copies is dealt over several tasks when its result goes back to them.
     """
     lengths = levels(window, seed_words)
+    lengths = lengths if len(lengths) > 1 else lengths * 2
     base = lengths[0]
     docs = docs.select(F.col(doc_id).alias("doc_id"), F.unhex(F.md5(F.coalesce(F.col(text), F.lit("")).cast("binary"))).alias("_key"), F.col(text).alias("text"))
     hashes = WordHashes()
@@ -117,17 +141,22 @@ def repeated_windows(docs: DataFrame, text: str = "text", doc_id: str = "doc_id"
     some = kept(some.select("d._key", "d.text", "a._copies", "a._alive"), "windows-left")
     for before, length in zip(lengths, lengths[1:], strict=False):
 
-        def deeper(batch: pa.RecordBatch, before=before, length=length):
+        last = length == window
+
+        def deeper(batch: pa.RecordBatch, before=before, length=length, last=last):
             found = []
             for t, live in zip(texts_of(batch), batch.column("_alive"), strict=True):
                 h = hashes.of(_FIND.findall(t))
                 starts = _living(h, window, base, before, live)
-                found.append((stand_ins(h, window, base, length)[starts], runs(h, length)))
-            return pa.RecordBatch.from_arrays([batch.column("_key"), batch.column("_copies"), *_counted(found)], ["_key", "_copies", "h", "n"])
+                # windows equal to one that lives live too, so their starts hold all its places
+                found.append((runs(h, window)[starts], checks(h, window)[starts]) if last else (stand_ins(h, window, base, length)[starts], runs(h, length)))
+            columns = _counted_pairs(found) if last else _counted(found)
+            return pa.RecordBatch.from_arrays([batch.column("_key"), batch.column("_copies"), *columns], ["_key", "_copies", "h", "n", "g"][: 2 + len(columns)])
 
-        rows = kept(map_batches(some, deeper, "_key binary, _copies long, h array<long>, n array<long>"), f"windows-{length}")
+        kinds = "_key binary, _copies long, h array<long>, n array<long>" + (", g array<long>" if last else "")
+        rows = kept(map_batches(some, deeper, kinds), f"windows-{length}")
         some = some.drop("_alive").join(_again(rows), "_key")
-        if length != lengths[-1]:
+        if not last:
             some = kept(some, "windows-left")
             if some.isEmpty():
                 break
@@ -136,7 +165,7 @@ def repeated_windows(docs: DataFrame, text: str = "text", doc_id: str = "doc_id"
         n, sha, spans = [], [], []
         for t, live in zip(texts_of(batch), batch.column("_alive"), strict=True):
             words = _FIND.findall(t)
-            starts = _living(hashes.of(words), window, base, window, live)
+            starts = _repeated(hashes.of(words), window, live)
             edge = np.zeros(len(words) + 1, np.int64)
             np.add.at(edge, starts, 1)
             np.add.at(edge, starts + window, -1)
@@ -145,10 +174,12 @@ def repeated_windows(docs: DataFrame, text: str = "text", doc_id: str = "doc_id"
             spans.append([{"start": a, "end": b} for a, b in turns.reshape(-1, 2).tolist()])
             n.append(int(gone.sum()))
             sha.append(_sha([w for w, g in zip(words, gone.tolist(), strict=True) if not g]))
-        return pa.RecordBatch.from_arrays([batch.column("_key"), pa.array(n, pa.int64()), pa.array(sha, pa.string()), pa.array(spans, pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())])))], ["_key", "n", "sha", "spans"])
+        spans = pa.array(spans, pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())])))
+        return pa.RecordBatch.from_arrays([batch.column("_key"), batch.column("_copies"), pa.array(n, pa.int64()), pa.array(sha, pa.string()), spans], ["_key", "_copies", "n", "sha", "spans"])
 
-    removed = map_batches(some.select("_key", "text", "_alive"), cut, "_key binary, n long, sha string, spans array<struct<start:long,end:long>>").dropDuplicates(["_key"])
-    out = texts.select("doc_id", "_key", "n_words", "_sha").join(removed, "_key", "left")
+    kinds = "_key binary, _copies long, n long, sha string, spans array<struct<start:long,end:long>>"
+    removed = kept(map_batches(some.select("_key", "_copies", "text", "_alive"), cut, kinds).dropDuplicates(["_key"]), "removed")
+    out = joined_on_hot(texts.select("doc_id", "_key", "n_words", "_sha"), removed, "_key", "_copies", "doc_id")
     return out.select("doc_id", "n_words", F.coalesce("n", F.lit(0)).cast("long").alias("n_removed"), F.coalesce("sha", "_sha").alias("kept_sha256"), F.coalesce("spans", F.array().cast("array<struct<start:long,end:long>>")).alias("removed"))
 
 
@@ -162,6 +193,21 @@ def _living(h: np.ndarray, window: int, base: int, level: int, live: pa.ListScal
     return np.flatnonzero(np.isin(stand_ins(h, window, base, level), known))
 
 
+def _repeated(h: np.ndarray, window: int, live: pa.ListScalar) -> np.ndarray:
+    """Starts of the windows both of whose hashes are among the pairs that live."""
+    pairs = live.values
+    known, other = (np.asarray(pairs.field(c), dtype=np.int64).view(np.uint64) for c in ("h", "g"))
+    order = np.argsort(known)
+    known, other = known[order], other[order]
+    v, g = runs(h, window), checks(h, window)
+    low, high = np.searchsorted(known, v, "left"), np.searchsorted(known, v, "right")
+    there = high > low
+    there[there] = other[low[there]] == g[there]
+    for k in np.flatnonzero(high > low + 1):  # two windows that meet by chance in the first hash
+        there[k] = g[k] in other[low[k] : high[k]]
+    return np.flatnonzero(there)
+
+
 def op9_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repeated_windows(table(spark, sf_dir, "documents")).drop("removed")
 

@@ -2,8 +2,11 @@ import hashlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
+from llm import substrings
+from llm.common import runs as substrings_runs
 from llm.substrings import levels, repeated_windows
 
 
@@ -37,6 +40,24 @@ def test_against_a_plain_count(spark, window, seed_words):
     assert sorted(((r.doc_id, r.n_words, r.n_removed, r.kept_sha256) for r in got.collect()), key=str) == plain(rows, window)
 
 
+def test_windows_that_meet_in_one_hash_only_stay(spark, monkeypatch):
+    """Were the first hash the same for all windows, the second would still tell them apart."""
+    h = np.arange(100, 109).astype(np.uint64)
+    v, g = substrings.runs(h, 4), substrings.checks(h, 4)
+    monkeypatch.setattr(substrings, "runs", lambda x, n: substrings_runs(x, n) & np.uint64(0) if n == 4 and x is h else substrings_runs(x, n))
+    live = pa.scalar([{"h": 0, "g": int(g[k].view(np.int64))} for k in (1, 4)], pa.list_(pa.struct([("h", pa.int64()), ("g", pa.int64())])))
+    assert len(set(v.tolist())) == 6 and substrings._repeated(h, 4, live).tolist() == [1, 4]
+    (kinds, counts, others) = substrings._counted_pairs([(np.array([5, 5, 5, 7], np.uint64), np.array([1, 2, 1, 1], np.uint64)), (np.zeros(0, np.uint64), np.zeros(0, np.uint64))])
+    assert [kinds.to_pylist(), counts.to_pylist(), others.to_pylist()] == [[[5, 5, 7], []], [[2, 1, 1], []], [[1, 2, 1], []]]
+
+
+def test_many_copies_of_one_text(spark):
+    text = " ".join(f"w{k}" for k in range(40))
+    rows = [(k, text if k < 3000 else f"{k} " + text) for k in range(3100)] + [(None, "alone " * 3)]
+    got = {(r.n_words, r.n_removed) for r in repeated_windows(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == {(40, 40), (41, 40), (3, 0)}
+
+
 def test_odd_rows(spark, odd, none):
     rows = [(r.doc_id, r.text) for r in odd.collect()]
     got = repeated_windows(odd)
