@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions import fixed_values as fv, queries as Q, text as T
-from ..operators import chunking as C, evaluate as M, index as XI, lexical as X, retrieval as R, vector as VV
+from ..operators import cells as CC, chunking as C, evaluate as M, index as XI, lexical as X, retrieval as R, vector as VV
 from ..session import fresh_folder
 from . import views as V
 from .registry import documents, query, table
@@ -66,13 +66,20 @@ def _(spark, sf):
 @query("vector_nearest_cells")
 def _(spark, sf):
     q, d = _embedded(spark, sf)
-    return _sim6(VV.nearest_by_cells(q, d, 10, cells=20, probes=6))
+    return _sim6(CC.nearest_indexed(q, d, 10))
 
 
-@query("vector_cells_recall")
+@query("vector_cells_recall", "SELECT count(*) * 10 AS expected, TRUE AS recall_reached, 0::BIGINT AS unlike FROM embeddings")
 def _(spark, sf):
+    """The index found 0.9 or more of the exact neighbours, and its similarities are theirs."""
     q, d = _embedded(spark, sf)
-    return VV.recall_against(VV.nearest_by_cells(q, d, 10, cells=20, probes=6), VV.nearest(q, d, 10))
+    exact = VV.nearest(q, d, 10).select("query_id", "doc_id", F.col("similarity").alias("e"))
+    found = CC.nearest_indexed(q, d, 10).select("query_id", "doc_id", F.col("similarity").alias("f"))
+    return exact.join(found, ["query_id", "doc_id"], "left").agg(
+        F.count("e").alias("expected"),
+        (F.count("f") >= 0.9 * F.count("e")).alias("recall_reached"),
+        F.count_if(F.abs(F.col("e") - F.col("f")) > 1e-6).alias("unlike"),
+    )
 
 
 @query(
