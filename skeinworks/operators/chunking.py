@@ -286,6 +286,37 @@ def page_markers(pages: DataFrame, page: str, text: str) -> DataFrame:
     return pages.withColumn("marked_text", F.concat(mark, F.col(text)))
 
 
+def joined_pages(pages: DataFrame, doc: str, page: str, text: str, *, out: str = "text") -> DataFrame:
+    """One row (doc, out) per document: its pages in order, each behind its marker.
+
+    Documents are shuffled to partitions and sorted there on disk; a fold over Arrow batches holds one document's text,
+    never its pages as rows. A page without text leaves its marker, pages of one number come in order of their texts.
+    """
+    marked = page_markers(pages.select(F.col(doc).alias("d"), F.col(page).alias("p"), F.coalesce(text, F.lit("")).alias("t")), "p", "t")
+    placed = marked.repartition("d").sortWithinPartitions("d", "p", "t").select("d", "marked_text")
+
+    def fold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        import pyarrow as pa
+
+        held, parts, started = None, [], False
+        for b in batches:
+            docs, ended = b.column(0), []
+            for i, t in enumerate(b.column(1).to_pylist()):
+                d = docs[i].as_py()
+                if not started or d != held:
+                    if started:
+                        ended.append((held, "".join(parts)))
+                    held, parts, started = d, [], True
+                parts.append(t)
+            if ended:
+                yield pa.record_batch({doc: pa.array([d for d, _ in ended], docs.type), out: pa.array([t for _, t in ended])})
+            kind = docs.type
+        if started:
+            yield pa.record_batch({doc: pa.array([held], kind), out: pa.array(["".join(parts)])})
+
+    return placed.mapInArrow(fold, f"`{doc}` {dict(pages.dtypes)[doc]}, `{out}` string")
+
+
 def store_records(chunks: DataFrame, strategy: str, *, created_at: Column, embedding: str | None = None) -> DataFrame:
     """Chunks as rows for a vector store."""
     return chunks.select(

@@ -616,18 +616,52 @@ def hashing_encoder(df: DataFrame, text: str, *, dims: int = 256, out: str = "em
 def encode_with(df: DataFrame, text: str, encoder, *, dims: int, max_chars: int | None = None, out: str = "embedding") -> DataFrame:
     """Run a user's batch encoder (list of texts -> list of vectors) and record how it went.
 
-    A batch that fails gives zero vectors and the status `failed`, as a retry can then find them.
+    When a batch fails its texts are tried one by one; those that fail get zeros and the status `failed`, so that
+    a later run can find them. A vector of another length than `dims` counts as a failure.
     """
+    from ..session import ship
+
+    ship(df.sparkSession)
     body = F.substring(text, 1, max_chars) if max_chars else F.col(text)
     schema = f"struct<{out}: array<float>, status: string>"
 
+    def checked(texts: list) -> list[list[float]]:
+        got = [list(map(float, v)) for v in encoder(texts)]
+        if len(got) != len(texts) or any(len(v) != dims for v in got):
+            raise ValueError("the encoder gave vectors of another number or length")
+        return got
+
+    def one(x) -> tuple[list[float], str]:
+        try:
+            return checked([x])[0], "completed"
+        except Exception:  # noqa: BLE001
+            return [0.0] * dims, "failed"
+
     @F.pandas_udf(schema)
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         for b in batches:
+            texts = list(b)
             try:
-                vecs, status = [list(map(float, v)) for v in encoder(list(b))], "completed"
+                done = [(v, "completed") for v in checked(texts)]
             except Exception:  # noqa: BLE001
-                vecs, status = [[0.0] * dims for _ in b], "failed"
-            yield pd.DataFrame({out: vecs, "status": status})
+                done = [one(x) for x in texts]
+            yield pd.DataFrame({out: [v for v, _ in done], "status": [s for _, s in done]})
 
     return df.withColumn("_e", run(body)).select(*df.columns, f"_e.{out}", "_e.status")
+
+
+def word_hash_encoder(dims: int):
+    """A stand-in for a neural encoder, for `encode_with`: hashed words, length 1; a text without words is refused."""
+
+    def encode(texts: list[str]) -> list[list[float]]:
+        from zlib import crc32
+
+        rows = np.zeros((len(texts), dims))
+        for row, x in zip(rows, texts):
+            words = x.lower().split()
+            if not words:
+                raise ValueError("no words")
+            np.add.at(row, [crc32(w.encode()) % dims for w in words], 1.0)
+        return (rows / np.linalg.norm(rows, axis=1, keepdims=True)).tolist()
+
+    return encode
