@@ -69,11 +69,16 @@ def rebuild(docs: DataFrame, store: str, encoder: Callable, *, dims: int, run: i
     number of this run: handing one in a second time changes nothing. doc_id has to be unique. Returns the status table.
     """
     spark = docs.sparkSession
+    if run <= VS.version(spark, f"{store}/status").batches.get(store, -1):
+        return VS.read(spark, f"{store}/status")
     docs = docs.select("doc_id", "text")
     known = _known(docs, f"{store}/status", STATUS.format(id=dict(docs.dtypes)["doc_id"]))
     work = open_documents(docs, known, max_retries=max_retries)
     chunks = C.linked_chunks(C.word_windows(work.where(F.length("text") >= min_chars).select("doc_id", "text"), keep_short_text=False))
+    outcome = f"{store}/runs/{run}"  # written once, outside the tables, which then follow it
     coded = encode_new(chunks, "chunk_text", f"{store}/vectors", encoder, dims=dims, batch=(store, run))
+    coded.write.mode("overwrite").parquet(f"{outcome}/chunks")
+    coded = spark.read.parquet(f"{outcome}/chunks")
     per = coded.groupBy("doc_id").agg(
         F.count(F.lit(1)).alias("chunks"), F.count_if(F.col("encoding") == "completed").alias("embeddings")
     )
@@ -98,14 +103,11 @@ def rebuild(docs: DataFrame, store: str, encoder: Callable, *, dims: int, run: i
         F.lit(run).cast("long").alias("run"),
     )
     gone = known.join(docs, "doc_id", "left_anti").select("doc_id")
-    # the outcome is written once, outside the table, and both tables follow it
-    outcome = f"{store}/runs/{run}"
     status.write.mode("overwrite").parquet(f"{outcome}/status")
     gone.write.mode("overwrite").parquet(f"{outcome}/gone")
-    coded.write.mode("overwrite").parquet(f"{outcome}/chunks")
     status, gone = spark.read.parquet(f"{outcome}/status"), spark.read.parquet(f"{outcome}/gone")
     good = status.where("status = 'completed'").select("doc_id")
-    built = spark.read.parquet(f"{outcome}/chunks").join(good, "doc_id", "left_semi")
+    built = coded.join(good, "doc_id", "left_semi")
     VS.replace(built, good.unionByName(gone), f"{store}/chunks", "doc_id", batch=(store, run))
     VS.replace(status, gone, f"{store}/status", "doc_id", batch=(store, run))
     return VS.read(spark, f"{store}/status")

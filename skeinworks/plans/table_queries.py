@@ -5,13 +5,13 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions import fixed_values as fv, text as T
-from ..operators import chunking as C, filters as P, joins as J, refresh as H, vector as VV
+from ..operators import build as B, chunking as C, filters as P, joins as J, refresh as H, vector as VV
 from ..session import fresh_folder
-from ..sources import readers as RD, writers as W
+from ..sources import readers as RD, versions as VS, writers as W
 from ..streaming import jobs as X
 from . import views as V
 from .registry import documents, query, table
-from .text_queries import SQL_CLEAN, SQL_REDACT, sql_collapse, sql_strip, sql_words
+from .text_queries import SP, SQL_CLEAN, SQL_REDACT, sql_collapse, sql_strip, sql_topics, sql_words
 
 AS_OF = "TIMESTAMP_NTZ '2024-01-31 00:00:00'"
 
@@ -514,9 +514,30 @@ def _(spark, sf):
     """Orders merged status by status into one row per customer, the latest order winning."""
     out = fresh_folder(spark, "merge")
     o = table(spark, sf, "orders").select("o_custkey", "o_orderkey", "o_totalprice", "o_orderstatus")
+    for n, status in enumerate(("F", "O", "P", "P")):  # the last batch comes twice and changes nothing
+        VS.merge(o.where(F.col("o_orderstatus") == status), out, "o_custkey", [F.col("o_orderkey")], batch=("orders", min(n, 2)))
+    return VS.read(spark, out).select("o_custkey", "o_orderkey", "o_totalprice")
+
+
+@query(
+    "sink_versions",
+    """WITH v AS (SELECT * FROM (VALUES (1, 'F'), (2, 'O'), (3, 'P')) t(version, last)),
+      x AS (SELECT version, o_custkey, max(o_orderkey) AS o_orderkey FROM orders JOIN v ON o_orderstatus <= last GROUP BY ALL)
+    SELECT version, count(*) AS customers, sum(o_orderkey)::BIGINT AS keys FROM x GROUP BY 1""",
+)
+def _(spark, sf):
+    """Every version a merge has left can still be read."""
+    out = fresh_folder(spark, "versions")
+    o = table(spark, sf, "orders").select("o_custkey", "o_orderkey", "o_orderstatus")
     for status in ("F", "O", "P"):
-        W.upsert(o.where(F.col("o_orderstatus") == status), out, "o_custkey", [F.col("o_orderkey")], buckets=16)
-    return spark.read.parquet(out).select("o_custkey", "o_orderkey", "o_totalprice")
+        VS.merge(o.where(F.col("o_orderstatus") == status), out, "o_custkey", [F.col("o_orderkey")])
+    found = None
+    for n in VS.versions(spark, out):
+        one = VS.read(spark, out, n).agg(
+            F.lit(n).alias("version"), F.count(F.lit(1)).alias("customers"), F.sum("o_orderkey").alias("keys")
+        )
+        found = one if found is None else found.unionByName(one)
+    return found
 
 
 @query(
@@ -545,22 +566,71 @@ def _(spark, sf):
 # ---- whole document build -------------------------------------------------------------
 
 
+_DIMS = 64
+
+
 @query(
     "document_build",
-    f"""WITH w AS (SELECT doc_id, text, {sql_words("text")} AS ws FROM documents)
-    SELECT doc_id, length(text) AS character_count, len(ws) AS word_count, CAST(ceil(len(ws) / 351::DOUBLE) AS BIGINT) AS chunks, 'completed' AS status FROM w""",
+    f"""WITH w AS (SELECT doc_id, text, {sql_words("text")} AS ws, length(regexp_replace(text, '{SP}', '', 'g')) AS letters FROM documents)
+    SELECT doc_id, length(text) AS character_count, len(ws) AS word_count, CAST(ceil(len(ws) / 351::DOUBLE) AS BIGINT) AS chunks,
+      CAST(ceil(len(ws) / 351::DOUBLE) AS BIGINT) AS embeddings, topics,
+      CASE WHEN letters / greatest(len(ws), 1) < 4 THEN 'basic' WHEN letters / greatest(len(ws), 1) < 6 THEN 'intermediate' ELSE 'advanced' END AS reading_level,
+      CASE WHEN len(ws) = 0 THEN 'failed' ELSE 'completed' END AS status FROM w JOIN ({sql_topics()}) USING (doc_id)""",
 )
 def _(spark, sf):
-    """Metadata, chunks, links, vectors and a merged store, then one result row per document."""
+    """Metadata, topics, chunks, vectors, merged tables, and what came of each document."""
     out = fresh_folder(spark, "build")
     docs = documents(spark, sf).select("doc_id", "text")
-    chunks = C.linked_chunks(C.word_windows(docs, keep_short_text=False))
-    encoded, _ = VV.hashing_encoder(chunks, "chunk_text", dims=64)
-    W.upsert(encoded.withColumn("stamp", as_of()), out, "chunk_id", [F.col("stamp")], buckets=16)
-    stored = spark.read.parquet(out).groupBy("doc_id").agg(F.count(F.lit(1)).alias("chunks"))
-    facts = docs.select("doc_id", F.length("text").alias("character_count"), T.word_count("text").alias("word_count"))
-    return facts.join(stored, "doc_id", "left").select(
-        "doc_id", "character_count", "word_count", F.coalesce("chunks", F.lit(0)).alias("chunks"), F.lit("completed").alias("status")
+    d = B.rebuild(docs, out, VV.word_hash_encoder(_DIMS), dims=_DIMS, run=1)
+    return d.withColumn("topics", F.array_join("topics", ",")).drop("checksum", "error", "retries", "run")
+
+
+@query(
+    "changes_rebuilt",
+    f"""WITH {_VERS}, s AS (SELECT d.doc_id AS id, o.text AS t1, n.text AS t2, d.text AS t3 FROM documents d LEFT JOIN old o ON o.id = d.doc_id LEFT JOIN new n ON n.id = d.doc_id),
+     f AS (SELECT *, length(t1) < 100 AS f1, length(t2) < 100 AS f2, length(t3) < 100 AS f3, coalesce(t1 = t2, false) AS s12, coalesce(t2 = t3, false) AS s23 FROM s),
+     r AS (SELECT *, CASE WHEN s12 THEN f1::INT ELSE 0 END + f2::INT AS r2 FROM f),
+     g AS (SELECT *, CASE WHEN NOT f3 THEN t3 WHEN NOT f2 THEN t2 WHEN t2 IS NOT NULL AND NOT f1 THEN t1 END AS good FROM r)
+    SELECT id AS doc_id, CASE WHEN f3 THEN 'failed' ELSE 'completed' END AS status, CAST(CASE WHEN s23 THEN r2 ELSE 0 END + f3::INT AS BIGINT) AS retries,
+      CAST(CASE WHEN NOT s23 OR f2 THEN 3 WHEN NOT s12 OR f1 THEN 2 ELSE 1 END AS BIGINT) AS run,
+      CAST(coalesce(ceil(len({sql_words("good")}) / 351::DOUBLE), 0) AS BIGINT) AS stored_chunks FROM g""",
+)
+def _(spark, sf):
+    """Three states of the documents, each built on top of the one before: only what is open is built again.
+
+    Texts under 100 characters fail and are tried again; their last good chunks stay.
+    """
+    out = fresh_folder(spark, "rebuild")
+    old, new = (d.withColumnRenamed("id", "doc_id") for d in _versions(spark, sf))
+    for n, docs in enumerate((old, new, documents(spark, sf)), 1):
+        done = B.rebuild(docs, out, VV.word_hash_encoder(_DIMS), dims=_DIMS, run=n, min_chars=100)
+    held = VS.read(spark, f"{out}/chunks").groupBy("doc_id").agg(F.count(F.lit(1)).alias("stored_chunks"))
+    return done.join(held, "doc_id", "left").select(
+        "doc_id", "status", "retries", "run", F.coalesce("stored_chunks", F.lit(0)).alias("stored_chunks")
+    )
+
+
+@query(
+    "encoding_store",
+    """WITH k AS (SELECT md5(substr(text, 1, 2000)) AS k, length(substr(text, 1, 2000)) < 100 AS failed, lang = 'en' AS en FROM documents),
+      t AS (SELECT k, any_value(failed) AS failed, count(*) AS c, CASE WHEN any_value(failed) AND bool_or(en) THEN 2 ELSE 1 END AS attempts FROM k GROUP BY 1)
+    SELECT CASE WHEN failed THEN 'failed' ELSE 'completed' END AS status, attempts::BIGINT AS attempts, sum(c)::BIGINT AS n, count(*) AS texts FROM t GROUP BY ALL""",
+)
+def _(spark, sf):
+    """English documents are encoded, then all: the second run sees only new texts and those that had failed."""
+    out = fresh_folder(spark, "vectors")
+    docs, words = documents(spark, sf).select("doc_id", "lang", "text"), VV.word_hash_encoder(_DIMS)
+
+    def encoder(texts):
+        if any(len(t) < 100 for t in texts):
+            raise ValueError("too short for this encoder")
+        return words(texts)
+
+    B.encode_new(docs.where("lang = 'en'"), "text", out, encoder, dims=_DIMS)
+    d = B.encode_new(docs, "text", out, encoder, dims=_DIMS)
+    attempts = VS.read(spark, out).select("content_key", "attempts")
+    return d.join(attempts, "content_key").groupBy(F.col("encoding").alias("status"), "attempts").agg(
+        F.count(F.lit(1)).alias("n"), F.count_distinct("content_key").alias("texts")
     )
 
 
@@ -593,27 +663,41 @@ def _(spark, sf):
 def _(spark, sf):
     out = fresh_folder(spark, "stream-chunks")
     X.chunk_store(_stream(spark, sf, "documents"), out + "/store", out + "/checkpoint")
-    return spark.read.parquet(out + "/store").select("chunk_id", F.md5("chunk_text").alias("chunk_md5"))
+    return VS.read(spark, out + "/store/chunks").select("chunk_id", F.md5("chunk_text").alias("chunk_md5"))
 
 
 def _window_sql(minutes: int, by: str = "") -> str:
     cols = f"{by}, " if by else ""
-    return f"""WITH m AS (SELECT max(ts) - INTERVAL 10 MINUTE AS wm FROM events), w AS (SELECT time_bucket(INTERVAL {minutes} MINUTE, ts, TIMESTAMP '2000-01-01') AS s, {cols}value FROM events),
-      g AS (SELECT s, {cols}count(*) AS count, round(avg(value), 6) AS average, round(sum(value), 4) AS total, min(value) AS min, max(value) AS max FROM w GROUP BY ALL)
-    SELECT strftime(s, '%Y-%m-%d %H:%M:%S') AS window_start, {cols}count, average, total, min, max FROM g, m WHERE s + INTERVAL {minutes} MINUTE <= date_trunc('millisecond', wm)"""
+    return f"""WITH w AS (SELECT time_bucket(INTERVAL {minutes} MINUTE, ts, TIMESTAMP '2000-01-01') AS s, {cols}value FROM events)
+    SELECT strftime(s, '%Y-%m-%d %H:%M:%S') AS window_start, {cols}count(*) AS count, round(avg(value), 6) AS average, round(sum(value), 4) AS total,
+      min(value) AS min, max(value) AS max FROM w GROUP BY ALL"""
+
+
+def _in_two_runs(events, src, run, late="false"):
+    """The first half of the time arrives and is run, then the rest, with the `late` rows among it."""
+    half = events.agg(F.min("ts") + (F.max("ts") - F.min("ts")) / 2).scalar()
+    split = events.withColumn("_half", half)
+    second = F.coalesce((F.col("ts") >= F.col("_half")) | F.expr(late), F.lit(False))
+    for part in (~second, second):
+        split.where(part).drop("_half").write.mode("append").parquet(src)
+        run()
 
 
 def _windowed(spark, sf, width, by=()):
-    out = fresh_folder(spark, "stream-windows")
-    m = X.windowed_metrics(_stream(spark, sf, "events"), "ts", "value", by=list(by), width=width)
-    X.run_to_files(m, out + "/rows", out + "/checkpoint")
-    d = spark.read.parquet(out + "/rows").withColumn("window_start", F.date_format("window_start", "yyyy-MM-dd HH:mm:ss"))
-    return _r(_r(d, 6, "average"), 4, "total")
+    out, events = fresh_folder(spark, "stream-windows"), table(spark, sf, "events")
+
+    def run():
+        e = X.arriving(spark, out + "/events", events.schema)
+        X.merged_windows(e, out + "/windows", out + "/checkpoint", "ts", "value", by=list(by), width=width)
+
+    _in_two_runs(events, out + "/events", run, "ts >= _half - INTERVAL 8 MINUTES AND event_id % 2 = 1")
+    d = VS.read(spark, out + "/windows").withColumn("window_start", F.date_format("window_start", "yyyy-MM-dd HH:mm:ss"))
+    return _r(_r(d, 6, "average"), 4, "total").select("window_start", *by, "count", "average", "total", "min", "max")
 
 
 @query("stream_window_averages", _window_sql(5))
 def _(spark, sf):
-    """Windows the watermark has closed by the end of the table."""
+    """All windows, open ones too; rows that come late by less than the delay are counted."""
     return _windowed(spark, sf, "5 minutes")
 
 
@@ -626,14 +710,23 @@ def _(spark, sf):
     "stream_circuit_states",
     V.with_views("search_log")
     + """, s AS (SELECT *, sum(success::INT) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS seg FROM search_log),
-    c AS (SELECT *, sum((NOT success)::INT) OVER (PARTITION BY user_id, seg ORDER BY ts, event_id) AS fc FROM s)
-    SELECT user_id, event_id, fc::BIGINT AS failure_count, fc > 5 AS is_open FROM c""",
+    c AS (SELECT *, sum((NOT success)::INT) OVER (PARTITION BY user_id, seg ORDER BY ts, event_id) AS fc FROM s),
+    l AS (SELECT user_id, fc::BIGINT AS state FROM c QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) = 1)
+    SELECT user_id, event_id, fc::BIGINT AS failure_count, fc > 5 AS is_open, state FROM c JOIN l USING (user_id)""",
 )
 def _(spark, sf):
-    out = fresh_folder(spark, "stream-circuit")
-    e = _stream(spark, sf, "events").select("event_id", "user_id", "ts", (F.col("event_type") != "error").alias("ok"))
-    X.circuit_states(e, out, out + "/checkpoint", key="user_id", ts="ts", tie="event_id", ok="ok")
-    return spark.read.parquet(out + "/attempts").select("user_id", "event_id", "failure_count", "is_open")
+    """Attempts counted in two batches, and the state each circuit is left in."""
+    out, events = fresh_folder(spark, "stream-circuit"), table(spark, sf, "events")
+
+    def run():
+        e = X.arriving(spark, out + "/events", events.schema)
+        e = e.select("event_id", "user_id", "ts", (F.col("event_type") != "error").alias("ok"))
+        X.circuit_states(e, out, out + "/checkpoint", key="user_id", ts="ts", tie="event_id", ok="ok")
+
+    _in_two_runs(events, out + "/events", run)
+    states = VS.read(spark, out + "/states").select("user_id", F.col("failures").alias("state"))
+    attempts = spark.read.parquet(out + "/attempts").select("user_id", "event_id", "failure_count", "is_open")
+    return attempts.join(states, "user_id")
 
 
 @query(

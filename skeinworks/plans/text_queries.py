@@ -64,7 +64,7 @@ def _(spark, sf):
     return d.withColumn("avg_word_length", F.round("avg_word_length", 9))
 
 
-def _topic_sql() -> str:
+def sql_topics() -> str:
     items = ", ".join(
         f"{{'hits': {sql_hits('lower(text)', k)}, 'pos': {-i}, 'topic': '{t}'}}"
         for i, (t, k) in enumerate(fv.TOPIC_KEYWORDS.items())
@@ -74,7 +74,7 @@ def _topic_sql() -> str:
       FROM documents"""
 
 
-@query("text_topic_labels", _topic_sql())
+@query("text_topic_labels", sql_topics())
 def _(spark, sf):
     return documents(spark, sf).select("doc_id", F.array_join(T.topic_labels("text"), ",").alias("topics"))
 
@@ -488,6 +488,17 @@ def _(spark, sf):
     return C.page_markers(c, "page", "text").select("conv_id", "turn", "marked_text")
 
 
+@query(
+    "chunk_pages_joined",
+    """SELECT conv_id, md5(string_agg(chr(10) || '--- Page ' || CAST(turn + 1 AS VARCHAR) || ' ---' || chr(10) || coalesce(text, ''), '' ORDER BY turn, text)) AS text_md5
+    FROM conversations GROUP BY 1""",
+)
+def _(spark, sf):
+    """The pages of each document as one text, in order."""
+    c = table(spark, sf, "conversations").withColumn("page", F.col("turn") + 1)
+    return C.joined_pages(c, "conv_id", "page", "text").select("conv_id", F.md5("text").alias("text_md5"))
+
+
 @query(
     "chunk_store_records",
     f"""WITH {_WW} SELECT 'word_' || CAST(s // 351 AS VARCHAR) AS chunk_id, doc_id AS document_id, 'word' AS strategy,

@@ -2,13 +2,8 @@
 
 from __future__ import annotations
 
-import re
-
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, functions as F
 
-from ..session import cut_lineage
-
 
 def vector_records(chunks: DataFrame, *, owner: str = "claim_id", embedding: str = "embedding") -> DataFrame:
     """id `{owner}_chunk_{i}`, embedding, and the owner as the only allowed restriction."""
@@ -67,10 +62,6 @@ def latest(df: DataFrame, key: str, order: list[Column]) -> DataFrame:
     return df.groupBy(key).agg(last.alias("_r")).select(key, *[F.col(f"_r.{c}").alias(c) for c in other]).select(*df.columns)
 
 
-def merged(old: DataFrame | None, new: DataFrame, key: str, order: list[Column]) -> DataFrame:
-    return latest(new if old is None else old.unionByName(new, allowMissingColumns=True), key, order)
-
-
 def status_merged(old: DataFrame, updates: DataFrame, key: str) -> DataFrame:
     """Updates laid over the old rows column by column; what an update leaves null is kept."""
     both = old.alias("o").join(updates.alias("u"), F.col(f"o.{key}") == F.col(f"u.{key}"), "full")
@@ -81,37 +72,3 @@ def status_merged(old: DataFrame, updates: DataFrame, key: str) -> DataFrame:
         return F.coalesce(*found).alias(c)
 
     return both.select(*[side(c) for c in names])
-
-
-def upsert(new: DataFrame, path: str, key: str, order: list[Column], *, buckets: int = 64) -> None:
-    """Merge rows into a Parquet table by key, rewriting only the buckets that hold those keys.
-
-    The number of buckets is part of the table, as the name of its partition column: `buckets` counts
-    for a new table only, so merges with different numbers still meet each key in one place.
-    """
-    spark = new.sparkSession
-    try:
-        old = spark.read.parquet(path)
-    except AnalysisException as e:
-        if e.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
-            raise
-        old = None
-    if old is not None:
-        column = next(c for c in old.columns if re.fullmatch(r"_bucket_of_\d+", c))
-        buckets = int(column.rpartition("_")[2])
-    else:
-        column = f"_bucket_of_{buckets}"
-    fresh = new.withColumn(column, F.pmod(F.xxhash64(key), F.lit(buckets)).cast("int"))
-    if old is not None:
-        touched = [r[0] for r in fresh.select(column).distinct().collect()]  # at most `buckets` numbers
-        old = old.where(F.col(column).isin(touched))
-        result = cut_lineage(merged(old, fresh, key, order))  # the files read are about to be replaced
-    else:
-        result = merged(None, fresh, key, order)
-    (
-        result.repartition(column)  # a bucket's file comes from one task
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(column)
-        .parquet(path)
-    )

@@ -15,7 +15,8 @@ from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 from ..functions import text as T
 from ..operators import chunking as C
 from ..operators.logs import failure_state
-from ..sources.writers import upsert
+from ..sources import versions as VS
+from ..sources.writers import latest
 
 
 def arriving(spark: SparkSession, path: str, schema, *, kind: str = "parquet", files_per_batch: int | None = None) -> DataFrame:
@@ -79,13 +80,40 @@ def windowed_metrics(
     )
 
 
-def chunk_store(stream: DataFrame, store: str, checkpoint: str) -> None:
-    """Clean and chunk arriving documents and merge the chunks into a store by chunk id."""
+def merged_windows(
+    stream: DataFrame, table: str, checkpoint: str, ts: str, value: str, *, by: list[str] = (), width: str = "5 minutes", delay: str = "10 minutes"
+) -> None:
+    """Windowed metrics as a table that is right after every batch.
+
+    Windows come out whenever a row changes them and are merged by window (and key) into a versioned table. So open
+    ones are there too, and rows that come late by less than `delay` change theirs; later ones are dropped.
+    """
+
+    def step(batch: DataFrame, batch_id: int) -> None:
+        rows = batch.withColumn("window_key", F.struct("window_start", *by)).withColumn("batch", F.lit(batch_id).cast("long"))
+        VS.merge(rows, table, "window_key", [F.col("batch")], batch=(checkpoint, batch_id))
+
+    run_batches(windowed_metrics(stream, ts, value, by=by, width=width, delay=delay), step, checkpoint, mode="update")
+
+
+def chunk_store(stream: DataFrame, store: str, checkpoint: str, *, arrived: list[str] = ()) -> None:
+    """Clean and chunk arriving documents; `store/chunks` and `store/status` are versioned tables by doc_id.
+
+    A document that comes again replaces all its chunks. Of several rows of one document in a batch the greatest in
+    the `arrived` columns (then by text) counts. A document without words has no chunks and the status `failed`.
+    """
 
     def step(batch: DataFrame, batch_id: int) -> None:
-        clean = batch.select("doc_id", T.clean_text("text").alias("text"))
-        chunks = C.linked_chunks(C.word_windows(clean))
-        upsert(chunks.withColumn("batch", F.lit(batch_id)), store, "chunk_id", [F.col("batch")])
+        one = latest(batch.select("doc_id", "text", *arrived), "doc_id", [*map(F.col, arrived), F.col("text")])
+        clean = one.select("doc_id", T.clean_text("text").alias("text"))
+        chunks = C.linked_chunks(C.word_windows(clean.where("trim(text) <> ''")))
+        VS.replace(chunks, one, f"{store}/chunks", "doc_id", batch=(checkpoint, batch_id))
+        counts = VS.read(batch.sparkSession, f"{store}/chunks").groupBy("doc_id").agg(F.count(F.lit(1)).alias("chunks"))
+        status = one.select("doc_id", F.length("text").alias("characters"), F.substring("text", 1, 500).alias("preview"))
+        status = status.join(counts, "doc_id", "left").withColumn("chunks", F.coalesce("chunks", F.lit(0)).cast("long"))
+        status = status.withColumn("status", F.when(F.col("chunks") > 0, "chunked").otherwise("failed"))
+        status = status.withColumn("batch", F.lit(batch_id).cast("long"))
+        VS.merge(status, f"{store}/status", "doc_id", [F.col("batch")], batch=(checkpoint, batch_id))
 
     run_batches(stream, step, checkpoint)
 
@@ -95,15 +123,21 @@ def circuit_states(
 ) -> None:
     """Failure counts per circuit over a stream of attempts.
 
-    Each micro-batch is counted with distributed running sums, so one busy circuit is not bound
-    to one task, and starts from the states the batch before left. A batch writes its attempts
-    and the new states under its own number: repeating it replaces them.
+    Each micro-batch is counted with distributed running sums, so one busy circuit is not bound to one task (a keyed
+    state would sort all its attempts of a batch there). `folder/states` is a versioned table by circuit: a batch
+    reads and rewrites the buckets of its own circuits. Its attempts lie under its number below `folder/attempts`;
+    they are written before its states, and a batch whose states are in the table is not counted again.
     """
+    table = f"{folder}/states"
 
     def step(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        if batch_id > 0:
-            known = spark.read.parquet(f"{folder}/states/batch={batch_id - 1}")
+        held = VS.version(spark, table)
+        if held.batches.get(checkpoint, -1) >= batch_id:
+            return
+        if held.number:
+            mine = batch.select(key).distinct()
+            known = VS.read(spark, table).join(mine, key, "left_semi").select(key, "failures", "last_failure", "last_success")
         else:
             kinds = dict(batch.dtypes)
             known = spark.createDataFrame(
@@ -117,12 +151,15 @@ def circuit_states(
             F.max(F.when(~F.col(ok), F.col(ts))).alias("last_failure"),
             F.max(F.when(F.col(ok), F.col(ts))).alias("last_success"),
         )
-        o = known.toDF(*[f"_o_{c}" for c in known.columns])
-        states = news.join(o, F.col(key) == F.col(f"_o_{key}"), "full").select(
-            F.coalesce(key, f"_o_{key}").alias(key),
-            *[F.coalesce(c, f"_o_{c}").alias(c) for c in ("failures", "last_failure", "last_success")],
+        o = known.select(F.col(key).alias("_k"), F.col("last_failure").alias("_f"), F.col("last_success").alias("_s"))
+        states = news.join(o, F.col(key).eqNullSafe(F.col("_k")), "left").select(
+            key,
+            "failures",
+            F.coalesce("last_failure", "_f").alias("last_failure"),
+            F.coalesce("last_success", "_s").alias("last_success"),
+            F.lit(batch_id).cast("long").alias("batch"),
         )
-        states.write.mode("overwrite").parquet(f"{folder}/states/batch={batch_id}")
+        VS.merge(states, table, key, [F.col("batch")], batch=(checkpoint, batch_id))
 
     run_batches(stream, step, checkpoint)
 

@@ -5,7 +5,7 @@ import pytest
 import __spark_entry__ as entry
 
 SF = "/root/testdata/sf0.001"
-EAGER = ("stream_", "source_", "sink_", "document_build", "classifier_boosted", "classifier_tuning", "search_multi_step", "bm25_search_indexed")
+EAGER = ("stream_", "source_", "sink_", "document_build", "changes_rebuilt", "encoding_store", "classifier_boosted", "classifier_tuning", "search_multi_step", "bm25_search_indexed")
 
 
 def plan(df):

@@ -2,7 +2,7 @@ import random
 
 from pyspark.sql import functions as F
 
-from skeinworks.sources import readers as RD, writers as W
+from skeinworks.sources import readers as RD, versions as VS, writers as W
 from skeinworks.streaming import jobs as X
 
 
@@ -30,6 +30,8 @@ def test_circuit_states_over_batches_and_replay(spark, tmp_path):
     for i, k, _, ok in log:
         state[k] = 0 if ok else state.get(k, 0) + 1
         assert got[i] == state[k]
+    held = {x["k"]: x["failures"] for x in VS.read(spark, out + "/states").collect()}
+    assert held == state
 
 
 def test_recent_turns_keep_the_newest(spark, tmp_path):
@@ -48,18 +50,28 @@ def test_chunk_store_replaces_chunks(spark, tmp_path):
     for text in ("one two", "three"):
         spark.createDataFrame([(1, text)], "doc_id long, text string").coalesce(1).write.mode("append").parquet(src)
         X.chunk_store(X.arriving(spark, src, "doc_id long, text string"), out, out + "-cp")
-    assert [(r["chunk_id"], r["chunk_text"]) for r in spark.read.parquet(out).collect()] == [("1_chunk_0", "three")]
-
-
-def test_upsert_touches_only_its_buckets(spark, tmp_path):
-    out = str(tmp_path / "t")
-    a = spark.range(100).select(F.col("id"), F.lit("old").alias("v"), F.lit(1).alias("at"))
-    W.upsert(a, out, "id", [F.col("at")], buckets=8)
-    W.upsert(spark.createDataFrame([(5, "new", 2), (5, "newer", 3), (500, "x", 1)], "id long, v string, at int"), out, "id", [F.col("at")], buckets=8)
-    W.upsert(spark.createDataFrame([(6, "late", 0)], "id long, v string, at int"), out, "id", [F.col("at")], buckets=8)
-    W.upsert(a, out, "id", [F.col("at")], buckets=32)  # the table keeps its own number
-    d = {r["id"]: r["v"] for r in spark.read.parquet(out).collect()}
-    assert spark.read.parquet(out).count() == 101 and len(d) == 101 and d[5] == "newer" and d[500] == "x" and d[6] == "old"
+    assert [(r["chunk_id"], r["chunk_text"]) for r in VS.read(spark, out + "/chunks").collect()] == [("1_chunk_0", "three")]
+    spark.createDataFrame([(1, "..."), (2, "two"), (2, "three"), (3, None)], "doc_id long, text string").coalesce(1).write.mode("append").parquet(src)
+    X.chunk_store(X.arriving(spark, src, "doc_id long, text string"), out, out + "-cp")
+    status = {r["doc_id"]: (r["status"], r["chunks"]) for r in VS.read(spark, out + "/status").collect()}
+    assert status[2] == ("chunked", 1) and status[3] == ("failed", 0)
+    assert {r["chunk_text"] for r in VS.read(spark, out + "/chunks").where("doc_id = 2").collect()} == {"two"}
+
+
+def test_windows_are_merged_and_late_rows_change_them(spark, tmp_path):
+    src, out = str(tmp_path / "in"), str(tmp_path / "out")
+    schema = "t long, v double"
+
+    def arrive(rows):
+        spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(src)
+        s = X.arriving(spark, src, schema).withColumn("ts", F.timestamp_seconds("t"))
+        X.merged_windows(s, out, out + "-cp", "ts", "v", width="5 minutes")
+        d = VS.read(spark, out)
+        return {r["s"]: (r["count"], r["total"]) for r in d.select(F.unix_timestamp("window_start").alias("s"), "count", "total").collect()}
+
+    assert arrive([(0, 1.0), (10, 2.0), (900, 4.0)]) == {0: (2, 3.0), 900: (1, 4.0)}  # the open window is there
+    # 590 is late by less than ten minutes, 20 by more
+    assert arrive([(590, 8.0), (20, 16.0), (901, 32.0)]) == {0: (2, 3.0), 300: (1, 8.0), 900: (2, 36.0)}
 
 
 def test_status_merge_keeps_what_updates_leave_out(spark):
