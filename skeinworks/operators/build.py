@@ -73,9 +73,10 @@ def rebuild(docs: DataFrame, store: str, encoder: Callable, *, dims: int, run: i
         return VS.read(spark, f"{store}/status")
     docs = docs.select("doc_id", "text")
     known = _known(docs, f"{store}/status", STATUS.format(id=dict(docs.dtypes)["doc_id"]))
-    work = open_documents(docs, known, max_retries=max_retries)
+    outcome = f"{store}/runs/{run}"  # what a run has to do and what came of it, written once; the tables follow it
+    open_documents(docs, known, max_retries=max_retries).write.mode("overwrite").parquet(f"{outcome}/work")
+    work = spark.read.parquet(f"{outcome}/work")
     chunks = C.linked_chunks(C.word_windows(work.where(F.length("text") >= min_chars).select("doc_id", "text"), keep_short_text=False))
-    outcome = f"{store}/runs/{run}"  # written once, outside the tables, which then follow it
     coded = encode_new(chunks, "chunk_text", f"{store}/vectors", encoder, dims=dims, batch=(store, run))
     coded.write.mode("overwrite").parquet(f"{outcome}/chunks")
     coded = spark.read.parquet(f"{outcome}/chunks")

@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 import numpy as np
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from ..session import cut_lineage
 from .filters import hash_number, require_columns
 from .running import global_rank, running
 from .vector import rank_top
@@ -126,6 +127,100 @@ def fit_pairwise_ranker(df: DataFrame, group: str, label: str, features: list[st
     return dict(zip(features, (float(x) for x in w)))
 
 
+#: Winners that meet one copy of a losing row, and salts by which the label counts of a group go to its rows.
+WINNERS_A_COPY, SALTS = 100_000, 16
+
+
+def preference_differences(df: DataFrame, group: str, label: str, features: list[str], *, opponents: int = 32, seed: int = 0) -> DataFrame:
+    """Feature differences d0, d1, ... (better minus worse row) of preference pairs, and what each pair counts for (`weight`).
+
+    A row meets all rows of a worse label of its group when they are at most `opponents`, so small groups give all their
+    pairs; of more it meets `opponents` neighbours in a random order drawn by `seed` (and the partitions of the input), each
+    counting for its share, so that weighted sums estimate those over all pairs without bias. Rows with a null
+    make no pairs. Labels are few per group; its rows may be any number, as order, counts and meetings are all spread.
+    """
+    y = F.col(label).cast("double").alias("y")
+    d = df.select(F.col(group).alias("g"), y, *[F.col(f).cast("double").alias(f"f{i}") for i, f in enumerate(features)]).dropna()
+    d = cut_lineage(d.withColumn("u", F.rand(seed)))
+    sizes = d.groupBy("g", "y").agg(F.count(F.lit(1)).alias("n"))
+    groups = sizes.groupBy("g").agg(F.collect_list(F.struct("y", "n")).alias("sizes"))
+    salted = groups.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    placed = running(d, ["g", "y"], [F.col("u")], {"place": ("sum", F.lit(1))}, range_on=F.col("u"))
+    placed = placed.withColumn("salt", F.floor(F.col("u") * SALTS).cast("int")).join(salted, ["g", "salt"]).drop("salt")
+
+    def copies(of: str, n: str) -> Column:
+        better = F.expr(f"aggregate(filter(sizes, s -> s.y > {of}), 0L, (a, s) -> a + s.n)")
+        return F.greatest(F.lit(1), F.ceil(better / (F.col(n) * WINNERS_A_COPY))).cast("int")
+
+    win = placed.withColumn("w", F.explode(F.expr("filter(sizes, s -> s.y < y)"))).withColumns({"worse": F.col("w.y"), "n": F.col("w.n")})
+    win = win.withColumn("copy", F.pmod(F.xxhash64("u", "place"), copies("worse", "n")).cast("int"))
+    start = F.when(F.col("n") <= opponents, F.lit(0)).otherwise(F.pmod(F.xxhash64("place", "u", "worse"), F.col("n")))
+    met = F.least(F.lit(opponents), F.col("n")).cast("int")
+    win = win.withColumns({"start": start, "weight": F.col("n") / met, "step": F.explode(F.sequence(F.lit(0), met - 1))})
+    win = win.select("g", "worse", "copy", ((F.col("start") + F.col("step")) % F.col("n") + 1).alias("place"), "weight", *[F.col(f"f{i}").alias(f"w{i}") for i in range(len(features))])
+    lose = placed.withColumn("n", F.expr("filter(sizes, s -> s.y = y)[0].n"))
+    lose = lose.withColumn("copy", F.explode(F.sequence(F.lit(0), copies("y", "n") - 1)))
+    lose = lose.select("g", F.col("y").alias("worse"), "copy", "place", *[f"f{i}" for i in range(len(features))])
+    pairs = win.join(lose, ["g", "worse", "copy", "place"])
+    return pairs.select("weight", *[(F.col(f"w{i}") - F.col(f"f{i}")).alias(f"d{i}") for i in range(len(features))])
+
+
+def fit_logistic_ranker(
+    df: DataFrame, group: str, label: str, features: list[str], *, ridge: float = 1.0, opponents: int = 32, seed: int = 0, rounds: int = 25
+) -> tuple[dict[str, float], list[float]]:
+    """Weights that make log(1 + exp(-margin)) over the preference pairs least, and the loss after each round.
+
+    Newton's method; a round is one pass over the pairs of `preference_differences` (all pairs of small groups, a
+    sample of large ones), whose partial sums of slopes and curvatures are added up before they reach
+    the driver as one row. Features are scaled to unit spread first, which is what `ridge` refers to. A step that
+    makes the loss greater is halved. Without any pair all weights are zero.
+    """
+    n = len(features)
+    require_columns(df, [group, label, *features])
+    pairs = preference_differences(df, group, label, features, opponents=opponents, seed=seed)
+    pairs = cut_lineage(pairs)
+    spread = pairs.agg(*[F.sqrt(F.avg(F.col(f"d{i}") ** 2)).alias(f"s{i}") for i in range(n)]).first()
+    scale = np.array([spread[f"s{i}"] or 1.0 for i in range(n)])
+    x = [F.col(f"d{i}") / float(scale[i]) for i in range(n)]
+
+    def at(w: np.ndarray) -> tuple[float, np.ndarray, np.ndarray]:
+        margin = sum((c * float(v) for c, v in zip(x, w)), F.lit(0.0))
+        d = pairs.select("weight", *[c.alias(f"x{i}") for i, c in enumerate(x)], margin.alias("m"))
+        miss = 1 / (1 + F.exp("m"))
+        # log(1 + exp(-m)) without overflow
+        loss = F.greatest(-F.col("m"), F.lit(0.0)) + F.log1p(F.exp(-F.abs("m")))
+        sums = [F.sum(F.col("weight") * loss).alias("loss")]
+        sums += [F.sum(F.col("weight") * miss * F.col(f"x{i}")).alias(f"g{i}") for i in range(n)]
+        sums += [
+            F.sum(F.col("weight") * miss * (1 - miss) * F.col(f"x{i}") * F.col(f"x{j}")).alias(f"h{i}_{j}") for i, j in _products_of(features)
+        ]
+        t = d.agg(*sums).first()
+        h = np.zeros((n, n))
+        for i, j in _products_of(features):
+            h[i, j] = h[j, i] = t[f"h{i}_{j}"] or 0.0
+        g = np.array([t[f"g{i}"] or 0.0 for i in range(n)])
+        return (t["loss"] or 0.0) + ridge / 2 * float(w @ w), g - ridge * w, h + ridge * np.eye(n)
+
+    w = np.zeros(n)
+    loss, slope, curve = at(w)
+    losses = [loss]
+    for _ in range(rounds):
+        step = np.linalg.solve(curve, slope)
+        if float(slope @ step) <= 1e-10 * max(1.0, loss):
+            break
+        for _ in range(20):
+            found = at(w + step)
+            if found[0] <= loss:
+                break
+            step = step / 2
+        else:
+            break
+        w = w + step
+        loss, slope, curve = found
+        losses.append(loss)
+    return dict(zip(features, (float(v) for v in w / scale))), losses
+
+
 def scored_candidates(df: DataFrame, weights: dict[str, float]) -> DataFrame:
     """All input columns and the ranking score; missing features are an error that names them."""
     require_columns(df, list(weights))

@@ -111,6 +111,15 @@ def _(spark, sf):
     return spark.createDataFrame([(k, round(v, 8)) for k, v in w.items()], "feature string, weight double")
 
 
+@query("ltr_logistic_weights")
+def _(spark, sf):
+    """Weights of the logistic pairwise objective, and its loss at zero weights and at these."""
+    d = R.training_set(positives(spark, sf), negatives(spark, sf))
+    w, losses = R.fit_logistic_ranker(d, "query_group_id", "label", ["retail_price", "cost"])
+    rows = [(k, v, losses[0], losses[-1]) for k, v in w.items()]
+    return spark.createDataFrame(rows, "feature string, weight double, first_loss double, last_loss double")
+
+
 @query(
     "ltr_ranked_candidates",
     f"""{_WEIGHTS}, sc AS (SELECT DISTINCT query_group_id, product_id, retail_price, cost, round(w0 * retail_price + w1 * cost, 7) AS s FROM ltr, w),
