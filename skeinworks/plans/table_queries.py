@@ -415,14 +415,13 @@ def _(spark, sf):
     """Text and JSON files, one review each, in one folder."""
     out = fresh_folder(spark, "reviews")
     b = table(spark, sf, "benchmark")
-    n = b.count()
-    flat = b.select(F.regexp_replace("text", "\n", " ").alias("value")).repartition(n, "value")
-    flat.write.option("lineSep", "\n").option("maxRecordsPerFile", 1).text(out + "/a")
-    coded = b.select(F.to_json(F.struct(F.col("text").alias("review_text"))).alias("value")).repartition(n, "value")
-    coded.write.option("maxRecordsPerFile", 1).option("lineSep", "\n").text(out + "/b")
-    plain = RD.read_reviews(spark, out + "/a").select(F.regexp_replace("text", "\n$", "").alias("text"))
-    texts = RD.read_whole_texts(spark, out + "/b").select(F.get_json_object("text", "$.review_text").alias("text"))
-    return plain.unionByName(texts).groupBy(F.md5("text").alias("text_md5")).agg(F.count(F.lit(1)).alias("n"))
+    flat = b.select(F.regexp_replace("text", "\n", " ").alias("value"))
+    flat.write.option("lineSep", "\n").option("maxRecordsPerFile", 1).text(out + "/plain")
+    b.select(F.col("text").alias("review_text")).write.option("maxRecordsPerFile", 1).json(out + "/coded")
+    d = RD.read_reviews(spark, out + "/*")
+    ended = F.regexp_replace("text", "\n$", "")  # the writer's end of line
+    text = F.when(F.col("path").endswith(".txt"), ended).otherwise(F.col("text"))
+    return d.groupBy(F.md5(text).alias("text_md5")).agg(F.count(F.lit(1)).alias("n"))
 
 
 @query("source_json_records", "SELECT conv_id, turn, role FROM conversations")
