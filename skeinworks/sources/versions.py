@@ -7,7 +7,7 @@ version the second finds its number taken, reads the new version and merges agai
 whose rename is atomic and refuses an existing target (HDFS does; a plain object store needs a committer).
 
 A key lies in the bucket of its hash. The number of buckets is a power of two that follows the table's size,
-`bucket_bytes` each, so that a bucket fits a task; only buckets that hold keys of the batch are written anew.
+`bucket_bytes` each and FIRST_BUCKETS at least, so that a bucket fits a task; only buckets that hold keys of the batch are written anew.
 Null is a key like any other. Columns may be added by a batch (older rows hold null there), their types stay.
 """
 
@@ -24,14 +24,14 @@ from pyspark.sql.types import StructType
 
 from .writers import latest
 
-BUCKET_BYTES = 256 << 20
+BUCKET_BYTES, FIRST_BUCKETS = 256 << 20, 16
 BUCKET = "_bucket"
 
 
 @dataclass(frozen=True)
 class Version:
     number: int = 0
-    buckets: int = 1
+    buckets: int = FIRST_BUCKETS
     schema: str | None = None
     #: bucket -> folder below data/; a bucket without rows is absent
     folders: dict[str, str] = field(default_factory=dict)
