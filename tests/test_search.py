@@ -281,3 +281,34 @@ def test_negative_sample_size(spark):
     )
     n = K.negative_samples(users, prods, one_in=100)
     assert n.count() == 50 * 30 and n.distinct().count() == 50 * 30
+
+
+def test_negative_samples_of_many_blocks_are_the_named_products(spark):
+    from hashlib import md5
+
+    users = spark.createDataFrame([(k,) for k in [*range(40), 7, 7, None]], "user_id long")
+    ids = [5 * k + 1 for k in range(93)]
+    prods = spark.createDataFrame([(i, f"c{i}", None if i % 4 else 1.0 * i, 0.5) for i in ids], "product_id long, category string, retail_price double, cost double")
+    n = K.negative_samples(users, prods, one_in=10, strata_a_block=3, users_a_part=6)
+    want = []
+    for u in [*range(40), 7, 7, None]:
+        for s in range(10):
+            name = f"{s}" if u is None else f"{u}-{s}"
+            at = s * 10 + int(md5(name.encode()).hexdigest()[:8], 16) % 10
+            if at < len(ids):
+                want.append((None if u is None else str(u), ids[at], f"c{ids[at]}", None if ids[at] % 4 else 1.0 * ids[at]))
+    got = [(r.query_group_id, r.product_id, r.category, r.retail_price) for r in n.collect()]
+    assert sorted(got, key=str) == sorted(want, key=str)
+
+
+def test_negative_samples_are_never_broadcast(spark):
+    users = spark.range(50).withColumnRenamed("id", "user_id")
+    prods = spark.range(3000).select(
+        F.col("id").alias("product_id"), F.lit("c").alias("category"), F.lit(1.0).alias("retail_price"), F.lit(0.5).alias("cost")
+    )
+    lines = K.negative_samples(users, prods, one_in=100)._jdf.queryExecution().executedPlan().toString().split("\n")
+    held = [len(x) - len(x.lstrip(" :+-")) for x in lines]
+    for at, line in enumerate(lines):
+        if "BroadcastExchange" in line:
+            below = [x for x, depth in zip(lines[at + 1 :], held[at + 1 :]) if depth > held[at]]
+            assert not any("explode(sequence" in x for x in below)
