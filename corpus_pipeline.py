@@ -16,14 +16,22 @@ from llm.common import kept, table
 
 
 def _wrapped(docs: DataFrame) -> DataFrame:
-    """Whole rows as `_row` beside the columns that operators use, so that theirs clash with none."""
-    return docs.select(F.struct("*").alias("_row"), "doc_id", "text", "source")
+    """All but the text as `_row` beside the columns that operators use, so that theirs clash with none.
+
+    A text passes through Python and back once, not a second time within the row.
+    """
+    return docs.select(F.struct("*").dropFields("text").alias("_row"), "doc_id", "text", "source")
+
+
+def _unwrapped(found: DataFrame, docs: DataFrame) -> DataFrame:
+    """The columns of `docs`, in their order."""
+    return found.select(*[(F.col("text") if c.lower() == "text" else F.col("_row").getField(c)).alias(c) for c in docs.columns])
 
 
 def not_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier rejects go. It learns from the labels of the documents it is given."""
     model = toxicity.fitted(docs, table(spark, sf_dir, "labels"))
-    return toxicity.scored(_wrapped(docs), model).where("predicted = 0").select("_row.*")
+    return _unwrapped(toxicity.scored(_wrapped(docs), model).where("predicted = 0"), docs)
 
 
 def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -35,15 +43,15 @@ def not_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     """Documents go of which a twentieth or more lies in windows of the benchmark."""
     found = decontaminate.hits(_wrapped(docs), table(spark, sf_dir, "benchmark"))
     hit = decontaminate.n_hit()
-    return found.where(~((hit > 0) & (hit * 20 >= F.col("n_words")))).select("_row.*")
+    return _unwrapped(found.where(~((hit > 0) & (hit * 20 >= F.col("n_words")))), docs)
 
 
 def without_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Secrets are masked in the texts; all documents stay."""
-    done = secrets_scan.masked(_wrapped(docs)).withColumn("_row", F.col("_row").withField("text", F.col("text")))
+    done = secrets_scan.masked(_wrapped(docs))
     if "n_chars" in docs.columns:
         done = done.withColumn("_row", F.col("_row").withField("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)))
-    return done.select("_row.*")
+    return _unwrapped(done, docs)
 
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

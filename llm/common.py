@@ -35,14 +35,15 @@ def ascii_lower(text):
     return F.translate(F.coalesce(text, F.lit("")), UPPER, LOWER)
 
 
-def map_batches(df: DataFrame, fn: Callable[[pa.RecordBatch], pa.RecordBatch | None], schema) -> DataFrame:
-    """Apply `fn` to each Arrow batch; batches that give None are left out."""
+def map_batches(df: DataFrame, fn: Callable[[pa.RecordBatch], pa.RecordBatch | None], schema, rows: int | None = None) -> DataFrame:
+    """Apply `fn` to each Arrow batch, or to slices of `rows` rows of it, of which one is decoded at a time; what gives None is left out."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            out = fn(batch)
-            if out is not None:
-                yield out
+            for at in range(0, batch.num_rows, rows) if rows else (0,):
+                out = fn(batch.slice(at, rows) if rows else batch)
+                if out is not None:
+                    yield out
 
     return in_arrow(df, run, schema)
 

@@ -181,7 +181,7 @@ def _matched(docs: DataFrame, shared, column: str) -> DataFrame:
         new = {"n_words": pa.array(n_words, pa.int64()), "hit_items": pa.array(ids, pa.list_(pa.string())), "hit_spans": pa.array(spans, pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())])))}
         return pa.RecordBatch.from_arrays([new.get(c, batch.column(c)) for c in batch.schema.names], list(batch.schema.names))
 
-    return map_batches(docs, match, schema)
+    return map_batches(docs, match, schema, 1000)
 
 
 def _united(starts: np.ndarray, ends: np.ndarray) -> set[tuple[int, int]]:

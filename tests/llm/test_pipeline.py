@@ -46,3 +46,12 @@ def test_odd_rows_go_through(spark, odd, none):
 def test_every_operator_is_registered():
     names = set(queries())
     assert {n.split("_")[0] for n in names} == {"pipeline", *(f"op{k}" for k in range(1, 14))}
+
+
+def test_a_text_goes_to_python_once(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet").select(F.lit(1).alias("a.b"), "*")
+    sent = pipeline._wrapped(docs)
+    assert [f.name for f in sent.schema["_row"].dataType.fields] == [c for c in docs.columns if c != "text"]
+    back = pipeline._unwrapped(sent, docs)
+    assert back.columns == docs.columns and back.schema == docs.schema
+    assert back.exceptAll(docs).count() == 0 and docs.exceptAll(back).count() == 0
