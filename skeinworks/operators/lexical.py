@@ -88,14 +88,23 @@ def term_join_top_k(
     return rank_top(both, "query_id", "score", "doc_id", k)
 
 
-def _placed(docs: DataFrame, text: str) -> DataFrame:
-    return docs.select("doc_id", text).repartition("doc_id")
+#: A task scores documents of about so many bytes: it holds a row for each of them and each query that it answers.
+TASK_BYTES = 4 << 20
 
 
-def keyword_search(queries: DataFrame, docs: DataFrame, k: int = 5, *, query: str = "query", text: str = "text") -> DataFrame:
+def _placed(docs: DataFrame, text: str, sized_by: DataFrame | None = None) -> DataFrame:
+    """Documents by id, as many tasks as the texts (or those of `sized_by`, which are cheaper to read) have pieces of TASK_BYTES."""
+    held = (docs if sized_by is None else sized_by).agg(F.sum(F.octet_length(text))).first()[0] or 0
+    tasks = max(docs.sparkSession.sparkContext.defaultParallelism, -(-held // TASK_BYTES))
+    return docs.select("doc_id", text).repartition(tasks, "doc_id")
+
+
+def keyword_search(
+    queries: DataFrame, docs: DataFrame, k: int = 5, *, query: str = "query", text: str = "text", sized_by: DataFrame | None = None
+) -> DataFrame:
     """Best k documents by query-term occurrences per 1000 tokens."""
     q = queries.select("query_id", query_terms(T.tokens(query)).alias("q_terms"))
-    return term_join_top_k(q, keyword_weights(_placed(docs, text), text), k)
+    return term_join_top_k(q, keyword_weights(_placed(docs, text, sized_by), text), k)
 
 
 def bm25_search(

@@ -234,7 +234,9 @@ def _(spark, sf):
         F.col("chunk_text").alias("text"),
     )
     q = table(spark, sf, "benchmark").select(F.col("item_id").alias("query_id"), F.col("text").alias("query"))
-    return X.keyword_search(q, chunks, 5).withColumn("score", F.round("score", 6))
+    # the documents are read for their size, as the chunks would be cleaned and cut twice
+    found = X.keyword_search(q, chunks, 5, sized_by=table(spark, sf, "documents"))
+    return found.withColumn("score", F.round("score", 6))
 
 
 def _bm25_cte(
