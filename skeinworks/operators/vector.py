@@ -380,36 +380,41 @@ def grid(rows: DataFrame, pieces: Column) -> tuple[DataFrame, DataFrame]:
     return left.drop("_n", "_p"), right.select(*left.drop("_n", "_p").columns)
 
 
+#: Similarities that a task of a similarity join holds at once.
+CELLS = 1 << 20
+
+
 def _meet_pieces(left: DataFrame, right: DataFrame, keys: list[str], min_similarity: float, once=None) -> DataFrame:
-    """(i, j, similarity) of the rows of two pieces that are alike enough; `once` may reject pairs of row numbers."""
+    """(i, j, similarity) of the rows of two pieces that are alike enough; `once` may reject pairs of row numbers.
+
+    A task holds the two pieces and CELLS similarities, and gives the pairs out as they are found, however many.
+    """
     ship(left.sparkSession)
     kind = dict(left.dtypes)["doc_id"]
 
-    def meet(a: pa.Table, b: pa.Table) -> pa.Table:
-        parts = []
-        if a.num_rows and b.num_rows:
-            same = a["pa"][0].as_py() == a["pb"][0].as_py()
-            right_m, right_ids = _vectors(b["d_vec"]), b["doc_id"]
-            for at in range(0, a.num_rows, 1024):
-                part = a.slice(at, 1024)
-                sim = np.round(_vectors(part["d_vec"]) @ right_m.T, 10)
-                x, y = np.nonzero(sim >= min_similarity)
-                if once is not None:
-                    first = once(part, b, x, y)
-                    x, y = x[first], y[first]
-                i, j = part["doc_id"].take(pa.array(x)), right_ids.take(pa.array(y))
-                swap = pc.greater(i, j)
-                t = pa.table({"i": pc.if_else(swap, j, i), "j": pc.if_else(swap, i, j), "similarity": sim[x, y]})
-                parts.append(t.filter(pc.invert(swap)) if same else t)
-        if parts:
-            return pa.concat_tables(parts)
-        none = a["doc_id"].slice(0, 0)
-        return pa.table({"i": none, "j": none, "similarity": pa.array([], pa.float64())})
-
-    # renaming gives the right side columns of its own, as both come from the same table
-    right = right.toDF(*right.columns)
-    met = [*keys, "pa", "pb"]
-    return left.groupBy(*met).cogroup(right.groupBy(*met)).applyInArrow(meet, f"i {kind}, j {kind}, similarity double")
+    def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        both = pa.Table.from_batches(batches)
+        is_left = both["_left"]
+        a, b = both.filter(is_left), both.filter(pc.invert(is_left))
+        if not a.num_rows or not b.num_rows:
+            return
+        same = a["pa"][0].as_py() == a["pb"][0].as_py()
+        right_m, right_ids = _vectors(b["d_vec"]), b["doc_id"]
+        step = max(1, CELLS // b.num_rows)
+        for at in range(0, a.num_rows, step):
+            part = a.slice(at, step)
+            sim = np.round(_vectors(part["d_vec"]) @ right_m.T, 10)
+            x, y = np.nonzero(sim >= min_similarity)
+            if once is not None:
+                first = once(part, b, x, y)
+                x, y = x[first], y[first]
+            i, j = part["doc_id"].take(pa.array(x)), right_ids.take(pa.array(y))
+            swap = pc.greater(i, j)
+            t = pa.table({"i": pc.if_else(swap, j, i), "j": pc.if_else(swap, i, j), "similarity": sim[x, y]})
+            yield from (t.filter(pc.invert(swap)) if same else t).combine_chunks().to_batches(max_chunksize=65_536)
+
+    both = left.withColumn("_left", F.lit(True)).unionByName(right.withColumn("_left", F.lit(False)))
+    return both.groupBy(*keys, "pa", "pb").applyInArrow(meet, f"i {kind}, j {kind}, similarity double")
 
 
 def similar_pairs(docs: DataFrame, *, min_similarity: float = 0.8, piece_bytes: int = PIECE_BYTES) -> DataFrame:

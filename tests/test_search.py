@@ -312,3 +312,22 @@ def test_negative_samples_are_never_broadcast(spark):
         if "BroadcastExchange" in line:
             below = [x for x, depth in zip(lines[at + 1 :], held[at + 1 :]) if depth > held[at]]
             assert not any("explode(sequence" in x for x in below)
+
+
+def test_scoring_tasks_follow_the_texts(spark, monkeypatch):
+    from skeinworks.operators import lexical as X
+
+    d = spark.range(400).select(F.col("id").alias("doc_id"), F.concat(F.lit("word "), F.col("id").cast("string")).alias("text"))
+    before = by_query(X.bm25_search(d.limit(3).select(F.col("doc_id").alias("query_id"), F.col("text").alias("query")), d, 4))
+    monkeypatch.setattr(X, "TASK_BYTES", 40)
+    n = X._placed(d, "text").rdd.getNumPartitions()
+    assert n >= 400 * 6 // 40 and X._placed(d, "text", d.limit(1)).rdd.getNumPartitions() < n
+    assert by_query(X.bm25_search(d.limit(3).select(F.col("doc_id").alias("query_id"), F.col("text").alias("query")), d, 4)) == before
+
+
+def test_pairs_come_out_in_bounded_batches(spark):
+    d = spark.range(3000).select(F.col("id").alias("doc_id"), F.array(F.lit(1.0), (F.col("id") % 2).cast("double")).alias("d_vec"))
+    pairs = V.similar_pairs(d, min_similarity=0.9, piece_bytes=1 << 14)
+    assert pairs.count() == 2 * (1500 * 1501 // 2)
+    plan = pairs._jdf.queryExecution().executedPlan().toString()
+    assert "FlatMapCoGroups" not in plan and "FlatMapGroupsInArrow" in plan
