@@ -130,13 +130,27 @@ class _Queries:
         )
 
 
-def _meet(q: pa.Table, d: pa.Table, k: int, fields: list[str], boosts: list[float], cap: float) -> pa.Table:
-    """Two blocks against each other, in slices that keep the score matrix small."""
-    parts = []
+def _met(q: pa.Table, d: pa.Table, k: int, fields: list[str], boosts: list[float], cap: float) -> Iterator[pa.Table]:
+    """Two blocks against each other, in slices that keep the score matrix small: the k best of the block for each slice of queries."""
     for at in range(0, q.num_rows, 1024):
         side = _Queries(q.slice(at, 1024), fields, boosts)
-        for start in range(0, d.num_rows, 4096):
-            parts.append(side.top(d.slice(start, 4096), k, cap))
+        found = [side.top(d.slice(start, 4096), k, cap) for start in range(0, d.num_rows, 4096)]
+        if found:
+            yield found[0] if len(found) == 1 else _best_of(pa.concat_tables(found), k)
+
+
+def _best_of(found: pa.Table, k: int) -> pa.Table:
+    """The k best rows of each query, as `rank_top` orders them."""
+    found = found.combine_chunks()
+    ids = pc.fill_null(pc.dictionary_encode(found["query_id"].combine_chunks()).indices, -1).to_numpy()
+    order = np.lexsort((_place(found["doc_id"]), -found["score"].to_numpy(), ids))
+    ids = ids[order]
+    return found.take(pa.array(order[np.arange(len(ids)) - np.searchsorted(ids, ids) < k]))
+
+
+def _meet(q: pa.Table, d: pa.Table, k: int, fields: list[str], boosts: list[float], cap: float) -> pa.Table:
+    """What `_met` finds, as one table."""
+    parts = list(_met(q, d, k, fields, boosts, cap))
     if parts:
         return pa.concat_tables(parts)
     names = ("score", "semantic_score", "keyword_score")
@@ -186,7 +200,8 @@ def scored_top_k(
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
-                yield from _meet(shared.value, pa.table(batch), k, names, boosts, keyword_cap).to_batches()
+                for found in _met(shared.value, pa.table(batch), k, names, boosts, keyword_cap):
+                    yield from found.combine_chunks().to_batches()
 
         per_task = d.mapInArrow(run, schema)
     else:

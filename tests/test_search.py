@@ -331,3 +331,21 @@ def test_pairs_come_out_in_bounded_batches(spark):
     assert pairs.count() == 2 * (1500 * 1501 // 2)
     plan = pairs._jdf.queryExecution().executedPlan().toString()
     assert "FlatMapCoGroups" not in plan and "FlatMapGroupsInArrow" in plan
+
+
+def test_a_block_of_documents_leaves_k_rows_a_query():
+    import pyarrow as pa
+
+    g = np.random.default_rng(3)
+    x, y = g.normal(size=(9000, 4)), g.normal(size=(1100, 4))
+    x[5000] = x[8999] = x[70]  # ties across slices
+    y[0] = x[70]
+    d = pa.table({"doc_id": np.arange(9000), "d_vec": pa.array(list(x))})
+    q = pa.table({"query_id": np.arange(1100), "alpha": np.ones(1100), "min_score": np.full(1100, -2.0), "q_vec": pa.array(list(y))})
+    got = V._meet(q, d, 2, [], [], 1.0)
+    assert got.num_rows == 2200
+    assert [i for k, i in zip(got["query_id"].to_pylist(), got["doc_id"].to_pylist()) if k == 0] == [70, 5000]
+    unit = x / np.linalg.norm(x, axis=1, keepdims=True)
+    best = {k: (unit @ v).argmax() for k, v in enumerate(y) if k}
+    first = dict(reversed(list(zip(got["query_id"].to_pylist(), got["doc_id"].to_pylist()))))
+    assert all(first[k] == i for k, i in best.items())
