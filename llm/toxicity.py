@@ -8,6 +8,7 @@ import re
 import subprocess
 import sys
 import zlib
+from collections.abc import Iterator
 from dataclasses import dataclass
 from itertools import chain
 from pathlib import Path
@@ -18,7 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, IntegerType, StructField, StructType
 
-from llm.common import map_batches, table, texts_of
+from llm.common import in_arrow, map_batches, table, texts_of
 
 #: Rows of the embedding table, its columns, filters of each width, widths, and pieces of a word.
 BUCKETS, DIMS, FILTERS, WIDTHS, PIECES = 1 << 17, 8, 8, (1, 2, 3), 9
@@ -248,19 +249,27 @@ def _learnable(docs: DataFrame, labels: DataFrame, label: str, chars: int) -> tu
     return known, docs.select("doc_id", "text").where(F.length("text") <= chars)
 
 
-def labelled(docs: DataFrame, labels: DataFrame, label: str, rows: int = TRAIN_ROWS, chars: int = TRAIN_CHARS) -> tuple[list[str], np.ndarray]:
-    """At most `rows` texts of each label, of at most `chars` characters each, from the ids that may be learned from."""
+def _sample(docs: DataFrame, labels: DataFrame, label: str, rows: int, chars: int) -> DataFrame:
+    """(doc_id, label, text): at most `rows` texts of each label, of at most `chars` characters each, from the ids that may be learned from."""
     known, text = _learnable(docs, labels, label, chars)
     picked = None
     for value in (0, 1):
         some = known.where(F.col("label") == value).withColumn("_order", F.md5(F.col("doc_id").cast("string").cast("binary"))).orderBy("_order").limit(rows).select("doc_id", "label")
         picked = some if picked is None else picked.union(some)
     # at most two times `rows` ids, so their broadcast is bounded
-    found = text.join(F.broadcast(picked), "doc_id").select("doc_id", "label", "text").toArrow().to_pylist()
-    found.sort(key=lambda r: (str(r["doc_id"]), r["text"]))
+    return text.join(F.broadcast(picked), "doc_id").select("doc_id", "label", "text")
+
+
+def _in_order(found: list[dict]) -> tuple[list[str], np.ndarray]:
+    found = sorted(found, key=lambda r: (str(r["doc_id"]), r["text"]))
     return [r["text"] for r in found], np.array([r["label"] for r in found], float)
 
 
+def labelled(docs: DataFrame, labels: DataFrame, label: str, rows: int = TRAIN_ROWS, chars: int = TRAIN_CHARS) -> tuple[list[str], np.ndarray]:
+    """At most `rows` texts of each label, of at most `chars` characters each, from the ids that may be learned from."""
+    return _in_order(_sample(docs, labels, label, rows, chars).toArrow().to_pylist())
+
+
 def share_of(docs: DataFrame, labels: DataFrame, label: str, chars: int = TRAIN_CHARS) -> float:
     """The label's smoothed share among all rows that may be learned from, of which `labelled` takes a sample."""
     known, text = _learnable(docs, labels, label, chars)
@@ -320,7 +329,15 @@ def fit_apart(texts: list[str], labels: np.ndarray, share: float | None = None)
 
 
 def fitted(docs: DataFrame, labels: DataFrame, label: str = "toxic", rows: int = TRAIN_ROWS) -> Model:
-    return fit_apart(*labelled(docs, labels, label, rows), share=share_of(docs, labels, label))
+    """A model of the bounded sample, fitted in one task: its texts and the work on them stay off the driver, which gets the model."""
+    share = share_of(docs, labels, label)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found = [r for b in batches for r in b.to_pylist()]
+        yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(fit_apart(*_in_order(found), share=share))], pa.binary())], ["model"])
+
+    got = in_arrow(_sample(docs, labels, label, rows, TRAIN_CHARS).repartition(1), run, "model binary").first()
+    return pickle.loads(got.model) if got else fit([], np.zeros(0), share=share)
 
 
 def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:

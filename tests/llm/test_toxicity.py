@@ -1,3 +1,4 @@
+import subprocess
 import zlib
 
 import numpy as np
@@ -37,6 +38,17 @@ def test_fit_in_a_process_of_its_own():
     assert all(np.array_equal(a, b) for a, b in zip(here.filters, apart.filters, strict=True))
 
 
+def test_the_driver_holds_no_texts_and_runs_no_fit(spark, monkeypatch):
+    rows = [(k, f"word{k % 7} {'bad' if k % 4 == 0 else 'good'} end{k % 3}", int(k % 4 == 0)) for k in range(200)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, toxic int")
+    here = fit(*labelled(docs, docs, "toxic"), share=share_of(docs, docs, "toxic"))
+    monkeypatch.setattr(subprocess, "run", None)
+    monkeypatch.setattr(type(docs), "toArrow", None)
+    got = fitted(docs, docs)
+    assert all(np.array_equal(getattr(here, a), getattr(got, a)) for a in ("table", "bias", "out", "scale")) and here.base == got.base
+    assert fitted(docs.where("doc_id < 0"), docs).base == fit([], np.zeros(0), share=0.5).base
+
+
 def test_learns_only_from_allowed_ids(spark):
     docs = spark.range(100).select(F.col("id").alias("doc_id"), F.concat(F.lit("text "), F.col("id")).alias("text"))
     labels = docs.select("doc_id", F.lit(1).alias("toxic"))
