@@ -9,6 +9,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions import fixed_values as fv, queries as Q, text as T
+from ..session import cut_lineage
 from .filters import best_scored, metadata_filter
 from .lexical import bm25_weights, query_terms, synonym_expansion, triggered_expansion
 from .logs import context_budget
@@ -23,6 +24,7 @@ def _bm25_queries(queries: DataFrame, alpha: float | str, *, terms_from: Column
         F.lit(-2.0).alias("min_score"),
         "q_vec",
         query_terms(source).alias("q_terms"),
+        *[c for c in ("same",) if c in queries.columns],
     )
 
 
@@ -31,7 +33,7 @@ def hybrid_search(queries: DataFrame, docs: DataFrame, k: int = 5, *, alpha: flo
 
     `alpha` is a number or the name of a query column.
     """
-    d = bm25_weights(docs.select("doc_id", "text", "d_vec"), "text")
+    d = docs.select("doc_id", "d_vec", T.words(F.lower("text")).alias("terms"))
     return scored_top_k(_bm25_queries(queries, alpha), d, k, fields={"terms": 1.0}, **options)
 
 
@@ -160,7 +162,7 @@ def full_search(
     kept = ["doc_id", "text", *([level] if rerank == "metadata" else [])]
     full = found.join(docs.select(*kept), "doc_id")
     if rerank == "diversity":
-        return rerank_by_diversity(full, "text", k, candidates=fetch)
+        return rerank_by_diversity(cut_lineage(full), "text", k, candidates=fetch)  # it reads them twice
     if rerank == "metadata":
         return rerank_by_metadata(full, level, preferred, k)
     return full.where(F.col("rank") <= k)
@@ -171,7 +173,7 @@ def grounded_retrieval(
     max_tokens: int = 3000, **options,
 ) -> DataFrame:
     """Hybrid hits twice as deep, those above the limit, cut to the context budget, with counts."""
-    found = hybrid_search(queries, docs, 2 * max_results, alpha=alpha, **options)
+    found = cut_lineage(hybrid_search(queries, docs, 2 * max_results, alpha=alpha, **options))  # read twice below
     totals = found.groupBy("query_id").agg(F.count(F.lit(1)).alias("total_found"))
     good = best_scored(
         found.drop("rank"), "score", min_score=min_score, limit=max_results, by=["query_id"], tie=["doc_id"]
@@ -179,9 +181,10 @@ def grounded_retrieval(
     counts = good.groupBy("query_id").agg(F.count(F.lit(1)).alias("filtered_count"))
     texts = good.join(docs.select("doc_id", "text"), "doc_id")
     fitted = context_budget(texts, "query_id", "rank", "text", max_tokens=max_tokens)
-    returned = fitted.groupBy("query_id").agg(F.count(F.lit(1)).alias("returned_count"))
-    sizes = totals.join(counts, "query_id", "left").join(returned, "query_id", "left").na.fill(0)
-    return fitted.join(sizes, "query_id")
+    # counted in place: the texts are looked up once
+    returned = fitted.withColumn("_returned", F.count(F.lit(1)).over(Window.partitionBy("query_id")))
+    sizes = totals.join(counts, "query_id", "left").na.fill(0)
+    return returned.join(sizes, "query_id").withColumn("returned_count", F.col("_returned")).drop("_returned")
 
 
 def prompt_texts(contexts: DataFrame, queries: DataFrame, *, system_context: str = "", group: str = "source", date: str | None = None) -> DataFrame:
@@ -227,7 +230,8 @@ def formatted_hits(hits: DataFrame, *, k: int = 5, chars: int = 500) -> DataFram
 
 def alpha_sweep(queries: DataFrame, docs: DataFrame, alphas: list[float], k: int = 3, **options) -> DataFrame:
     """The same queries under several alphas in one pass over the documents."""
-    swept = queries.withColumn("alpha", F.explode(F.array(*[F.lit(float(a)) for a in alphas])))
+    # the rows of one query have one number, by which the kernel knows them
+    swept = queries.withColumn("same", F.monotonically_increasing_id()).withColumn("alpha", F.explode(F.array(*[F.lit(float(a)) for a in alphas])))
     key = F.concat_ws("|", F.col("query_id").cast("string"), F.col("alpha").cast("string"))
     named = swept.withColumn("_orig", F.col("query_id")).withColumn("query_id", key)
     found = hybrid_search(named, docs, k, alpha="alpha", **options)
@@ -293,8 +297,6 @@ def multi_step_search(
     `queries` may bring its own `steps` (array<struct<query, dependent>>); `encode` turns a
     DataFrame with `query` into one with `q_vec`, else the query's own vector serves its steps.
     """
-    from ..session import cut_lineage
-
     given = "steps" in queries.columns
     steps = F.col("steps") if given else Q.decompose(F.col("query"))
     flat = queries.select(

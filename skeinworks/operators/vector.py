@@ -66,6 +66,23 @@ def _terms(col) -> tuple[np.ndarray, pa.Array, np.ndarray]:
     return rows, flat.field("term"), flat.field("weight").to_numpy(zero_copy_only=False).astype(np.float64)
 
 
+#: k1, b and the length of the plain BM25 weights of token lists.
+PLAIN_BM25 = (1.5, 0.75, 100.0)
+
+
+def _counted(col, vocab: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Row numbers, places in `vocab` and plain BM25 weights of the known tokens of an array<string> column."""
+    col = col.combine_chunks() if isinstance(col, pa.ChunkedArray) else col
+    lengths = pc.fill_null(pc.list_value_length(col), 0).to_numpy(zero_copy_only=False)
+    at = pc.fill_null(pc.index_in(pc.list_flatten(col), vocab), -1).to_numpy(zero_copy_only=False)
+    rows = np.repeat(np.arange(len(col)), lengths)
+    known = at >= 0
+    cells, times = np.unique(rows[known] * len(vocab) + at[known], return_counts=True)
+    rows, at = np.divmod(cells, max(1, len(vocab)))
+    k1, b, length = PLAIN_BM25
+    return rows, at, times * (k1 + 1) / (times + (lengths[rows] * b / length + (1 - b)) * k1)
+
+
 def _place(ids) -> np.ndarray:
     """Position of each id in sorted order: settles ties between equal scores."""
     ids = ids.combine_chunks() if isinstance(ids, pa.ChunkedArray) else ids
@@ -82,32 +99,44 @@ class _Queries:
         self.n = q.num_rows
         self.alpha = q["alpha"].to_numpy().astype(np.float64)[:, None]
         self.floor = q["min_score"].to_numpy().astype(np.float64)[:, None]
+        # rows that differ in alpha alone share the similarities of their first one
+        self.rows = None
+        if "same" in q.column_names:
+            _, first, self.rows = np.unique(q["same"].to_numpy(), return_index=True, return_inverse=True)
+            q = q.take(pa.array(first))
+        self.asked = q.num_rows
         some = "q_vec" in q.column_names and q["q_vec"].null_count < q.num_rows
         self.vec = _vectors(q["q_vec"]) if some else None
         self.fields, self.boosts = fields, boosts
         if fields:
             rows, terms, weights = _terms(q["q_terms"])
             self.vocab = pc.unique(terms)
-            self.weights = np.zeros((len(self.vocab), self.n))
+            self.weights = np.zeros((len(self.vocab), self.asked))
             np.add.at(self.weights, (pc.index_in(terms, self.vocab).to_numpy(zero_copy_only=False), rows), weights)
 
     def keyword(self, d) -> np.ndarray:
         """Best boosted field score of every (query, document)."""
-        best = np.zeros((self.n, d.num_rows))
+        best = np.zeros((self.asked, d.num_rows))
         for f, boost in zip(self.fields, self.boosts):
-            rows, terms, weights = _terms(d[f])
-            at = pc.fill_null(pc.index_in(terms, self.vocab), -1).to_numpy(zero_copy_only=False)
-            known = at >= 0
             doc = np.zeros((d.num_rows, len(self.vocab)))
-            np.add.at(doc, (rows[known], at[known]), weights[known])
+            if pa.types.is_string(d[f].type.value_type) or pa.types.is_large_string(d[f].type.value_type):
+                rows, at, weights = _counted(d[f], self.vocab)
+                doc[rows, at] = weights
+            else:
+                rows, terms, weights = _terms(d[f])
+                at = pc.fill_null(pc.index_in(terms, self.vocab), -1).to_numpy(zero_copy_only=False)
+                known = at >= 0
+                np.add.at(doc, (rows[known], at[known]), weights[known])
             best = np.maximum(best, boost * (doc @ self.weights).T)
         return best
 
     def top(self, d, k: int, cap: float) -> pa.Table:
         """The k best documents of this block for every query."""
         n = d.num_rows
-        sem = self.vec @ _vectors(d["d_vec"], self.vec.shape[1]).T if self.vec is not None else np.zeros((self.n, n))
-        kw = np.minimum(1.0, self.keyword(d) / cap) if self.fields else np.zeros((self.n, n))
+        sem = self.vec @ _vectors(d["d_vec"], self.vec.shape[1]).T if self.vec is not None else np.zeros((self.asked, n))
+        kw = np.minimum(1.0, self.keyword(d) / cap) if self.fields else np.zeros((self.asked, n))
+        if self.rows is not None:
+            sem, kw = sem[self.rows], kw[self.rows]
         # equal scores are told apart by id, so sums that differ in the last bits must compare equal
         score = np.round(self.alpha * sem + (1 - self.alpha) * kw, 10)
         keep = min(k, n)
@@ -176,7 +205,9 @@ def scored_top_k(
 
     queries: query_id, alpha, min_score, and q_vec (vector) and/or q_terms
     (array<struct<term, weight>>). docs: doc_id, and d_vec and/or the term columns named in
-    `fields` (array<struct<term, weight>>), mapped to their boosts; the best field counts.
+    `fields` (array<struct<term, weight>>, or array<string>: tokens, weighed by plain BM25 where they meet the
+    queries), mapped to their boosts; the best field counts. Queries that differ in alpha alone may share a number
+    in the column `same`: their similarities are computed once.
     Where only vectors count, rows without one are left out; where keywords count too, a missing
     vector has cosine 0.
 
@@ -186,7 +217,7 @@ def scored_top_k(
     """
     fields = fields or {}
     names, boosts = list(fields), list(fields.values())
-    q = queries.select(*[c for c in ("query_id", "alpha", "min_score", "q_vec", "q_terms") if c in queries.columns])
+    q = queries.select(*[c for c in ("query_id", "alpha", "min_score", "q_vec", "q_terms", "same") if c in queries.columns])
     with_vec = "q_vec" in q.columns
     d = docs.select("doc_id", *(["d_vec"] if with_vec else []), *names)
     if with_vec and not fields:
@@ -210,7 +241,7 @@ def scored_top_k(
         dd = d.withColumn("_d", F.pmod(F.xxhash64("doc_id"), F.lit(db)).cast("int")).withColumn(
             "_q", F.explode(F.sequence(F.lit(0), F.lit(qb - 1)))
         )
-        qq = q.withColumn("_q", F.pmod(F.xxhash64("query_id"), F.lit(qb)).cast("int")).withColumn(
+        qq = q.withColumn("_q", F.pmod(F.xxhash64("same" if "same" in q.columns else "query_id"), F.lit(qb)).cast("int")).withColumn(
             "_d", F.explode(F.sequence(F.lit(0), F.lit(db - 1)))
         )
 

@@ -150,6 +150,38 @@ def test_alpha_sweep_equals_single_runs(world):
         assert by_query(swept.where(F.col("alpha") == a)) == by_query(R.hybrid_search(q, d, 4, alpha=a))
 
 
+def test_alphas_of_a_query_are_scored_once(world):
+    *_, q = world
+    import pyarrow as pa
+
+    asked = R._bm25_queries(q.withColumn("same", F.monotonically_increasing_id()).withColumn("alpha", F.explode(F.array(F.lit(0.2), F.lit(0.9)))), "alpha")
+    side = V._Queries(asked.toArrow(), ["terms"], [1.0])
+    assert (side.n, side.asked, side.vec.shape[0], side.weights.shape[1]) == (18, 9, 9, 9)
+    d = pa.table({"doc_id": [1, 2, 3], "d_vec": [[1.0] * 8, None, [0.5] + [0.0] * 7], "terms": [["red", "cat", "red"], None, []]})
+    one = V._Queries(asked.drop("same").toArrow(), ["terms"], [1.0])
+    assert side.top(d, 2, 10.0).to_pylist() == one.top(d, 2, 10.0).to_pylist()
+
+
+def test_tokens_weigh_as_the_weights_made_before(spark, world):
+    docs, queries, d, q = world
+    weighed = X.bm25_weights(d.select("doc_id", "text", "d_vec"), "text")
+    old = V.scored_top_k(R._bm25_queries(q, 0.3), weighed, 5, fields={"terms": 1.0})
+    plain = lambda df: sorted(tuple(round(x, 10) if isinstance(x, float) else x for x in r) for r in df.collect())
+    for options in ({}, {"small_side_bytes": 0, "block_rows": 50, "query_block_rows": 4}):
+        assert plain(R.hybrid_search(q, d, 5, alpha=0.3, **options)) == plain(old)
+
+
+def test_hits_are_searched_once(world, monkeypatch):
+    """What reads the hits twice reads them from where they were written, not from the documents."""
+    *_, d, q = world
+    plans = []
+    real = R.cut_lineage
+    monkeypatch.setattr(R, "cut_lineage", lambda df: (plans.append(df), real(df))[1])
+    for out in (R.grounded_retrieval(q, d, min_score=0.1), R.full_search(q, d, 3)):
+        assert "mapInArrow" not in out._jdf.queryExecution().optimizedPlan().toString() and out.count()
+    assert len(plans) == 2
+
+
 def slow_diversity(cands, k):
     chosen, rest = [cands[0]], list(cands[1:])
     while rest and len(chosen) < k:
