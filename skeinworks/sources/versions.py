@@ -125,14 +125,12 @@ def replace(
 
     Keys without new rows are removed; rows of `new` outside `keys` replace theirs too.
     """
-    keys = keys.select(key).unionByName(new.select(key)).distinct()
-
     def combined(old: DataFrame, fresh: DataFrame, gone: DataFrame) -> DataFrame:
         same = (F.col(f"o.{BUCKET}") == F.col(f"g.{BUCKET}")) & F.col(f"o.{key}").eqNullSafe(F.col(f"g.{key}"))
         left = old.alias("o").join(gone.select(BUCKET, key).alias("g"), same, "left_anti")
         return left.unionByName(fresh, allowMissingColumns=True).repartition(BUCKET)
 
-    return _changed(new, keys, path, key, combined, batch, bucket_bytes)
+    return _changed(new, keys.select(key), path, key, combined, batch, bucket_bytes)
 
 
 def _changed(staged: DataFrame, keys: DataFrame | None, path: str, key: str, combined: Callable, batch, bucket_bytes: int) -> int:
@@ -145,7 +143,8 @@ def _changed(staged: DataFrame, keys: DataFrame | None, path: str, key: str, com
     incoming = f"{path}/incoming/{token}"
     staged.write.parquet(f"{incoming}/rows")
     parts = [spark.read.schema(staged.schema).parquet(f"{incoming}/rows")]
-    if keys is not None:
+    if keys is not None:  # those of the batch are read from what was written, so its rows are made once
+        keys = keys.unionByName(parts[0].select(key)).distinct()
         keys.write.parquet(f"{incoming}/keys")
         parts.append(spark.read.schema(keys.schema).parquet(f"{incoming}/keys"))
     try:

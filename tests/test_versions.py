@@ -100,6 +100,19 @@ def test_replace_takes_all_rows_of_a_key_and_new_columns_come_in(spark, tmp_path
     assert T.versions(spark, path) == [3] and T.read(spark, path).count() == 0
 
 
+def test_rows_of_a_replacing_batch_are_made_once(spark, tmp_path):
+    made = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for b in batches:
+            made.add(b.num_rows)
+            yield b
+
+    new = spark.range(20).select((F.col("id") % 7).alias("k"), "id").mapInArrow(count, "k long, id long")
+    T.replace(new, spark.range(9).select(F.col("id").alias("k")), str(tmp_path), "k")
+    assert made.value == 20 and T.read(spark, str(tmp_path)).count() == 20
+
+
 def test_empty_batch_and_missing_table(spark, tmp_path):
     path = str(tmp_path / "t")
     with pytest.raises(FileNotFoundError):
