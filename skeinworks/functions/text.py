@@ -109,15 +109,19 @@ def document_metrics(df, text: str = "text"):
 
 def topic_labels(c, top_n: int = 3) -> Column:
     """The topics with most keyword hits, ties in list order, at most `top_n`."""
-    low = F.lower(_c(c))
-    scored = F.array(
-        *[
-            F.struct(keyword_hits(low, kws).alias("hits"), F.lit(-i).alias("pos"), F.lit(t).alias("topic"))
-            for i, (t, kws) in enumerate(fv.TOPIC_KEYWORDS.items())
-        ]
-    )
-    ranked = F.sort_array(F.filter(scored, lambda s: s["hits"] > 0), asc=False)
-    return F.transform(F.slice(ranked, 1, top_n), lambda s: s["topic"])
+
+    def labels(low: Column) -> Column:
+        scored = F.array(
+            *[
+                F.struct(keyword_hits(low, kws).alias("hits"), F.lit(-i).alias("pos"), F.lit(t).alias("topic"))
+                for i, (t, kws) in enumerate(fv.TOPIC_KEYWORDS.items())
+            ]
+        )
+        ranked = F.sort_array(F.filter(scored, lambda s: s["hits"] > 0), asc=False)
+        return F.transform(F.slice(ranked, 1, top_n), lambda s: s["topic"])
+
+    # as a bound value, the text is lower-cased once and not for every keyword
+    return F.transform(F.array(F.lower(_c(c))), labels).getItem(0)
 
 
 def intent(c) -> Column:

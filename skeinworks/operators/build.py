@@ -12,6 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, functions as F
 
 from ..functions import text as T
+from ..session import cut_lineage
 from ..sources import versions as VS
 from . import chunking as C
 from .vector import encode_with
@@ -77,6 +78,7 @@ def rebuild(docs: DataFrame, store: str, encoder: Callable, *, dims: int, run: i
     open_documents(docs, known, max_retries=max_retries).write.mode("overwrite").parquet(f"{outcome}/work")
     work = spark.read.parquet(f"{outcome}/work")
     chunks = C.linked_chunks(C.word_windows(work.where(F.length("text") >= min_chars).select("doc_id", "text"), keep_short_text=False))
+    chunks = cut_lineage(chunks)  # read for their texts and again to get the vectors
     coded = encode_new(chunks, "chunk_text", f"{store}/vectors", encoder, dims=dims, batch=(store, run))
     coded.write.mode("overwrite").parquet(f"{outcome}/chunks")
     coded = spark.read.parquet(f"{outcome}/chunks")

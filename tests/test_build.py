@@ -67,6 +67,24 @@ def test_rebuild_does_only_what_is_open(spark, tmp_path):
     assert st[3] == ("failed", 4, 4) and st[2] == ("failed", 4, 5)  # three retries, then no more
 
 
+def test_chunks_of_a_build_are_made_once(spark, tmp_path, monkeypatch):
+    made, real = spark.sparkContext.accumulator(0), C.linked_chunks
+
+    def count(batches):
+        for b in batches:
+            made.add(b.num_rows)
+            yield b
+
+    def counted(df, *a, **k):
+        out = real(df, *a, **k)
+        return out.mapInArrow(count, out.schema)
+
+    monkeypatch.setattr(C, "linked_chunks", counted)
+    d = spark.createDataFrame([(i, "word " * (i + 1)) for i in range(12)], "doc_id int, text string")
+    done = B.rebuild(d, str(tmp_path / "store"), word_hash_encoder(8), dims=8, run=1)
+    assert {r["status"] for r in done.collect()} == {"completed"} and made.value == 12
+
+
 def test_pages_are_joined_in_order(spark):
     rows = [(d, p, f"text {d}.{p}") for d in (1, 2) for p in range(30, 0, -1)] + [(3, 1, None), (3, 2, ""), (None, 1, "lost")]
     d = spark.createDataFrame(rows, "doc long, page int, body string").repartition(7)

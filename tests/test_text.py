@@ -69,6 +69,12 @@ def test_parsed_json_keeps_what_does_not_parse(spark):
     assert not bad["ok"] and bad["raw"] == "not json"
 
 
+def test_topics_lower_the_text_once(spark):
+    d = spark.createDataFrame([(1, "AI Software and RESEARCH"), (2, ""), (3, None)], "id int, t string").select("id", T.topic_labels("t").alias("x"))
+    assert d._jdf.queryExecution().analyzed().toString().count("lower(t#") == 1
+    assert {r["id"]: r["x"] for r in d.collect()} == {1: ["technology", "science"], 2: [], 3: []}
+
+
 def test_term_counts(spark):
     d = spark.createDataFrame([(1, "b a b c a b"), (2, "")], "id int, t string").withColumn("w", T.words("t"))
     got = {r["id"]: {x["term"]: x["tf"] for x in r["tc"]} for r in T.term_counts(d, "w", "tc").collect()}
