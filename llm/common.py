@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -35,8 +36,13 @@ def ascii_lower(text):
     return F.translate(F.coalesce(text, F.lit("")), UPPER, LOWER)
 
 
-def map_batches(df: DataFrame, fn: Callable[[pa.RecordBatch], pa.RecordBatch | None], schema, rows: int | None = None) -> DataFrame:
-    """Apply `fn` to each Arrow batch, or to slices of `rows` rows of it, of which one is decoded at a time; what gives None is left out."""
+def map_batches(
+    df: DataFrame, fn: Callable[[pa.RecordBatch], pa.RecordBatch | None], schema, rows: int | None = None, done: Callable[[], None] | None = None
+) -> DataFrame:
+    """Apply `fn` to each Arrow batch, or to slices of `rows` rows of it, of which one is decoded at a time; what gives None is left out.
+
+    `done` is called when a task has no more batches, to forget what `fn` has kept.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -44,15 +50,32 @@ def map_batches(df: DataFrame, fn: Callable[[pa.RecordBatch], pa.RecordBatch | N
                 out = fn(batch.slice(at, rows) if rows else batch)
                 if out is not None:
                     yield out
+        if done is not None:
+            done()
 
     return in_arrow(df, run, schema)
 
 
+def give_back() -> None:
+    """Memory that is free in this process goes back to the system: a worker outlives its task, and waits beside the next stages."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # where the C library has it
+    if trim is not None:
+        trim(0)
+
+
 def in_arrow(df: DataFrame, run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema) -> DataFrame:
-    """mapInArrow with this code sent along."""
+    """mapInArrow with this code sent along; a task's memory goes back when it ends."""
+
+    def lean(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from run(batches)
+        finally:
+            give_back()
+
     ship(df.sparkSession)
     ship(df.sparkSession, "llm")
-    return df.mapInArrow(run, schema)
+    return df.mapInArrow(lean, schema)
 
 
 def ascii_lowered(text: str) -> str:

@@ -16,6 +16,8 @@ from llm.common import WordHashes, kept, map_batches, mixed, shingles, table, te
 SHINGLE, SIMILARITY, BANDS, ROWS = 5, 0.8, 38, 8
 #: So many ids, of eight bytes each, are sent to all tasks at most.
 BROADCAST_IDS = 1 << 20
+#: Texts of a batch that are decoded at once, and distinct shingles of texts that are signed at once.
+SLICE, HELD_SHINGLES = 1000, 100_000
 _ONE = np.uint64(1)
 
 
@@ -138,7 +140,7 @@ def _signed(docs: DataFrame, words: int, bands: int, rows: int) -> DataFrame:
             keys.append(hashlib.md5(bag.tobytes()).digest())
             bags.append((h, c))
             held += len(h)
-            if held > 400_000:
+            if held > HELD_SHINGLES:
                 flush()
         if bags:
             flush()
@@ -146,7 +148,7 @@ def _signed(docs: DataFrame, words: int, bands: int, rows: int) -> DataFrame:
         offsets = pa.array(np.arange(len(texts) + 1) * bands, pa.int32())
         return pa.RecordBatch.from_arrays([batch.column("id"), pa.array(keys, pa.binary()), pa.ListArray.from_arrays(offsets, pa.array(values.ravel().view(np.int64)))], ["id", "_key", "_bands"])
 
-    return map_batches(docs, sign, "id long, _key binary, _bands array<long>")
+    return map_batches(docs, sign, "id long, _key binary, _bands array<long>", SLICE, hashes.clear)
 
 
 def _verified(pairs: DataFrame, bags: DataFrame) -> DataFrame:
@@ -248,7 +250,7 @@ def near_classes(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", wo
         flat = np.concatenate(bags).view(np.int64) if bags else np.zeros(0, np.int64)
         return pa.RecordBatch.from_arrays([batch.column("id"), pa.ListArray.from_arrays(offsets, pa.array(flat))], ["id", "bag"])
 
-    bags = kept(map_batches(docs.join(wanted, "id"), bag, "id long, bag array<long>").dropDuplicates(["id"]), "bags")
+    bags = kept(map_batches(docs.join(wanted, "id"), bag, "id long, bag array<long>", SLICE, hashes.clear).dropDuplicates(["id"]), "bags")
     arms = filed.where("id != centre").groupBy("id", "centre").agg(F.max("met").alias("met"))
     best = arms.groupBy("id").agg(F.max(F.struct("met", "centre")).alias("c")).select("id", F.col("c.centre").alias("centre"))
     checked = kept(_verified(best.select(*_pair("id", "centre")).distinct(), bags), "stars")

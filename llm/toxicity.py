@@ -25,8 +25,8 @@ from llm.common import in_arrow, map_batches, table, texts_of
 BUCKETS, DIMS, FILTERS, WIDTHS, PIECES = 1 << 17, 8, 8, (1, 2, 3), 9
 #: Most labelled rows of a class that are learned from, and most characters of such a row.
 TRAIN_ROWS, TRAIN_CHARS = 2000, 60_000
-#: Words whose vectors a task keeps at most, beside those of the texts in hand.
-KNOWN_WORDS = 150_000
+#: Words whose vectors a task keeps at most, beside those of the texts in hand, words of texts scored at once, and new words whose vectors are made at once.
+KNOWN_WORDS, HELD_WORDS, NEW_WORDS = 150_000, 50_000, 20_000
 #: Frequent short words by which the language of a text is guessed.
 FUNCTION_WORDS = {
     "en": "the of and to in is that it with as for was on are by".split(),
@@ -288,25 +288,28 @@ def scored(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
     vocabulary = Vocabulary()
     vectors = {"x": np.zeros((0, DIMS), np.float32)}
 
+    def forget():
+        vocabulary.clear()
+        vectors["x"] = np.zeros((0, DIMS), np.float32)
+
     def score(batch: pa.RecordBatch):
         m, n = shared.value, batch.num_rows
         logits, languages, docs_ids, held, done = np.zeros(n), np.zeros(n, int), [], 0, 0
         # texts are decoded a few at a time, so a batch's are not all held twice
         texts = chain.from_iterable(texts_of(batch.slice(a, 250), text) for a in range(0, n, 250))
         for k, t in enumerate(chain(texts, [None])):
-            if t is None or held > 200_000:
+            if t is None or held > HELD_WORDS:
                 if docs_ids:
                     if len(vectors["x"]) < vocabulary.n:
                         new = vocabulary.pieces[len(vectors["x"]) : vocabulary.n]
-                        more = np.concatenate([m.table[p].sum(1) for p in np.array_split(new, len(new) // 100_000 + 1)])
+                        more = np.concatenate([m.table[p].sum(1) for p in np.array_split(new, len(new) // NEW_WORDS + 1)])
                         vectors["x"] = np.concatenate([vectors["x"], more])
                     ids, starts, lengths = joined(docs_ids)
                     logits[done : done + len(docs_ids)] = m.logits(vectors["x"][ids], starts, lengths)
                     done += len(docs_ids)
                     docs_ids, held = [], 0
                 if vocabulary.n > KNOWN_WORDS:
-                    vocabulary.clear()
-                    vectors["x"] = np.zeros((0, DIMS), np.float32)
+                    forget()
             if t is not None:
                 ids = vocabulary.of(t)
                 languages[k] = vocabulary.language_of(ids)
@@ -316,7 +319,7 @@ def scored(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
         return pa.RecordBatch.from_arrays([*batch.columns, pa.array(s), pa.array((s >= 0.5).astype(np.int32))], [*batch.schema.names, "score", "predicted"])
 
     schema = StructType([*docs.schema.fields, StructField("score", DoubleType()), StructField("predicted", IntegerType())])
-    return map_batches(docs, score, schema)
+    return map_batches(docs, score, schema, done=forget)
 
 
 def fit_apart(texts: list[str], labels: np.ndarray, share: float | None = None) -> Model:
