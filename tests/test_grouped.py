@@ -118,3 +118,10 @@ def test_preference_sums_read_their_rows_once(sides):
         r = got[g]
         for x, y in zip((r.pairs, r.d0, r.d1, r.m0_0, r.m1_1), want):
             assert math.isclose(x, y, rel_tol=1e-9, abs_tol=1e-6)
+
+
+def test_null_scores_have_the_place_that_ranges_give_them(spark, monkeypatch):
+    d = spark.createDataFrame([(f"g{k % 3}", k, None if k % 10 == 0 else float("nan") if k % 17 == 0 else k * 7 % 40 / 2) for k in range(200)], "g string, p long, s double")
+    whole = str(rows(K.ranked_candidates(d, {"s": 1.0}, "g", "p")))
+    monkeypatch.setattr(RU, "WHOLE_ROWS", 5)
+    assert whole == str(rows(K.ranked_candidates(d, {"s": 1.0}, "g", "p")))
