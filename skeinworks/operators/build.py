@@ -12,7 +12,6 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, functions as F
 
 from ..functions import text as T
-from ..session import cut_lineage
 from ..sources import versions as VS
 from . import chunking as C
 from .vector import encode_with
@@ -67,7 +66,7 @@ def rebuild(docs: DataFrame, store: str, encoder: Callable, *, dims: int, run: i
 
     A document fails when it has fewer than `min_chars` characters, no word, or a chunk that could not be encoded;
     its last good chunks stay and the next run tries it again, `max_retries` times beyond the first. `run` is the
-    number of this run: handing one in a second time changes nothing. doc_id has to be unique. Returns the status table.
+    number of this run: handing one in a second time changes nothing; what it wrote besides the tables is gone when it ends. doc_id has to be unique. Returns the status table.
     """
     spark = docs.sparkSession
     if run <= VS.version(spark, f"{store}/status").batches.get(store, -1):
@@ -78,10 +77,12 @@ def rebuild(docs: DataFrame, store: str, encoder: Callable, *, dims: int, run: i
     open_documents(docs, known, max_retries=max_retries).write.mode("overwrite").parquet(f"{outcome}/work")
     work = spark.read.parquet(f"{outcome}/work")
     chunks = C.linked_chunks(C.word_windows(work.where(F.length("text") >= min_chars).select("doc_id", "text"), keep_short_text=False))
-    chunks = cut_lineage(chunks)  # read for their texts and again to get the vectors
+    chunks.write.mode("overwrite").parquet(f"{outcome}/cut")  # read for their texts and again to get the vectors
+    chunks = spark.read.parquet(f"{outcome}/cut")
     coded = encode_new(chunks, "chunk_text", f"{store}/vectors", encoder, dims=dims, batch=(store, run))
     coded.write.mode("overwrite").parquet(f"{outcome}/chunks")
     coded = spark.read.parquet(f"{outcome}/chunks")
+    VS.remove(spark, f"{outcome}/cut")
     per = coded.groupBy("doc_id").agg(
         F.count(F.lit(1)).alias("chunks"), F.count_if(F.col("encoding") == "completed").alias("embeddings")
     )
@@ -109,8 +110,10 @@ def rebuild(docs: DataFrame, store: str, encoder: Callable, *, dims: int, run: i
     status.write.mode("overwrite").parquet(f"{outcome}/status")
     gone.write.mode("overwrite").parquet(f"{outcome}/gone")
     status, gone = spark.read.parquet(f"{outcome}/status"), spark.read.parquet(f"{outcome}/gone")
+    VS.remove(spark, f"{outcome}/work")
     good = status.where("status = 'completed'").select("doc_id")
     built = coded.join(good, "doc_id", "left_semi")
     VS.replace(built, good.unionByName(gone), f"{store}/chunks", "doc_id", batch=(store, run))
     VS.replace(status, gone, f"{store}/status", "doc_id", batch=(store, run))
+    VS.remove(spark, outcome)  # the tables have it all
     return VS.read(spark, f"{store}/status")

@@ -603,6 +603,8 @@ def _(spark, sf):
     old, new = (d.withColumnRenamed("id", "doc_id") for d in _versions(spark, sf))
     for n, docs in enumerate((old, new, documents(spark, sf)), 1):
         done = B.rebuild(docs, out, VV.word_hash_encoder(_DIMS), dims=_DIMS, run=n, min_chars=100)
+        for name in ("chunks", "vectors", "status"):  # nobody reads the states before
+            VS.expire(spark, f"{out}/{name}", keep=1)
     held = VS.read(spark, f"{out}/chunks").groupBy("doc_id").agg(F.count(F.lit(1)).alias("stored_chunks"))
     return done.join(held, "doc_id", "left").select(
         "doc_id", "status", "retries", "run", F.coalesce("stored_chunks", F.lit(0)).alias("stored_chunks")

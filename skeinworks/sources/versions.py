@@ -63,7 +63,8 @@ def _bytes(spark: SparkSession, folder: str) -> int:
     return p.getFileSystem(_conf(spark)).getContentSummary(p).getLength()
 
 
-def _remove(spark: SparkSession, folder: str) -> None:
+def remove(spark: SparkSession, folder: str) -> None:
+    """Delete a folder and all below it, if it is there."""
     p = _path(spark, folder)
     p.getFileSystem(_conf(spark)).delete(p, True)
 
@@ -159,7 +160,7 @@ def _changed(staged: DataFrame, keys: DataFrame | None, path: str, key: str, com
             if batch and batch[1] <= base.batches.get(batch[0], -1):
                 return base.number
     finally:
-        _remove(spark, incoming)
+        remove(spark, incoming)
 
 
 def _version_from(spark, base: Version, parts, path, key, combined, batch, bucket_bytes, token) -> Version | None:
@@ -231,7 +232,7 @@ def expire(spark: SparkSession, path: str, *, keep: int = 10) -> list[int]:
     used = {f for n in kept for f in version(spark, path, n).folders.values()}
     unused = {f for n in old for f in version(spark, path, n).folders.values()} - used
     for n in old:  # first the names, so that no reader starts on a version whose files go
-        _remove(spark, f"{path}/versions/{n}")
+        remove(spark, f"{path}/versions/{n}")
     for f in unused:
-        _remove(spark, f"{path}/data/{f}")
+        remove(spark, f"{path}/data/{f}")
     return old
