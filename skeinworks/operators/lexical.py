@@ -95,6 +95,8 @@ TASK_BYTES = 4 << 20
 def _placed(docs: DataFrame, text: str, sized_by: DataFrame | None = None) -> DataFrame:
     """Documents by id, as many tasks as the texts (or those of `sized_by`, which are cheaper to read) have pieces of TASK_BYTES."""
     held = (docs if sized_by is None else sized_by).agg(F.sum(F.octet_length(text))).first()[0] or 0
+    if held <= TASK_BYTES:  # one task could have them all, so Spark may choose
+        return docs.select("doc_id", text).repartition("doc_id")
     tasks = max(docs.sparkSession.sparkContext.defaultParallelism, -(-held // TASK_BYTES))
     return docs.select("doc_id", text).repartition(tasks, "doc_id")
 
